@@ -41,9 +41,12 @@ def divide_array(array: Col, divisor: Col, *, integral: bool = False) -> Column:
     return _nonempty(_zip_shortest(array, divisor, lambda x, y: safe_division(x, y, integral=integral)))
 
 
-def divide_array_by(array: Col, scalar: Col) -> Column:
+def divide_array_by(array: Col, scalar: Col, *, integral: bool = False) -> Column:
     """Every element divided by one scalar; division by zero raises."""
-    return _nonempty(F.transform(as_column(array), lambda x: x / as_column(scalar)))
+    divisor = as_column(scalar)
+    if integral:
+        return _nonempty(F.transform(as_column(array), lambda x: F.call_function("div", x, divisor)))
+    return _nonempty(F.transform(as_column(array), lambda x: x / divisor))
 
 
 def array_sum(array: Col, data_type: str) -> Column:

@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import names
+from tidegauge.functions.fingerprints import stamp
 
 _BUCKET_DIGITS = 3
 
 
-def number_bucket(columns) -> Column:
+def number_bucket(texts: list[Column]) -> Column:
     """First hex digits of the key's md5: 4096 evenly filled buckets for distinct keys."""
-    text = F.concat_ws("|", *[F.col(name).cast("string") for name in names(columns)])
-    return F.substring(F.md5(text), 1, _BUCKET_DIGITS)
+    return F.substring(F.md5(F.concat_ws("|", *texts)), 1, _BUCKET_DIGITS)
 
 
 def next_id(existing: DataFrame, column: str = "id") -> Column:
@@ -30,7 +30,9 @@ def with_dense_ids(df: DataFrame, key, after: Column | int = 0, name: str = "id"
     """
     keys = names(key)
     start = F.lit(after) if isinstance(after, int) else after
-    bucketed = df.withColumn("__bucket", number_bucket(keys))
+    texts = [stamp(key) if kind.startswith("timestamp") else F.col(key).cast("string")
+             for key in keys for kind in [df.schema[key].dataType.simpleString()]]
+    bucketed = df.withColumn("__bucket", number_bucket(texts))
     sizes = bucketed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__bucket", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))

@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.errors import AnalysisException
+from pyspark.errors import AnalysisException
 
 from tidegauge.functions.columns import other_columns
 from tidegauge.functions.timeaxis import Interval, bucket_index, bucket_start, minus, plus

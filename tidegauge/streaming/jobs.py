@@ -12,7 +12,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.errors import AnalysisException
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidegauge.functions.columns import other_columns
@@ -27,24 +26,15 @@ from tidegauge.sources.factstore import FactStore, emit_modified
 REPROCESSING_PERIOD = "3 days"
 
 
-def read_or_empty(spark, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 class VersionedTable:
     """A table rewritten as a whole per micro-batch, one folder per batch.
 
     A batch reads the newest older version, so running it again gives the same result and
-    readers of the previous version are never disturbed.
+    readers of the previous version are not disturbed. The ``keep`` newest versions stay.
     """
 
-    def __init__(self, spark, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path, T.StructType.fromDDL(schema)
+    def __init__(self, spark, path: str, schema: str, keep: int = 3):
+        self.spark, self.path, self.schema, self.keep = spark, path, T.StructType.fromDDL(schema), keep
 
     def _folder(self, batch: int) -> str:
         return f"{self.path}/version={batch}"
@@ -64,6 +54,9 @@ class VersionedTable:
 
     def write(self, batch: int, rows: DataFrame) -> None:
         rows.select(*self.schema.names).write.mode("overwrite").parquet(self._folder(batch))
+        for number in [number for number in self._versions() if number <= batch][: -self.keep]:
+            old = self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(number))
+            old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
 
     def read(self) -> DataFrame:
         return self.before()
