@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from workload import aggregation, axis, tracking
+from workload import aggregation, alerting, axis, directory, tracking
 from workload.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "aggregation", "axis", "tracking"]
+__all__ = ["QUERIES", "SQL", "aggregation", "alerting", "axis", "directory", "tracking"]
