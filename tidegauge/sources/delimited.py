@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,3 +111,9 @@ def part_batch(rows: DataFrame, part: TrendStorePart, layout: DelimitedFormat =
     if part.name not in routed:
         return None
     return typed_columns(routed[part.name], {trend.name: trend.data_type for trend in part.trends}, layout, lenient)
+
+
+def package_batch(rows: DataFrame, timestamp: Column, trends: Sequence[str]) -> DataFrame:
+    """Rows of a package (``entity_id, values[]`` in the order of ``trends``), all of one timestamp."""
+    values = [F.get("values", F.lit(index)).alias(name) for index, name in enumerate(trends)]
+    return rows.select("entity_id", timestamp.alias("timestamp"), *values)

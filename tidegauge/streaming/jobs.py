@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidegauge.functions.columns import other_columns
-from tidegauge.functions.timeaxis import map_label
+from tidegauge.functions.timeaxis import NTZ, map_label
 from tidegauge.operators.aggregates import samples
 from tidegauge.operators.changes import process_modified_log
 from tidegauge.operators.entities import create_missing_entities, resolve_entities
@@ -73,6 +73,7 @@ def ingest(
     """Arriving rows (``entity, timestamp, trends``): resolve entities, merge, log what changed."""
 
     def store_batch(batch: DataFrame, number: int) -> None:
+        batch.persist()
         moment = now(number)
         known = entities.before(number)
         everyone = known.unionByName(create_missing_entities(known, batch.select(F.col("entity").alias("name")), moment))
@@ -80,6 +81,7 @@ def ingest(
         resolved = resolve_entities(batch, entities.before(number + 1))
         store.upsert(resolved, moment, job_id(number), order)
         emit_modified(resolved, part, moment).write.mode("overwrite").parquet(f"{log_path}/batch={number}")
+        batch.unpersist()
 
     return rows.writeStream.foreachBatch(store_batch)
 
@@ -107,11 +109,12 @@ def rollup(
     labelled = records.select(
         "entity_id", map_label("timestamp", source, target).cast("timestamp").alias("timestamp"), *trends
     )
-    return (
+    rolled = (
         labelled.withWatermark("timestamp", lateness)
         .groupBy("entity_id", "timestamp")
         .agg(samples(None), *[F.sum(name).alias(name) for name in trends])
     )
+    return rolled.withColumn("timestamp", F.col("timestamp").cast(NTZ))
 
 
 def notifications(
@@ -139,7 +142,17 @@ def attribute_current(history: DataFrame) -> DataFrame:
 def completeness(records: DataFrame, part: str, lateness: str = REPROCESSING_PERIOD) -> DataFrame:
     """Record count per (part, timestamp) of arriving records."""
     timed = records.select(F.lit(part).alias("part"), F.col("timestamp").cast("timestamp").alias("timestamp"))
-    return timed.withWatermark("timestamp", lateness).groupBy("part", "timestamp").agg(F.count(F.lit(1)).alias("count"))
+    counted = timed.withWatermark("timestamp", lateness).groupBy("part", "timestamp").agg(F.count(F.lit(1)).alias("count"))
+    return counted.withColumn("timestamp", F.col("timestamp").cast(NTZ))
+
+
+def append_batches(rows: DataFrame, path: str) -> DataStreamWriter:
+    """Append results below ``path``, one folder per micro-batch."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return rows.writeStream.outputMode("append").foreachBatch(write)
 
 
 def keep_latest(updates: DataFrame, table: VersionedTable, key: Sequence[str]) -> DataStreamWriter:
