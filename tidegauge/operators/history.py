@@ -7,18 +7,16 @@ attributes; (entity_id, timestamp) is unique.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import other_columns
 from tidegauge.functions.fingerprints import attribute_hash
-from tidegauge.functions.timeaxis import MICROS, Interval
 from tidegauge.operators.aggregates import last_value
 from tidegauge.operators.joins import as_of_latest
 from tidegauge.operators.numbering import next_id, with_dense_ids
-from tidegauge.operators.slices import AUTO, measured_width, with_previous, with_running_max
+from tidegauge.operators.slices import AUTO, with_previous, with_run_start
 from tidegauge.plans.spec import KEY
 
 BASE = ("id", "first_appearance", "modified", "hash", "entity_id", "timestamp", "end")
@@ -34,19 +32,8 @@ def attribute_changes(history: DataFrame, width=AUTO) -> DataFrame:
 
 
 def mark_runs(history: DataFrame, width=AUTO, name: str = "run") -> DataFrame:
-    """Add the timestamp at which the row's run of equal hashes started.
-
-    Run starts only grow with time, so the largest start so far identifies the run.
-    """
-    if width == AUTO:
-        micros = measured_width(history, ["entity_id"], "timestamp")
-        width = None if micros is None else Interval(seconds=Decimal(micros) / MICROS)
-    marked = with_previous(history, "entity_id", "timestamp", "hash", "__before", width)
-    unchanged = F.coalesce(F.col("hash") == F.col("__before.value"), F.col("__before").isNotNull())
-    start = F.when(~unchanged, F.col("timestamp"))
-    return with_running_max(
-        marked.withColumn("__start", start), "entity_id", "timestamp", F.col("__start"), name, width
-    ).drop("__before", "__start")
+    """Add the timestamp at which the row's run of equal hashes started."""
+    return with_run_start(history, "entity_id", "timestamp", "hash", name, width)
 
 
 def attribute_run_length(history: DataFrame, width=AUTO) -> DataFrame:

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import as_column, names, other_columns
-from tidegauge.operators.slices import AUTO, with_last_known
+from tidegauge.functions.timeaxis import Interval
+from tidegauge.operators.slices import AUTO, slice_number, with_last_known
 from tidegauge.plans.spec import KEY
 
 
@@ -58,17 +59,35 @@ def valid_at(prefix: str, ts: str) -> Column:
     return (F.col(f"{prefix}.start") <= F.col(ts)) & (F.col(f"{prefix}.expires") > F.col(ts))
 
 
-def exception_join(facts: DataFrame, exceptions: DataFrame, columns: Sequence[str], prefix: str = "exc_") -> DataFrame:
+def exception_join(
+    facts: DataFrame, exceptions: DataFrame, columns: Sequence[str], prefix: str = "exc_", slice_width: str | None = None
+) -> DataFrame:
     """Add the values of exceptions valid at the record's timestamp, NULL where there is none.
 
     Overlapping exceptions of an entity repeat the record. The entity is the equi-key and the
-    validity a residual condition, so no pair of different entities is ever formed.
+    validity a residual condition, so no pair of different entities is ever formed. Where one
+    entity has very many exceptions, ``slice_width`` also makes time slices part of the key:
+    an exception is then only compared with records of the slices it reaches into.
     """
-    f, e = facts.alias("f"), exceptions.alias("e")
-    match = (F.col("f.entity_id") == F.col("e.entity_id")) & valid_at("e", "f.timestamp")
+    f, e = facts, exceptions.select("entity_id", "start", "expires", *columns)
+    match = [F.col("f.entity_id") == F.col("e.entity_id")]
+    if slice_width is not None:
+        width = Interval.of(slice_width).micros
+        f = f.withColumn("__slice", slice_number("timestamp", width))
+        low, high = facts.agg(F.min("timestamp").alias("t")).scalar(), facts.agg(F.max("timestamp").alias("t")).scalar()
+        # Slices without records are left out, however long an exception lasts.
+        e = (
+            e.withColumn("__from", F.greatest("start", low)).withColumn("__to", F.least("expires", high))
+            .filter(F.col("__from") <= F.col("__to"))
+            .withColumn("__slice", F.explode(F.sequence(slice_number("__from", width), slice_number("__to", width))))
+        )
+        match.append(F.col("f.__slice") == F.col("e.__slice"))
+    condition = match[0] & valid_at("e", "f.timestamp")
+    for extra in match[1:]:
+        condition = condition & extra
     kept = [F.col(f"f.{name}") for name in facts.columns]
     added = [F.col(f"e.{name}").alias(prefix + name) for name in columns]
-    return f.join(e, match, "left").select(*kept, *added)
+    return f.alias("f").join(e.alias("e"), condition, "left").select(*kept, *added)
 
 
 def overlapping_exceptions(exceptions: DataFrame) -> DataFrame:

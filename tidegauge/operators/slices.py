@@ -88,14 +88,53 @@ def with_previous(df: DataFrame, key, order: str, value: str, name: str = "previ
     )
 
 
-def with_running_max(df: DataFrame, key, order: str, value: Column, name: str, width=AUTO) -> DataFrame:
-    """Add the largest ``value`` of this row and all earlier ones."""
+def with_run_start(df: DataFrame, key, order: str, value: str, name: str = "run", width=AUTO) -> DataFrame:
+    """Add the ``order`` at which the row's run of equal consecutive values started.
+
+    Inside a slice a run starts where the value differs from the row before. Whether the first
+    row of a slice starts one, and where a run reaching into the slice began, follows from the
+    slices' first and last values, one row each.
+    """
     keys = names(key)
-    return _carried(
-        df, keys, order, _resolve(df, keys, order, width),
-        local=F.max(value), tail=F.max(value), carry=F.max,
-        merge=F.greatest, name=name, ties=(),
+    micros = _resolve(df, keys, order, width)
+    if micros is None:
+        window = Window.partitionBy(*keys).orderBy(order)
+        before = F.lag(F.struct(F.col(value).alias("value"))).over(window)
+        marked = df.withColumn("__before", before).withColumn("__start", _run_start(order, value, first=True))
+        return marked.withColumn(name, F.max("__start").over(window)).drop("__before", "__start")
+
+    window = Window.partitionBy(*keys, _SLICE).orderBy(order)
+    boxed = F.struct(F.col(value).alias("value"))
+    marked = (
+        df.withColumn(_SLICE, slice_number(order, micros))
+        .withColumn("__before", F.lag(boxed).over(window))
+        .withColumn("__start", _run_start(order, value, first=False))
     )
+    per_slice = marked.groupBy(*keys, _SLICE).agg(
+        F.min(order).alias("begin"),
+        F.min_by(boxed, order).alias("head"),
+        F.max_by(boxed, order).alias("tail"),
+        F.max("__start").alias("last_start"),
+    )
+    slices = Window.partitionBy(*keys).orderBy(_SLICE)
+    before_tail = F.lag("tail").over(slices)
+    opens = before_tail.isNull() | F.coalesce(F.col("head.value") != before_tail["value"], F.lit(False))
+    opened = per_slice.withColumn("opened", F.when(opens, F.col("begin")))
+    earlier = F.max(F.coalesce("last_start", "opened")).over(slices.rowsBetween(Window.unboundedPreceding, -1))
+    heads = opened.select(*keys, _SLICE, F.coalesce("opened", earlier).alias("__head"))
+    return (
+        marked.withColumn("__local", F.max("__start").over(window))
+        .join(heads, [*keys, _SLICE], "left")
+        .withColumn(name, F.coalesce("__local", "__head"))
+        .drop("__before", "__start", "__local", "__head", _SLICE)
+    )
+
+
+def _run_start(order: str, value: str, first: bool) -> Column:
+    """``order`` where the value changed; ``first`` tells whether a row without predecessor counts."""
+    before = F.col("__before")
+    changed = F.coalesce(F.col(value) != before["value"], F.lit(False))
+    return F.when(changed | before.isNull() if first else changed, F.col(order))
 
 
 def with_last_known(

@@ -6,7 +6,7 @@ A fact row is ``entity_id, timestamp, created, job_id`` plus the trends, unique
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -132,10 +132,17 @@ def expired_buckets(buckets: DataFrame, now: Column, retention: str, size: str)
 
 
 class FactStore:
-    """A fact table stored below ``path``, partitioned by time bucket."""
+    """A table with a ``timestamp`` stored below ``path``, partitioned by time bucket.
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str, partition_size: str = "1 day"):
+    Facts are keyed by (entity_id, timestamp); ``key`` names another key for other tables.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType | str, partition_size: str = "1 day",
+        key: Sequence[str] = KEY,
+    ):
         self.spark = spark
+        self.key = tuple(key)
         self.path = path
         self.partition_size = partition_size
         self.schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -164,9 +171,9 @@ class FactStore:
 
     def _write(self, rows: DataFrame, mode: str) -> None:
         """Range partitioning keeps files even when one bucket holds most rows."""
-        ordered = self._bucketed(rows.select(*self.schema.names)).repartitionByRange(BUCKET, *KEY)
+        ordered = self._bucketed(rows.select(*self.schema.names)).repartitionByRange(BUCKET, *self.key)
         (
-            ordered.sortWithinPartitions(BUCKET, *KEY)
+            ordered.sortWithinPartitions(BUCKET, *self.key)
             .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BUCKET)
@@ -185,10 +192,13 @@ class FactStore:
         """Stored rows of the buckets the batch falls into; no other folder is listed or read."""
         return self._stored().filter(F.col(BUCKET).isin(self._bucket_numbers(batch)))
 
+    def merge(self, batch: DataFrame, combine: Callable[[DataFrame], DataFrame]) -> None:
+        """Rewrite the buckets of a batch with ``combine`` of their stored rows."""
+        self._write(combine(self._touched(batch).select(*self.schema.names)), "overwrite")
+
     def upsert(self, batch: DataFrame, now: Column, job_id: int, order: str | None = None) -> None:
-        """Merge a batch, rewriting the buckets it touches."""
-        existing = self._touched(batch).select(*self.schema.names)
-        self._write(upsert_partial(existing, batch, now, job_id, order), "overwrite")
+        """Merge facts on their key, rewriting the buckets they fall into."""
+        self.merge(batch, lambda stored: upsert_partial(stored, batch, now, job_id, order))
 
     def append_or_upsert(self, batch: DataFrame, now: Column, job_id: int, order: str | None = None) -> str:
         """Append when no key of the batch is stored or repeated, else merge; tells which."""

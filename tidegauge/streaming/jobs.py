@@ -27,7 +27,7 @@ REPROCESSING_PERIOD = "3 days"
 
 
 class VersionedTable:
-    """A table rewritten as a whole per micro-batch, one folder per batch.
+    """A small table (entities, current attributes, counts) rewritten per micro-batch.
 
     A batch reads the newest older version, so running it again gives the same result and
     readers of the previous version are not disturbed. The ``keep`` newest versions stay.
@@ -86,18 +86,25 @@ def ingest(
     return rows.writeStream.foreachBatch(store_batch)
 
 
-def process_log(log: DataFrame, modified: VersionedTable) -> DataStreamWriter:
-    """Keep ``modified`` up to date with an arriving modified log.
+def process_log(log: DataFrame, modified: FactStore) -> DataStreamWriter:
+    """Keep the stored ``modified`` rows up to date with an arriving modified log.
 
-    The checkpoint takes the place of a high-water mark: each log row is in one batch.
+    The checkpoint takes the place of a high-water mark: each log row is in one batch. Only
+    the time buckets of changed labels are rewritten.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        modified.write(number, process_modified_log(batch, modified.before(number), start_id=-1))
+        batch.persist()
+        modified.merge(batch, lambda stored: process_modified_log(batch, stored, start_id=-1))
+        batch.unpersist()
 
     return log.writeStream.foreachBatch(merge)
 
 
+def modified_store(spark, path: str, partition_size: str = "1 day") -> FactStore:
+    return FactStore(spark, path, MODIFIED_SCHEMA, partition_size, key=("part", "timestamp"))
+
+
 def rollup(
     records: DataFrame, source: str, target: str, trends: Sequence[str], lateness: str = REPROCESSING_PERIOD
 ) -> DataFrame:
@@ -165,6 +172,17 @@ def keep_latest(updates: DataFrame, table: VersionedTable, key: Sequence[str]) -
     return updates.writeStream.outputMode("update").foreachBatch(merge)
 
 
+def into_store(updates: DataFrame, store: FactStore, now: Callable[[int], Column]) -> DataStreamWriter:
+    """Merge an update-mode aggregate of facts into a store, bucket by bucket."""
+
+    def merge(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        store.upsert(batch, now(number), number)
+        batch.unpersist()
+
+    return updates.writeStream.outputMode("update").foreachBatch(merge)
+
+
 def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
     """Process everything that has arrived, then stop."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -236,6 +236,13 @@ def exception_join(t):
     return J.exception_join(t.fact_15m, t.exceptions, ["max_value"])
 
 
+@query(f"""WITH {F15}, {EXC} SELECT f15.entity_id, f15."timestamp", value, samples, exc.max_value AS exc_max_value FROM f15
+    LEFT JOIN exc ON exc.entity_id = f15.entity_id AND exc."start" <= f15."timestamp" AND exc.expires > f15."timestamp" """)
+def exception_join_sliced(t):
+    """The same with time slices as part of the join key."""
+    return J.exception_join(t.fact_15m, t.exceptions, ["max_value"], slice_width="1 day")
+
+
 @query(f"""WITH {HIST} SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY "timestamp" DESC) AS rn
     FROM hist WHERE "timestamp" <= TIMESTAMP '2024-01-15 00:00:00') WHERE rn = 1""")
 def attribute_at(t):
@@ -248,6 +255,13 @@ def attribute_as_of_join(t):
     return J.as_of_join(t.fact_15m, t.history, ["event_type", "id"])
 
 
+@query(f"""WITH {F15}, {HIST} SELECT f15.entity_id, f15."timestamp", value, samples, event_type, id FROM f15
+    ASOF LEFT JOIN hist ON hist.entity_id = f15.entity_id AND f15."timestamp" >= hist."timestamp" """)
+def attribute_as_of_join_sliced(t):
+    """The same with the rows of every entity cut into time slices."""
+    return J.as_of_join(t.fact_15m, t.history, ["event_type", "id"], width="6 hours")
+
+
 @query("""SELECT name, count(*) AS uses FROM (SELECT DISTINCT c_nationkey AS name, 'customer' AS origin FROM customer
     UNION ALL SELECT DISTINCT s_nationkey, 'supplier' FROM supplier UNION ALL SELECT n_nationkey, 'nation' FROM nation) GROUP BY 1""")
 def union_ops(t):

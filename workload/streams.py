@@ -45,11 +45,13 @@ def _run(t, writer):
 def stream_rollup(t):
     rolled = J.rollup(_records(_split_events(t)), "15m", "1h", ["value"], _LATENESS)
     rolled = rolled.withColumn("value", F.col("value").cast(TOTAL))
-    table = J.VersionedTable(
-        t.spark, scratch_path(t.spark, "rollup"), "entity_id bigint, timestamp timestamp_ntz, samples bigint, value decimal(38,2)"
+    store = FactStore(
+        t.spark, scratch_path(t.spark, "rollup"),
+        "entity_id bigint, timestamp timestamp_ntz, created timestamp_ntz, job_id bigint, samples bigint, value decimal(38,2)",
+        "10 days",
     )
-    _run(t, J.keep_latest(rolled, table, ["entity_id", "timestamp"]))
-    return table.read()
+    _run(t, J.into_store(rolled, store, now=lambda batch: at(NOW)))
+    return store.read().drop("created", "job_id")
 
 
 @query(f"WITH {MOD} SELECT * FROM modified".replace('min(modified) AS "first"', 'max(modified) AS "first"'))
@@ -59,9 +61,9 @@ def stream_modified_log(t):
         F.col("event_id").alias("id"), F.col("event_type").alias("part"),
         ceil_to_granularity("ts", "15m").alias("timestamp"), F.col("ts").alias("modified"),
     )
-    table = J.VersionedTable(t.spark, scratch_path(t.spark, "modified"), J.MODIFIED_SCHEMA)
-    _run(t, J.process_log(log, table))
-    return table.read()
+    store = J.modified_store(t.spark, scratch_path(t.spark, "modified"), "10 days")
+    _run(t, J.process_log(log, store))
+    return store.read()
 
 
 @query(f"""WITH {REC}, {EXC} SELECT DISTINCT rec.entity_id, rec."timestamp", 1 AS rule_id, {_NOW} AS created FROM rec

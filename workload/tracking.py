@@ -47,6 +47,12 @@ def attribute_run_length_sliced(t):
     return H.attribute_run_length(t.history, width="6 hours")
 
 
+@query(f"""WITH {HIST} SELECT entity_id, "timestamp",
+    coalesce(hash <> lag(hash) OVER (PARTITION BY entity_id ORDER BY "timestamp"), true) AS change FROM hist""")
+def attribute_changes_sliced(t):
+    return H.attribute_changes(t.history, width="6 hours")
+
+
 @query(f"""WITH {HIST}, {_COMPACT} SELECT * FROM compacted""")
 def attribute_compact(t):
     return H.attribute_compact(t.history, ["event_type"], at(NOW))
