@@ -197,7 +197,7 @@ def replace_timestamps(destination: DataFrame, fresh: DataFrame, labels: DataFra
     """
     stamped = fresh.join(labels, "timestamp", "left_semi").withColumn("created", now).withColumn("job_id", F.lit(job_id).cast("bigint"))
     kept = destination.join(labels, "timestamp", "left_anti")
-    return kept.unionByName(stamped.select(*destination.columns))
+    return kept.select(*destination.columns).unionByName(stamped.select(*destination.columns))
 
 
 def mark_processed(state: DataFrame, done: DataFrame, job_id: int) -> DataFrame:

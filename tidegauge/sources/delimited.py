@@ -48,10 +48,10 @@ def text_schema(names: Sequence[str]) -> T.StructType:
 def read_delimited(spark: SparkSession, path: str, layout: DelimitedFormat = DelimitedFormat()) -> DataFrame:
     """Rows ``entity, timestamp, line, <text columns>``; RFC 3339 timestamps become UTC.
 
-    Empty cells stay empty text so that the null token decides what is NULL. ``line`` orders
-    the rows as they were read.
+    Empty cells become empty text so that the null token decides what is NULL; a row with too
+    few or too many cells fails the job. ``line`` orders the rows as they were read.
     """
-    options = {"sep": layout.separator, "emptyValue": "", "nullValue": "\u0000", "enforceSchema": "false"}
+    options = {"sep": layout.separator, "mode": "FAILFAST", "enforceSchema": "false"}
     reader = spark.read.options(**options)
     if layout.columns is None:
         raw = reader.csv(path, header=True)
@@ -68,7 +68,7 @@ def named_rows(raw: DataFrame, layout: DelimitedFormat) -> DataFrame:
         F.col(layout.entity_column).alias("entity"),
         F.col(layout.timestamp_column).cast("timestamp").cast(NTZ).alias("timestamp"),
         *line,
-        *values,
+        *[F.coalesce(F.col(name), F.lit("")).alias(name) for name in values],
     )
 
 
