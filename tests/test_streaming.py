@@ -72,21 +72,22 @@ def test_notifications_are_sent_once(spark, tmp_path, arriving, rows, ts):
     from tests.test_rules import RULE
 
     schema = "entity_id int, timestamp timestamp_ntz, power double"
+    table = J.AppendedTable(spark, str(tmp_path / "out"), "entity_id int, timestamp timestamp_ntz, weight int")
     for data in ([(1, T0, 3.0), (2, T0, 0.01)], [(1, T0, 3.0), (1, quarter(1), 2.0)]):
         arriving(data, schema)
         found = J.notifications(arriving.stream(schema), RULE, None, ts("2024-02-01 00:00:00"))
-        J.run_available(J.append_batches(found, str(tmp_path / "out")), str(tmp_path / "cp"))
-    got = spark.read.parquet(str(tmp_path / "out")).select("entity_id", "timestamp", "weight")
+        J.run_available(J.append_batches(found, table), str(tmp_path / "cp"))
+    got = table.read().select("entity_id", "timestamp", "weight")
     assert rows(got) == [(1, T0, 500), (1, quarter(1), 500)]
 
 
 def test_current_attributes_and_counts(spark, tmp_path, arriving, rows):
     current = J.VersionedTable(spark, str(tmp_path / "current"), "entity_id bigint, timestamp timestamp_ntz, value bigint", keep=2)
-    counts = J.VersionedTable(spark, str(tmp_path / "counts"), "part string, timestamp timestamp_ntz, count bigint")
+    counts = FactStore(spark, str(tmp_path / "counts"), "part string, timestamp timestamp_ntz, count bigint", key=("part", "timestamp"))
     for data in ([(1, quarter(1), 10), (2, quarter(1), 20)], [(1, quarter(2), 11)], [(2, T0, 19), (3, quarter(1), 30)], [(3, quarter(5), 31)]):
         arriving(data)
         J.run_available(J.keep_latest(J.attribute_current(arriving.stream()), current, ["entity_id"]), str(tmp_path / "cp1"))
-        J.run_available(J.keep_latest(J.completeness(arriving.stream(), "p"), counts, ["part", "timestamp"]), str(tmp_path / "cp2"))
+        J.run_available(J.put_in_store(J.completeness(arriving.stream(), "p"), counts), str(tmp_path / "cp2"))
     assert rows(current.read()) == [(1, quarter(2), 11), (2, quarter(1), 20), (3, quarter(5), 31)]
     assert rows(counts.read().select("timestamp", "count")) == [(T0, 1), (quarter(1), 3), (quarter(2), 1), (quarter(5), 1)]
     assert len(list((tmp_path / "current").glob("version=*"))) == 2
@@ -96,17 +97,17 @@ def test_ingest_merges_and_logs(spark, tmp_path, arriving, rows, ts):
     schema = "entity string, timestamp timestamp_ntz, a bigint, b bigint"
     store = FactStore(spark, str(tmp_path / "facts"),
         "entity_id bigint, timestamp timestamp_ntz, created timestamp_ntz, job_id bigint, a bigint, b bigint", "1 day")
-    entities = J.VersionedTable(spark, str(tmp_path / "entities"), J.ENTITY_SCHEMA)
-    log = str(tmp_path / "log")
+    entities = J.AppendedTable(spark, str(tmp_path / "entities"), J.ENTITY_SCHEMA)
+    log = J.AppendedTable(spark, str(tmp_path / "log"), J.LOG_SCHEMA)
     for data in ([("x", T0, 1, 2), ("y", T0, 3, 4)], [("x", T0, 10, 20), ("z", quarter(200), 5, 6)]):
         arriving(data, schema)
         J.run_available(
             J.ingest(arriving.stream(schema), "p", store, entities, log, now=lambda n: ts("2024-02-01 00:00:00")), str(tmp_path / "cp")
         )
-    named = store.read().join(entities.read().withColumnRenamed("id", "entity_id"), "entity_id")
+    named = store.read().join(entities.read().drop("created").withColumnRenamed("id", "entity_id"), "entity_id")
     assert rows(named.select("name", "timestamp", "a", "b", "job_id")) == [
         ("x", T0, 10, 20, 0), ("y", T0, 3, 4, 0), ("z", quarter(200), 5, 6, 1),
     ]
     assert sorted(row.id for row in entities.read().collect()) == [1, 2, 3]
-    logged = spark.read.parquet(log).filter(F.col("part") == "p")
+    logged = log.read().filter(F.col("part") == "p")
     assert rows(logged.select("batch", "timestamp")) == [(0, T0), (1, T0), (1, quarter(200))]

@@ -191,6 +191,11 @@ def max_modified(modified: DataFrame, part: str, before: Column) -> DataFrame:
     )
 
 
+def max_modified_at(records: DataFrame, ts: Column) -> DataFrame:
+    """Latest modification among the records at one timestamp."""
+    return records.filter(F.col("timestamp") == ts).agg(F.max("modified").alias("max_modified"))
+
+
 def execution_metrics(jobs: DataFrame) -> DataFrame:
     """Number of runs and total run time per materialization from its job log."""
     seconds = F.timestamp_diff("MICROSECOND", F.col("started"), F.col("finished"))

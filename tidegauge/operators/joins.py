@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import as_column, names, other_columns
 from tidegauge.functions.timeaxis import Interval
-from tidegauge.operators.slices import AUTO, slice_number, with_last_known
+from tidegauge.operators.slices import AUTO, slice_number, with_last_known, with_previous
 from tidegauge.plans.spec import KEY
 
 
@@ -90,11 +90,13 @@ def exception_join(
     return f.alias("f").join(e.alias("e"), condition, "left").select(*kept, *added)
 
 
-def overlapping_exceptions(exceptions: DataFrame) -> DataFrame:
-    """Exceptions that start before an earlier one of the same entity has expired."""
-    earlier = Window.partitionBy("entity_id").orderBy("start", "expires").rowsBetween(Window.unboundedPreceding, -1)
-    running = F.max("expires").over(earlier)
-    return exceptions.withColumn("__open", running).filter(F.col("start") < F.col("__open")).drop("__open")
+def overlapping_exceptions(exceptions: DataFrame, width=AUTO) -> DataFrame:
+    """Exceptions that start before the entity's previous one has expired.
+
+    Sorted by start, exceptions overlap anywhere only if two neighbours do.
+    """
+    ordered = with_previous(exceptions, "entity_id", "start", "expires", "__previous", width)
+    return ordered.filter(F.col("start") < F.col("__previous.value")).drop("__previous")
 
 
 def as_of_latest(history: DataFrame, ts: Column | None = None, key: str = "entity_id") -> DataFrame:

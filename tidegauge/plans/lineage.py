@@ -13,7 +13,7 @@ def lineage_closure(edges: DataFrame, roots: DataFrame, max_levels: int = 100) -
 
     A depender reached along several paths appears once per path. Equal paths are counted
     while the levels grow and only spelled out at the end, so each level is at most one row
-    per (root, depender). Levels are checkpointed: none is ever computed twice.
+    per (root, depender). Every level is written out, so none is ever computed twice.
     """
     step = edges.select("source", "depender")
     counted = (

@@ -12,12 +12,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from tidegauge.functions.columns import other_columns
 from tidegauge.functions.timeaxis import Interval, bucket_index, bucket_start, minus, plus
 from tidegauge.operators.changes import replace_timestamps
 from tidegauge.plans.spec import AUDIT, KEY
+from tidegauge.session import read_or_empty
 
 BUCKET = "bucket"
 
@@ -149,12 +149,7 @@ class FactStore:
 
     def _stored(self) -> DataFrame:
         typed = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.LongType())])
-        try:
-            return self.spark.read.schema(typed).parquet(self.path)
-        except AnalysisException as problem:
-            if problem.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], typed)
+        return read_or_empty(self.spark, self.path, typed)
 
     def read(self) -> DataFrame:
         return self._stored().drop(BUCKET)
@@ -196,6 +191,12 @@ class FactStore:
         """Rewrite the buckets of a batch with ``combine`` of their stored rows."""
         self._write(combine(self._touched(batch).select(*self.schema.names)), "overwrite")
 
+    def put(self, batch: DataFrame) -> None:
+        """Insert or replace whole rows by key; the batch has each key once."""
+        self.merge(batch, lambda stored: stored.join(batch.select(*self.key), list(self.key), "left_anti").unionByName(
+            batch.select(*self.schema.names)
+        ))
+
     def upsert(self, batch: DataFrame, now: Column, job_id: int, order: str | None = None) -> None:
         """Merge facts on their key, rewriting the buckets they fall into."""
         self.merge(batch, lambda stored: upsert_partial(stored, batch, now, job_id, order))

@@ -20,6 +20,7 @@ from tidegauge.operators.aggregates import samples
 from tidegauge.operators.changes import process_modified_log
 from tidegauge.operators.entities import create_missing_entities, resolve_entities
 from tidegauge.operators.rules import Rule
+from tidegauge.session import read_or_empty
 from tidegauge.sources.factstore import FactStore, emit_modified
 
 # Lets a source period still arrive for as long as a materialization is reprocessed.
@@ -27,7 +28,7 @@ REPROCESSING_PERIOD = "3 days"
 
 
 class VersionedTable:
-    """A small table (entities, current attributes, counts) rewritten per micro-batch.
+    """A table of one row per entity, such as current attributes, rewritten per micro-batch.
 
     A batch reads the newest older version, so running it again gives the same result and
     readers of the previous version are not disturbed. The ``keep`` newest versions stay.
@@ -62,25 +63,47 @@ class VersionedTable:
         return self.before()
 
 
+class AppendedTable:
+    """A table that only grows: each micro-batch adds one folder, rewritten if the batch runs again."""
+
+    def __init__(self, spark, path: str, schema: str):
+        self.spark, self.path, self.schema = spark, path, T.StructType.fromDDL(schema)
+
+    def read(self) -> DataFrame:
+        numbered = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
+        return read_or_empty(self.spark, self.path, numbered)
+
+    def before(self, batch: int) -> DataFrame:
+        """Rows of all earlier batches; later folders are not opened."""
+        return self.read().filter(F.col("batch") < batch).drop("batch")
+
+    def write(self, batch: int, rows: DataFrame) -> None:
+        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+
+
 ENTITY_SCHEMA = "id bigint, name string, created timestamp_ntz"
+LOG_SCHEMA = "part string, timestamp timestamp_ntz, modified timestamp_ntz"
 MODIFIED_SCHEMA = "part string, timestamp timestamp_ntz, first timestamp_ntz, last timestamp_ntz"
 
 
 def ingest(
-    rows: DataFrame, part: str, store: FactStore, entities: VersionedTable, log_path: str, now: Callable[[int], Column],
+    rows: DataFrame, part: str, store: FactStore, entities: AppendedTable, log: AppendedTable, now: Callable[[int], Column],
     job_id: Callable[[int], int] = lambda batch: batch, order: str | None = None,
 ) -> DataStreamWriter:
-    """Arriving rows (``entity, timestamp, trends``): resolve entities, merge, log what changed."""
+    """Arriving rows (``entity, timestamp, trends``): resolve entities, merge, log what changed.
+
+    Only new entities are written; ids depend on the names alone, so a repeated batch gives
+    the same ones.
+    """
 
     def store_batch(batch: DataFrame, number: int) -> None:
         batch.persist()
         moment = now(number)
-        known = entities.before(number)
-        everyone = known.unionByName(create_missing_entities(known, batch.select(F.col("entity").alias("name")), moment))
-        entities.write(number, everyone)
+        names = batch.select(F.col("entity").alias("name"))
+        entities.write(number, create_missing_entities(entities.before(number), names, moment))
         resolved = resolve_entities(batch, entities.before(number + 1))
         store.upsert(resolved, moment, job_id(number), order)
-        emit_modified(resolved, part, moment).write.mode("overwrite").parquet(f"{log_path}/batch={number}")
+        log.write(number, emit_modified(resolved, part, moment))
         batch.unpersist()
 
     return rows.writeStream.foreachBatch(store_batch)
@@ -153,13 +176,9 @@ def completeness(records: DataFrame, part: str, lateness: str = REPROCESSING_PER
     return counted.withColumn("timestamp", F.col("timestamp").cast(NTZ))
 
 
-def append_batches(rows: DataFrame, path: str) -> DataStreamWriter:
-    """Append results below ``path``, one folder per micro-batch."""
-
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    return rows.writeStream.outputMode("append").foreachBatch(write)
+def append_batches(rows: DataFrame, table: AppendedTable) -> DataStreamWriter:
+    """Append results to a table, one folder per micro-batch."""
+    return rows.writeStream.outputMode("append").foreachBatch(lambda batch, number: table.write(number, batch))
 
 
 def keep_latest(updates: DataFrame, table: VersionedTable, key: Sequence[str]) -> DataStreamWriter:
@@ -183,6 +202,17 @@ def into_store(updates: DataFrame, store: FactStore, now: Callable[[int], Column
     return updates.writeStream.outputMode("update").foreachBatch(merge)
 
 
+def put_in_store(updates: DataFrame, store: FactStore) -> DataStreamWriter:
+    """Insert or replace the rows of an update-mode aggregate by the store's key."""
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        store.put(batch)
+        batch.unpersist()
+
+    return updates.writeStream.outputMode("update").foreachBatch(put)
+
+
 def run_available(writer: DataStreamWriter, checkpoint: str) -> None:
     """Process everything that has arrived, then stop."""
     query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -71,9 +71,12 @@ def stream_modified_log(t):
     WHERE value > coalesce(exc.max_value, 100)""")
 def stream_notifications(t):
     found = J.notifications(_records(_split_events(t)), HIGH_VALUE, t.exceptions, at(NOW), _LATENESS)
-    path = scratch_path(t.spark, "notifications")
-    _run(t, J.append_batches(found, path))
-    return t.spark.read.parquet(path).select("entity_id", "timestamp", "rule_id", "created")
+    table = J.AppendedTable(
+        t.spark, scratch_path(t.spark, "notifications"),
+        "entity_id bigint, timestamp timestamp_ntz, rule_id int, created timestamp_ntz, weight int, details string, data string",
+    )
+    _run(t, J.append_batches(found, table))
+    return table.read().select("entity_id", "timestamp", "rule_id", "created")
 
 
 @query(f"""WITH {HIST} SELECT entity_id, id, "timestamp", event_type FROM
@@ -92,9 +95,12 @@ def stream_attribute_current(t):
 @query(f"""WITH {REC} SELECT 'events_15m' AS part, "timestamp", count(*) AS count FROM rec GROUP BY 2""")
 def stream_completeness(t):
     counts = J.completeness(_records(_split_events(t)), "events_15m", _LATENESS)
-    table = J.VersionedTable(t.spark, scratch_path(t.spark, "counts"), "part string, timestamp timestamp_ntz, count bigint")
-    _run(t, J.keep_latest(counts, table, ["part", "timestamp"]))
-    return table.read()
+    store = FactStore(
+        t.spark, scratch_path(t.spark, "counts"), "part string, timestamp timestamp_ntz, count bigint", "10 days",
+        key=("part", "timestamp"),
+    )
+    _run(t, J.put_in_store(counts, store))
+    return store.read()
 
 
 @query(f"""SELECT 'user ' || user_id AS name, ts AS "timestamp", CAST(value AS DECIMAL(18,2)) AS value, {_NOW} AS created FROM events""")
@@ -107,7 +113,8 @@ def stream_ingest(t):
         t.spark, scratch_path(t.spark, "facts"),
         "entity_id bigint, timestamp timestamp_ntz, created timestamp_ntz, job_id bigint, value decimal(18,2)", "10 days",
     )
-    entities = J.VersionedTable(t.spark, scratch_path(t.spark, "entities"), J.ENTITY_SCHEMA)
-    _run(t, J.ingest(rows, "events", store, entities, scratch_path(t.spark, "log"), now=lambda batch: at(NOW)))
+    entities = J.AppendedTable(t.spark, scratch_path(t.spark, "entities"), J.ENTITY_SCHEMA)
+    log = J.AppendedTable(t.spark, scratch_path(t.spark, "log"), J.LOG_SCHEMA)
+    _run(t, J.ingest(rows, "events", store, entities, log, now=lambda batch: at(NOW)))
     names = entities.read().select(F.col("id").alias("entity_id"), "name")
     return store.read().join(names, "entity_id").select("name", "timestamp", "value", "created")
