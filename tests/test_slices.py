@@ -71,12 +71,25 @@ def test_as_of_join_against_a_loop(spark, width):
         assert got[n] == (max(known, key=lambda x: x[2])[0] if known else None)
 
 
-def test_measured_width_bounds_the_fullest_slice(spark):
+def test_measuring_finds_the_hot_keys_and_bounds_their_slices(spark, rows):
     history, _ = skewed(spark, 7)
-    assert S.measured_width(history, ["entity_id"], "timestamp") is None
-    width = S.measured_width(history, ["entity_id"], "timestamp", rows_per_slice=5)
-    counts = history.groupBy("entity_id", S.slice_number("timestamp", width)).count().agg(F.max("count")).first()[0]
-    assert counts <= 5
+    assert S.measured_slicing(history, ["entity_id"], "timestamp") is None
+    assert S.measured_slicing(history, ["entity_id"], "timestamp", rows_per_task=550) is None
+    slicing = S.measured_slicing(history, ["entity_id"], "timestamp", rows_per_task=100)
+    assert rows(slicing.hot) == [(0,)]
+    hot = history.filter("entity_id = 0").groupBy(S.slice_number("timestamp", slicing.width)).count()
+    assert hot.agg(F.max("count")).first()[0] <= 100
+
+
+@pytest.mark.parametrize("rows_per_task", [20, 100])
+def test_only_hot_keys_sliced(spark, rows, rows_per_task):
+    history, _ = skewed(spark, 10)
+    slicing = S.measured_slicing(history, ["entity_id"], "timestamp", rows_per_task)
+    assert rows(attribute_run_length(history, width=slicing)) == rows(attribute_run_length(history, width=None))
+    assert rows(attribute_changes(history, width=slicing)) == rows(attribute_changes(history, width=None))
+    facts = history.select("entity_id", F.col("timestamp") + F.expr("interval 7 minutes"), "id").toDF("entity_id", "timestamp", "n")
+    sliced = as_of_join(facts, history, ["id"], width=slicing)
+    assert rows(sliced) == rows(as_of_join(facts, history, ["id"], width=None))
 
 
 def test_compaction_is_the_same_sliced(spark, rows, ts):

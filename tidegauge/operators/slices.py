@@ -1,78 +1,102 @@
 """Ordered operators that survive a key holding a large share of all rows.
 
-A plain window over ``key ORDER BY time`` sorts every row of a key in one task. Here the
-rows of a key are cut into time slices; the window runs per (key, slice), and what has to
-travel between slices is carried by a second window over *one row per slice*. Both joins
-reuse the (key, slice) partitioning, so the large input is shuffled once, as in the plain
-form.
-
-``width`` picks the slice length. ``AUTO`` measures: input that one task may well hold keeps
-the plain window, anything larger gets slices short enough for the fullest (key, slice).
+A plain window over ``key ORDER BY time`` sorts every row of a key in one task. Here the rows
+of a *hot* key are cut into time slices; the window runs per (key, slice), and what has to
+travel between slices is carried by a second window over *one row per slice*. Keys that one
+task may well hold keep a single slice, so they cost what a plain window costs; the join
+reuses the (key, slice) partitioning, so the large input is shuffled once.
+
+``width`` is the slice length for all keys, None for plain windows, or ``AUTO``: measure
+which keys are hot and how short their slices have to be.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import names
 from tidegauge.functions.timeaxis import MICROS, Interval, epoch_micros
+from tidegauge.session import cut_lineage
 
 AUTO = "auto"
-ROWS_PER_SLICE = 1_000_000
+# Rows one task may sort; a sort this long spills at worst.
+ROWS_PER_TASK = 4_000_000
 _SLICE = "__slice"
 _WIDEST = 86400 * MICROS
 
 
+@dataclass(frozen=True)
+class Slicing:
+    """Slice length in microseconds and the keys it is for (None: all keys)."""
+
+    width: int
+    hot: DataFrame | None = None
+
+
 def slice_number(order: str, width_micros: int) -> Column:
-    micros = epoch_micros(order)
-    return F.floor(micros / F.lit(width_micros)).cast("bigint")
+    return F.floor(epoch_micros(order) / F.lit(width_micros)).cast("bigint")
 
 
-def measured_width(df: DataFrame, key: Sequence[str], order: str, rows_per_slice: int = ROWS_PER_SLICE) -> int | None:
-    """Slice length in microseconds, or None when all rows together fit one task.
+def measured_slicing(df: DataFrame, key: Sequence[str], order: str, rows_per_task: int = ROWS_PER_TASK) -> Slicing | None:
+    """Hot keys and a slice length that keeps each of their slices within one task.
 
-    Each round is one map-side-combined count that returns a single number.
+    None when no key has more rows than a task may hold. Each step is a map-side-combined
+    count; the hot keys are at most (all rows / ``rows_per_task``) and go to a small table.
     """
-    if df.select(order).count() <= rows_per_slice:
+    slim = df.select(*key, order)
+    if slim.count() <= rows_per_task:
         return None
+    hot = cut_lineage(slim.groupBy(*key).count().filter(F.col("count") > rows_per_task).select(*key))
+    if hot.isEmpty():
+        return None
+    rows = slim.join(hot, list(key), "left_semi")
     width = _WIDEST
     while width > 1:
-        counts = df.groupBy(*key, slice_number(order, width).alias(_SLICE)).count()
+        counts = rows.groupBy(*key, slice_number(order, width).alias(_SLICE)).count()
         fullest = counts.agg(F.max("count")).first()[0]
-        if fullest <= rows_per_slice:
-            return width
-        width = max(1, width // (-(-fullest // rows_per_slice)))
-    return width
+        if fullest <= rows_per_task:
+            break
+        width = max(1, width // (-(-fullest // rows_per_task)))
+    return Slicing(width, hot)
 
 
-def _resolve(df: DataFrame, key: Sequence[str], order: str, width) -> int | None:
-    if width is None:
-        return None
+def _resolve(df: DataFrame, key: Sequence[str], order: str, width) -> Slicing | None:
+    if width is None or isinstance(width, Slicing):
+        return width
     if width == AUTO:
-        return measured_width(df, key, order)
-    return Interval.of(width).micros
+        return measured_slicing(df, key, order)
+    return Slicing(Interval.of(width).micros)
+
+
+def _sliced(df: DataFrame, keys: list[str], order: str, slicing: Slicing) -> DataFrame:
+    """Add the slice number, NULL for keys that are not hot."""
+    number = slice_number(order, slicing.width)
+    if slicing.hot is None:
+        return df.withColumn(_SLICE, number)
+    marked = df.join(slicing.hot.withColumn("__hot", F.lit(True)), keys, "left")
+    return marked.withColumn(_SLICE, F.when(F.col("__hot"), number))
 
 
 def _carried(
-    df: DataFrame, key: list[str], order: str, width: int | None, local: Column, tail: Column,
-    carry: Callable[[Column], Column], merge: Callable[[Column, Column], Column], name: str, ties: Sequence[str],
+    df: DataFrame, key: list[str], order: str, slicing: Slicing | None, local: Column, tail: Column,
+    carry: Callable[[Column], Column], name: str, ties: Sequence[str] = (),
 ) -> DataFrame:
-    if width is None:
+    if slicing is None:
         window = Window.partitionBy(*key).orderBy(order, *ties)
         return df.withColumn(name, local.over(window))
-    sliced = df.withColumn(_SLICE, slice_number(order, width))
-    per_slice = sliced.groupBy(*key, _SLICE).agg(tail.alias("__tail"))
+    sliced = _sliced(df, key, order, slicing)
+    per_slice = sliced.filter(F.col(_SLICE).isNotNull()).groupBy(*key, _SLICE).agg(tail.alias("__tail"))
     earlier = Window.partitionBy(*key).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     carried = per_slice.select(*key, _SLICE, carry(F.col("__tail")).over(earlier).alias("__carried"))
     window = Window.partitionBy(*key, _SLICE).orderBy(order, *ties)
     return (
         sliced.withColumn("__local", local.over(window))
         .join(carried, [*key, _SLICE], "left")
-        .withColumn(name, merge(F.col("__local"), F.col("__carried")))
-        .drop("__local", "__carried", _SLICE)
+        .select(*df.columns, F.coalesce("__local", "__carried").alias(name))
     )
 
 
@@ -81,10 +105,20 @@ def with_previous(df: DataFrame, key, order: str, value: str, name: str = "previ
     keys = names(key)
     boxed = F.struct(F.col(value).alias("value"))
     return _carried(
-        df, keys, order, _resolve(df, keys, order, width),
-        local=F.lag(boxed), tail=F.max_by(boxed, order),
-        carry=lambda tail: F.last(tail, ignorenulls=True),
-        merge=F.coalesce, name=name, ties=(),
+        df, keys, order, _resolve(df, keys, order, width), local=F.lag(boxed), tail=F.max_by(boxed, order),
+        carry=lambda tail: F.last(tail, ignorenulls=True), name=name,
+    )
+
+
+def with_last_known(
+    df: DataFrame, key, order: str, value: str, name: str, ties: Sequence[str] = (), width=AUTO
+) -> DataFrame:
+    """Add the latest non-NULL ``value`` at or before this row."""
+    keys = names(key)
+    at = F.when(F.col(value).isNotNull(), F.col(order))
+    return _carried(
+        df, keys, order, _resolve(df, keys, order, width), local=F.last(value, ignorenulls=True), tail=F.max_by(value, at),
+        carry=lambda tail: F.last(tail, ignorenulls=True), name=name, ties=ties,
     )
 
 
@@ -96,21 +130,25 @@ def with_run_start(df: DataFrame, key, order: str, value: str, name: str = "run"
     slices' first and last values, one row each.
     """
     keys = names(key)
-    micros = _resolve(df, keys, order, width)
-    if micros is None:
+    slicing = _resolve(df, keys, order, width)
+    boxed = F.struct(F.col(value).alias("value"))
+    before = F.col("__before")
+    changed = F.coalesce(F.col(value) != before["value"], F.lit(False))
+    if slicing is None:
         window = Window.partitionBy(*keys).orderBy(order)
-        before = F.lag(F.struct(F.col(value).alias("value"))).over(window)
-        marked = df.withColumn("__before", before).withColumn("__start", _run_start(order, value, first=True))
-        return marked.withColumn(name, F.max("__start").over(window)).drop("__before", "__start")
+        marked = df.withColumn("__before", F.lag(boxed).over(window)).withColumn(
+            "__start", F.when(changed | before.isNull(), F.col(order))
+        )
+        return marked.select(*df.columns, F.max("__start").over(window).alias(name))
 
     window = Window.partitionBy(*keys, _SLICE).orderBy(order)
-    boxed = F.struct(F.col(value).alias("value"))
+    opening = before.isNull() & F.col(_SLICE).isNull()
     marked = (
-        df.withColumn(_SLICE, slice_number(order, micros))
+        _sliced(df, keys, order, slicing)
         .withColumn("__before", F.lag(boxed).over(window))
-        .withColumn("__start", _run_start(order, value, first=False))
+        .withColumn("__start", F.when(changed | opening, F.col(order)))
     )
-    per_slice = marked.groupBy(*keys, _SLICE).agg(
+    per_slice = marked.filter(F.col(_SLICE).isNotNull()).groupBy(*keys, _SLICE).agg(
         F.min(order).alias("begin"),
         F.min_by(boxed, order).alias("head"),
         F.max_by(boxed, order).alias("tail"),
@@ -125,27 +163,5 @@ def with_run_start(df: DataFrame, key, order: str, value: str, name: str = "run"
     return (
         marked.withColumn("__local", F.max("__start").over(window))
         .join(heads, [*keys, _SLICE], "left")
-        .withColumn(name, F.coalesce("__local", "__head"))
-        .drop("__before", "__start", "__local", "__head", _SLICE)
-    )
-
-
-def _run_start(order: str, value: str, first: bool) -> Column:
-    """``order`` where the value changed; ``first`` tells whether a row without predecessor counts."""
-    before = F.col("__before")
-    changed = F.coalesce(F.col(value) != before["value"], F.lit(False))
-    return F.when(changed | before.isNull() if first else changed, F.col(order))
-
-
-def with_last_known(
-    df: DataFrame, key, order: str, value: str, name: str, ties: Sequence[str] = (), width=AUTO
-) -> DataFrame:
-    """Add the latest non-NULL ``value`` at or before this row."""
-    keys = names(key)
-    at = F.when(F.col(value).isNotNull(), F.col(order))
-    return _carried(
-        df, keys, order, _resolve(df, keys, order, width),
-        local=F.last(value, ignorenulls=True), tail=F.max_by(value, at),
-        carry=lambda tail: F.last(tail, ignorenulls=True),
-        merge=F.coalesce, name=name, ties=ties,
+        .select(*df.columns, F.coalesce("__local", "__head").alias(name))
     )
