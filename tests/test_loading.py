@@ -166,11 +166,11 @@ def test_hot_bucket_is_split_over_files(spark, tmp_path, ts):
         F.col("id").alias("entity_id"), ts("2024-01-01 12:00:00").alias("timestamp"), ts("2024-01-01 12:00:00").alias("created"),
         F.lit(1).cast("bigint").alias("job_id"), F.col("id").cast("int").alias("v"), F.lit(0).alias("w"),
     )
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
     try:
         store.append(one_day)
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(list((tmp_path / "s" / "bucket=19723").glob("*.parquet"))) > 1
     assert store.read().count() == 200_000
 
