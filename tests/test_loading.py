@@ -160,6 +160,14 @@ def test_store_opens_only_wanted_buckets(spark, tmp_path, ts):
     assert "PartitionFilters: [isnotnull(bucket" in plan and "bucket" in plan.split("PartitionFilters")[1]
 
 
+def test_periods_open_only_their_buckets(spark, tmp_path, ts):
+    store = S.FactStore(spark, str(tmp_path / "s"), KEYED, "1 day")
+    store.append_or_upsert(batch(spark, [(1, datetime(2024, 1, d, 12), d) for d in range(1, 10)]), ts("2024-02-01 00:00:00"), 1)
+    labels = spark.createDataFrame([(datetime(2024, 1, 3),), (datetime(2024, 1, 7, 1),)], "timestamp timestamp_ntz")
+    days = {row.timestamp.day for row in store.of_periods(labels, "1d").collect()}
+    assert days == {2, 3, 6, 7}
+
+
 def test_hot_bucket_is_split_over_files(spark, tmp_path, ts):
     store = S.FactStore(spark, str(tmp_path / "s"), KEYED, "1 day")
     one_day = spark.range(200_000).select(

@@ -140,8 +140,8 @@ def floor_to_granularity(ts: Col, granularity: Interval | str | int) -> Column:
 
 def ceil_to_granularity(ts: Col, granularity: Interval | str | int) -> Column:
     """Next boundary, or ``ts`` itself when it already lies on one."""
-    floor = floor_to_granularity(ts, granularity)
-    return F.when(floor == as_column(ts).cast(NTZ), floor).otherwise(plus(floor, granularity))
+    just_before = as_column(ts) - F.lit(timedelta(microseconds=1))
+    return plus(floor_to_granularity(just_before, granularity), granularity)
 
 
 def map_label(ts: Col, source: Interval | str | int, target: Interval | str | int) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tidegauge.functions.timeaxis import map_label
 from tidegauge.operators.aggregates import time_rollup
 from tidegauge.operators.changes import replace_timestamps
+from tidegauge.session import cut_lineage
+from tidegauge.sources.factstore import FactStore
 
 
 def touched_labels(changed: DataFrame, source: str, target: str) -> DataFrame:
@@ -37,4 +39,16 @@ def incremental_rollup(
     labels = touched_labels(changed, source, target)
     touched = records_of_labels(records, labels, source, target)
     fresh = time_rollup(touched, source, target, trends, samples_from)
-    return replace_timestamps(destination, fresh, labels, now, job_id)
+    return replace_timestamps(destination, fresh, labels, now, job_id, within_labels=True)
+
+
+def incremental_rollup_stored(
+    source_store: FactStore, destination_store: FactStore, changed: DataFrame, source: str, target: str,
+    trends: Sequence[str], now: Column, job_id: int, samples_from: str | None = None,
+) -> None:
+    """The same between two stores: reads and rewrites only the buckets the touched labels need."""
+    labels = cut_lineage(touched_labels(changed, source, target))
+    records = source_store.of_periods(labels, target)
+    touched = records_of_labels(records, labels, source, target)
+    fresh = time_rollup(touched, source, target, trends, samples_from)
+    destination_store.replace(fresh, labels, now, job_id, within_labels=True)

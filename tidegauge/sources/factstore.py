@@ -161,6 +161,16 @@ class FactStore:
         inside = (F.col("timestamp") > low) & (F.col("timestamp") <= high)
         return self._stored().filter(F.col(BUCKET).between(*bounds) & inside).drop(BUCKET)
 
+    def of_periods(self, labels: DataFrame, period: Interval | str | int) -> DataFrame:
+        """Stored rows of the buckets that the periods labelled by ``labels`` reach into.
+
+        A superset of the periods' rows, read without opening any other folder.
+        """
+        first = bucket_index(minus("timestamp", period), self.partition_size)
+        last = bucket_index("timestamp", self.partition_size)
+        numbers = labels.select(F.explode(F.sequence(first, last)).alias(BUCKET)).distinct().collect()
+        return self._in_buckets(sorted(row[BUCKET] for row in numbers))
+
     def _bucketed(self, rows: DataFrame) -> DataFrame:
         return rows.withColumn(BUCKET, bucket_index("timestamp", self.partition_size))
 
@@ -185,11 +195,16 @@ class FactStore:
 
     def _touched(self, batch: DataFrame) -> DataFrame:
         """Stored rows of the buckets the batch falls into; no other folder is listed or read."""
-        return self._stored().filter(F.col(BUCKET).isin(self._bucket_numbers(batch)))
+        return self._in_buckets(self._bucket_numbers(batch))
+
+    def _in_buckets(self, numbers: Sequence[int]) -> DataFrame:
+        return self._stored().filter(F.col(BUCKET).isin(list(numbers))).drop(BUCKET)
 
     def merge(self, batch: DataFrame, combine: Callable[[DataFrame], DataFrame]) -> None:
         """Rewrite the buckets of a batch with ``combine`` of their stored rows."""
-        self._write(combine(self._touched(batch).select(*self.schema.names)), "overwrite")
+        numbers = self._bucket_numbers(batch)
+        if numbers:
+            self._write(combine(self._in_buckets(numbers)), "overwrite")
 
     def put(self, batch: DataFrame) -> None:
         """Insert or replace whole rows by key; the batch has each key once."""
@@ -215,14 +230,14 @@ class FactStore:
         self.append(stamp_job(wide, now, job_id))
         return "append"
 
-    def replace(self, fresh: DataFrame, labels: DataFrame, now: Column, job_id: int) -> None:
+    def replace(self, fresh: DataFrame, labels: DataFrame, now: Column, job_id: int, within_labels: bool = False) -> None:
         """Replace whole timestamps, rewriting the buckets they fall into."""
-        existing = self._touched(labels).select(*self.schema.names)
-        self._rewrite(replace_timestamps(existing, fresh, labels, now, job_id), labels)
+        existing = self._touched(labels)
+        self._rewrite(replace_timestamps(existing, fresh, labels, now, job_id, within_labels), labels)
 
     def delete_timestamp(self, ts: datetime) -> None:
         label = self.spark.range(1).select(F.lit(ts).cast("timestamp_ntz").alias("timestamp"))
-        existing = self._touched(label).select(*self.schema.names)
+        existing = self._touched(label)
         self._rewrite(existing.join(label, "timestamp", "left_anti"), label)
 
     def _rewrite(self, rows: DataFrame, labels: DataFrame) -> None:

@@ -12,6 +12,8 @@ from tidegauge.plans import incremental as I
 from tidegauge.plans.kpi import resolve_view_sources as resolve_sources
 from tidegauge.plans.lineage import lineage_closure as closure
 from tidegauge.plans.spec import Materialization, SourceLink
+from tidegauge.session import scratch_path
+from tidegauge.sources.factstore import FactStore, stamp_job
 from workload.registry import query
 from workload.tables import HIST, LOG, MOD, REC, TOTAL, at
 
@@ -325,6 +327,23 @@ def incremental_rollup(t):
     ).withColumn("value", F.col("value").cast(TOTAL))
 
 
+@query(f"""WITH {_DEST}, touched AS (SELECT DISTINCT {_H} AS "timestamp" FROM rec WHERE part = 'signup' AND "timestamp" > TIMESTAMP '2024-01-20 00:00:00')
+    SELECT *, TIMESTAMP '2024-01-01 00:00:00' AS created, 1 AS job_id FROM stale WHERE "timestamp" NOT IN (SELECT "timestamp" FROM touched)
+    UNION ALL SELECT *, {_NOW}, 2 FROM hourly WHERE "timestamp" IN (SELECT "timestamp" FROM touched)""")
+def incremental_rollup_stored(t):
+    """Between stored tables: late sign-ups change the buckets after 20 January, the others stay as they are."""
+    columns = "created timestamp_ntz, job_id bigint, value decimal(38,2)"
+    records = FactStore(t.spark, scratch_path(t.spark, "records"), f"entity_id bigint, timestamp timestamp_ntz, {columns}", "5 days")
+    hours = FactStore(t.spark, scratch_path(t.spark, "hours"), f"entity_id bigint, timestamp timestamp_ntz, samples bigint, {columns}", "5 days")
+    start = at("2024-01-01 00:00:00")
+    records.append(stamp_job(t.records_15m.select("entity_id", "timestamp", "value"), start, 1))
+    hours.append(_destination(t))
+    late = (F.col("part") == "signup") & (F.col("timestamp") > at("2024-01-20 00:00:00"))
+    changed = t.modified.filter(late).select("timestamp")
+    I.incremental_rollup_stored(records, hours, changed, "15m", "1h", ["value"], at(NOW), 2)
+    return hours.read()
+
+
 def _stats(t):
     """Counts of the older half of the log, taken just after it was processed."""
     counts = t.modified_log.filter(F.col("id") <= _OLD).groupBy("part", "timestamp").agg(
