@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.arrays import slices
+
 STATES = 200_000
 MEMO = 400_000
 MEMO_LENGTH = 32
@@ -363,25 +365,6 @@ def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids")
     return encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids")).mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
-def slices(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of about ``most`` bytes in ``column``, so that outputs stay small; a row is never cut."""
-    sizes = _sizes(batch.column(column))
-    ends = np.flatnonzero(np.diff(np.cumsum(sizes) // most, prepend=0)) + 1
-    first = 0
-    for last in (*ends.tolist(), len(sizes)):
-        if last > first:
-            yield batch.slice(first, last - first)
-            first = last
-
-
-def _sizes(column: pa.Array) -> np.ndarray:
-    import pyarrow.compute as pc
-
-    if pa.types.is_list(column.type):
-        return np.asarray(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)) * 4
-    return np.asarray(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
-
-
 def sha256_of_ids(ids) -> str:
     """Hex digest of the decimal ids joined by commas, for tests; queries compute it in SQL."""
     return hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()

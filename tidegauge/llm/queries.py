@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bytepairs, mixing, sharding
+from tidegauge.llm import bytepairs, covertree, graphsearch, mixing, quality, sharding, styletree, toxicity
+from tidegauge.llm.shipping import ship
 from tidegauge.session import configure, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,7 +18,7 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def query(build: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[build.__name__] = lambda spark, folder: build(configure(spark), folder)
+    QUERIES[build.__name__] = lambda spark, folder: build(ship(configure(spark)), folder)
     return build
 
 
@@ -25,6 +26,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return styletree.extract(table(spark, folder, "pages"))
+
+
 @query
 def op2_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
@@ -37,8 +43,37 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"), 16, scratch_path(spark, "slot-map"))
 
 
+@query
+def op7_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return covertree.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents")).withColumn("position", F.get("positions", F.lit(0))["position"])
     columns = ["doc_id", "size", "source_size", "target", "taken", "position"]
     return mixing.in_training_order(mixed.select(*columns), "position", "doc_id")
+
+
+def _verdicts(scored: DataFrame, least: float) -> DataFrame:
+    predicted = (F.col("score") >= least).cast("int").alias("predicted")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted)
+
+
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    return _verdicts(toxicity.score(docs, model, ["doc_id"]), 0.5)
+
+
+@query
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    return _verdicts(quality.score(docs, model, ["doc_id"]), 0.3)
+
+
+@query
+def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return graphsearch.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
