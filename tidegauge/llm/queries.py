@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bytepairs, covertree, graphsearch, mixing, quality, sharding, styletree, toxicity
+from tidegauge.llm import bytepairs, covertree, graphsearch, metricjoin, mixing, quality, sharding, styletree, toxicity
 from tidegauge.llm.shipping import ship
 from tidegauge.session import configure, scratch_path
 
@@ -74,6 +74,11 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return _verdicts(quality.score(docs, model, ["doc_id"]), 0.3)
 
 
+@query
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return metricjoin.linked_components(table(spark, folder, "documents"))
+
+
 @query
 def op10_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return graphsearch.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
