@@ -9,6 +9,7 @@ three steps, each with a window that is wide enough for every partner of a text:
 2. In a ring two partners differ in at most t shingles. The universe of shingles is dealt into t + 1 layers by hash. In a
    layer every possible set of shingles is a pivot, and a text lies in the Voronoi cell of the pivot nearest to it, its own
    shingles of that layer. t differences cannot move a text out of its cell in all t + 1 layers, so partners share a cell.
+   Where layers would be too thin, single shingles are the pivots, and a text lies with the first of its own in one order.
    Texts that share cells, directly or through others, form one region.
 3. Regions are joined with texts as pivots. Each text goes to its nearest pivot and, by the triangle inequality, to
    every other pivot that is at most twice the radius further away. Texts within the radius of a pivot are linked through
@@ -36,6 +37,8 @@ from tidegauge.session import cut_lineage
 
 #: Rows that one task joins; pivots a large region is split by; width of the size rings.
 REGION_ROWS, PIVOTS, RING = 1024, 6, 0.05
+#: Least shingles per layer; words of 64 marks for shingles seen often; one text in so many is looked at for them.
+LAYER, WORDS, PROBE = 6, 1 << 18, 8
 
 
 def rings(size: int, percent: int) -> list[tuple[int, int]]:
@@ -63,25 +66,80 @@ def _ring(size: int) -> int:
     return ring
 
 
-def cells(shingles: np.ndarray, percent: int) -> list[np.ndarray]:
-    """Hashes of the cells of a text: per ring and layer, its shingles in that layer.
+def cells(shingles: np.ndarray, percent: int, common: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Hashes of the cells of a text: those many texts may share, and those that few share.
 
-    Layers with two shingles or fewer tell little and would bring strangers together. There are a few layers more than
-    t + 1, so a text that has no more such layers than that leaves them out: of the layers a pair agrees in, one is left.
+    Layers that hold two shingles or fewer tell little and would bring strangers together. There are a few layers more
+    than t + 1, so a text may leave out its smallest ones, as many as there are more: of the layers a pair agrees in, one
+    is left. Both leave out by the number of shingles, so the one that is left is left in both.
+
+    Where layers would hold too few shingles, the pivots are single shingles in one order for all texts, those that
+    ``common`` marks last: as at least ``percent`` of a text's shingles are its partner's, the first it shares with a partner
+    is among its first 1 + |A| - percent of |A|.
     """
-    found = []
+    shared, own = [], []
     for ring, most in rings(len(shingles), percent):
         spare = (most + 1) // 6
         layers = most + 1 + spare
+        name = np.uint64((ring + 1) << 32)
+        if math.ceil((1 + RING) ** ring) < LAYER * layers:
+            hashes = mix(shingles)
+            often = (common[(hashes >> np.uint64(6)) % np.uint64(len(common))] >> (hashes & np.uint64(63))) & np.uint64(1)
+            order = np.lexsort((hashes, often))[: len(shingles) - -(-percent * len(shingles) // 100) + 1]
+            often, hashes = often[order] == 1, mix(hashes[order] + name)
+            shared.append(hashes[often])
+            own.append(hashes[~often])
+            continue
         layer = (mix(shingles + np.uint64(ring)) % np.uint64(layers)).astype(np.int64)
         sums = np.zeros(layers, np.uint64)
         counts = np.bincount(layer, minlength=layers)
         np.add.at(sums, layer, mix(shingles))
-        names = np.arange(layers, dtype=np.uint64) + np.uint64((ring + 1) << 32)
-        hashes = mix(mix(sums + mix(names)) + counts.astype(np.uint64))
-        small = counts <= 2
-        found.append(hashes[~small] if small.sum() <= spare else hashes)
-    return found
+        hashes = mix(mix(sums + mix(np.arange(layers, dtype=np.uint64) + name)) + counts.astype(np.uint64))
+        left_out = np.sort(counts)[spare] - 1  # with the next number there would be too many
+        shared.append(hashes[counts > left_out])
+    none = [np.zeros(0, np.uint64)]
+    return shared + none, own + none
+
+
+def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
+    """Marks, as bits by hash, for shingles that seem to be in many texts; they only choose an order.
+
+    One text in ``PROBE`` is looked at. Two shingles that share a bit are marked together.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, 0):
+                found = np.concatenate([*shingle_sets(part.column(0), width), np.zeros(0, np.uint64)])
+                place, count = np.unique(mix(found) % np.uint64(64 * WORDS), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int64)), pa.array(count.astype(np.int64))], ["place", "n"])
+
+    probe = docs.filter(F.pmod(F.xxhash64("text"), F.lit(PROBE)) == 0).select("text").mapInArrow(run, "place long, n long")
+    often = probe.groupBy("place").agg(F.sum("n").alias("n")).filter("n > 1")
+    words = often.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
+    rows = words.toArrow()  # at most WORDS
+    marks = np.zeros(WORDS, np.int64)
+    marks[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    return marks.view(np.uint64)
+
+
+def _followers(posted: DataFrame) -> DataFrame:
+    """``a, b``: every node of a cell with its smallest, from ``cell, node`` of cells that few share, in one pass."""
+
+    def run(batches):
+        last, head = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cell, node = (c.to_numpy() for c in batch.columns)
+            starts = np.concatenate(([cell[0] != last], cell[1:] != cell[:-1]))
+            first = np.maximum.accumulate(np.where(starts, np.arange(len(cell)), -1))
+            heads = np.where(first >= 0, node[np.maximum(first, 0)], head)
+            last, head = cell[-1], heads[-1]
+            more = heads != node
+            yield pa.RecordBatch.from_arrays([pa.array(heads[more]), pa.array(node[more])], ["a", "b"])
+
+    return posted.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "a long, b long")
 
 
 def _name(shingles: np.ndarray) -> bytes:
@@ -90,24 +148,28 @@ def _name(shingles: np.ndarray) -> bytes:
 
 
 def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, name, cells`` per row; no name for the empty set."""
+    """``doc_id, text_hash, n_shingles, name, shared, own`` per row; no name for the empty set."""
+    marks = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))
+
+    def lists(arrays: list[np.ndarray]) -> pa.Array:
+        ends = np.cumsum([0, *map(len, arrays)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*arrays, np.zeros(0, np.int64)])))
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, 2):
                 sets = shingle_sets(part.column(2), width)
                 names = [_name(s) if len(s) else None for s in sets]
-                own = [np.concatenate(cells(s, percent)).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
-                ends = np.cumsum([0, *map(len, own)])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*own, np.zeros(0, np.int64)])))
+                both = [cells(s, percent, marks.value) if len(s) else ([s], [s]) for s in sets]
+                shared, own = (lists([np.concatenate(b[i]).view(np.int64) for b in both]) for i in (0, 1))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), lists],
-                    ["doc_id", "text_hash", "n_shingles", "name", "cells"],
+                    [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), shared, own],
+                    ["doc_id", "text_hash", "n_shingles", "name", "shared", "own"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        run, f"doc_id {kind}, text_hash long, n_shingles long, name binary, cells array<long>"
+        run, f"doc_id {kind}, text_hash long, n_shingles long, name binary, shared array<long>, own array<long>"
     )
 
 
@@ -280,22 +342,26 @@ def _tiles(rows: DataFrame, percent: int, most: int) -> DataFrame:
 
 
 def linked_components(docs: DataFrame, width: int = 3, percent: int = 90, most: int = REGION_ROWS) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per row of ``docs`` (``doc_id, text``): texts that links connect.
+    """``doc_id, n_shingles, component_id, text_hash, group`` per row of ``docs`` (``doc_id, text``): texts that links connect.
 
     Sets are of distinct ``width``-word shingles, words being runs without ASCII white space, A-Z lower-cased; a text with fewer
     words has its whole sequence as one shingle. Texts link when 100 |A & B| >= percent |A | B|. ``component_id`` is the
     smallest doc_id of the component; a text without words (null, empty) links with nothing and has its own doc_id. Rows with
     a null doc_id take part, but name a component only if all its ids are null. Repeated rows are equal texts. Shingles are
-    compared by 64-bit hashes, sets named by 128-bit ones.
+    compared by 64-bit hashes, sets named by 128-bit ones. ``group`` tells components apart also where ids are null; it is null for
+    texts without words.
     """
     own = cut_lineage(described(docs, width, percent))
     named = own.filter(F.col("name").isNotNull())
     nodes = cut_lineage(named.groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("text_hash", "doc_id")).alias("row")))
     # Regions only have to hold all partners, so 64 bits of a name will do for them.
     node = F.xxhash64("name").alias("node")
-    posted = named.select(node, "cells").dropDuplicates(["node"]).select("node", F.explode("cells").alias("cell"))
+    posted = cut_lineage(named.select(node, "shared", "own").dropDuplicates(["node"]))
+    few = _followers(posted.select(F.explode("own").alias("cell"), "node"))
+    posted = posted.select("node", F.explode("shared").alias("cell"))
     shared = posted.groupBy("cell").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a < last").select("cell", "a")
-    edges = posted.join(shared, "cell").select("a", F.col("node").alias("b")).filter("a <> b").distinct()
+    many = posted.join(shared, "cell").select("a", F.col("node").alias("b")).filter("a <> b")
+    edges = few.unionByName(many).distinct()
     wanted = nodes.withColumn("node", node).join(components(edges), "node").select(
         F.col("row.text_hash").alias("text_hash"), F.col("row.doc_id").alias("_id"), "name", F.encode(F.hex("component"), "utf-8").alias("region")
     )
@@ -306,7 +372,24 @@ def linked_components(docs: DataFrame, width: int = 3, percent: int = 90, most:
     joined = components(functools.reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "name")
     grouped = nodes.select("name", "doc_id").join(joined, "name", "left").select("name", "doc_id", F.coalesce("component", "name").alias("group"))
     least = grouped.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    ids = grouped.select("name", "group").join(least, "group").select("name", "component_id")
-    return own.select("doc_id", "n_shingles", "name").join(ids, "name", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    ids = grouped.select("name", "group").join(least, "group").select("name", "group", "component_id")
+    return own.select("doc_id", "n_shingles", "text_hash", "name").join(ids, "name", "left").select(
+        "doc_id", "n_shingles",
+        F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "text_hash", "group",
     )
+
+
+def without_copies(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, one per component of :func:`linked_components`: the smallest doc_id's.
+
+    A null doc_id comes after all others. Texts without words are no one's copies and all stay. Of repeated rows one stays.
+    """
+    joined = cut_lineage(linked_components(docs, **options))
+    order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")
+    first = joined.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min(order).alias("first"))
+    kept = first.select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_text"))
+    keyed = docs.withColumn("_hash", F.xxhash64("text"))
+    wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    chosen = keyed.filter(~wordless).join(kept, (F.col("_hash") == F.col("_text")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    return chosen.dropDuplicates(["_hash", "doc_id"]).select(*docs.columns).unionByName(docs.filter(wordless))

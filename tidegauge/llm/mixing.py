@@ -51,24 +51,29 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats
     return levels.select("source", "source_size", "turn", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
-def position_of(share: Column, levels: Column) -> Column:
+def integrals(levels: Column) -> Column:
+    """The schedule's integral up to each knot, from 0 on; ``levels`` are the weights at evenly spaced knots."""
+    areas = F.transform(
+        F.sequence(F.lit(1), F.size(levels) - 1),
+        lambda i: (F.get(levels, i - 1) + F.get(levels, i)) / 2 / (F.size(levels) - 1),
+    )
+    return F.aggregate(
+        areas, F.array(F.lit(0.0)), lambda ends, x: F.concat(ends, F.array(F.element_at(ends, -1) + x))
+    )
+
+
+def position_of(share: Column, levels: Column, ends: Column) -> Column:
     """The time at which the share of a source's demand is reached: the inverse of the schedule's integral.
 
-    ``levels`` are the weights at evenly spaced knots. Inside a stretch the weight is a + b t, its integral a parabola.
+    ``ends`` are its :func:`integrals`. Inside a stretch the weight is a + b t, the integral a parabola.
     """
     pieces = F.size(levels) - 1
-    areas = F.transform(F.sequence(F.lit(1), pieces), lambda i: (F.get(levels, i - 1) + F.get(levels, i)) / 2 / pieces)
-    whole = F.aggregate(areas, F.lit(0.0), lambda a, b: a + b)
-    ends = F.transform(
-        F.sequence(F.lit(0), pieces), lambda i: F.aggregate(F.slice(areas, F.lit(1), i), F.lit(0.0), lambda a, b: a + b)
-    )
-    wanted = share * whole
+    wanted = share * F.element_at(ends, -1)
     at = F.least(F.size(F.filter(ends, lambda e: e <= wanted)) - 1, pieces - 1)
-    rest = wanted - F.get(ends, at)
     low, slope = F.get(levels, at), (F.get(levels, at + 1) - F.get(levels, at)) * pieces
+    rest = wanted - F.get(ends, at)
     root = F.sqrt(F.greatest(low * low + 2 * slope * rest, F.lit(0.0)))
-    step = F.when(low + root == 0, 0.0).otherwise(2 * rest / (low + root))
-    return at / pieces + step
+    return at / pieces + F.when(low + root == 0, 0.0).otherwise(2 * rest / (low + root))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, repeats: int = REPEATS, key: str = "doc_id") -> DataFrame:
@@ -87,12 +92,14 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, repeats: int = RE
         F.xxhash64(key, "text").alias("draw"),
     )
     row = cut_lineage(row)
-    targets = cut_lineage(source_targets(row, weights, repeats))
     levels = F.element_at(F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in schedules]), F.col("turn") + 1)
+    targets = source_targets(row, weights, repeats).withColumn("levels", levels)
+    # Written, so that the schedules are integrated once per source and not once per document.
+    targets = cut_lineage(targets.withColumn("ends", integrals(F.col("levels"))))
     placed = running_total(
         row, "source", "size", ["draw", "doc_id", "size"], F.pmod(F.shiftright("draw", 8), F.lit(BUCKETS)), "before"
     )
-    targets = targets.select(F.col("source").alias("_source"), "source_size", "target", levels.alias("levels"))
+    targets = targets.select(F.col("source").alias("_source"), "source_size", "target", "levels", "ends")
     placed = placed.join(targets, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     demand = F.round("target").cast("long")
 
@@ -100,7 +107,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, repeats: int = RE
         start = i * F.col("source_size") + F.col("before")
         words = F.greatest(F.least(F.col("size"), demand - start), F.lit(0).cast("long"))
         share = F.least((start + words / 2) / F.greatest(F.col("target"), F.lit(1.0)), F.lit(1.0))
-        return F.struct(i.cast("int").alias("epoch"), words.alias("words"), position_of(share, F.col("levels")).alias("position"))
+        return F.struct(i.cast("int").alias("epoch"), words.alias("words"), position_of(share, F.col("levels"), F.col("ends")).alias("position"))
 
     readings = F.filter(F.transform(F.sequence(F.lit(0), F.lit(repeats - 1)), reading), lambda x: x["words"] > 0)
     return placed.withColumn("positions", readings).select(

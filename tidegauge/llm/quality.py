@@ -136,17 +136,19 @@ def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int =
 
 
 def _mapped(docs: DataFrame, keep: list[str], schema: str, make) -> DataFrame:
-    """``keep`` and what ``make()`` gives for the features of each slice of texts."""
+    """``keep`` and ``_found``: what ``make()`` gives for the features of each slice of texts."""
+    read = keep if "text" in keep else [*keep, "text"]
+    text = read.index("text")
     fields = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for part in slices(batch, len(keep)):
+            for part in slices(batch, text):
                 columns = [part.column(i) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays([*columns, work(describe(part.column(len(keep))))], [*keep, "found"])
+                yield pa.RecordBatch.from_arrays([*columns, work(describe(part.column(text)))], [*keep, "_found"])
 
-    return docs.select(*keep, "text").mapInArrow(run, f"{fields}, found {schema}")
+    return docs.select(*read).mapInArrow(run, f"{fields}, _found {schema}")
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Network:
@@ -173,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Networ
         sample, ["doc_id", "positive"], "array<double>",
         lambda: lambda x: pa.ListArray.from_arrays(np.arange(0, x.size + 1, FEATURES, dtype=np.int32), pa.array(x.ravel())),
     ).toPandas().sort_values(["doc_id", "positive"])
-    features = np.array(found["found"].tolist()).reshape(-1, FEATURES)
+    features = np.array(found["_found"].tolist()).reshape(-1, FEATURES)
     marks = found["positive"].to_numpy() == 1
     return fit(features[marks], features[~marks], float(share))
 
@@ -185,4 +187,4 @@ def score(docs: DataFrame, model: Network, keep: list[str]) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     scored = _mapped(docs, keep, "double", lambda: lambda x: pa.array(shared.value.score(x)))
-    return scored.select(*keep, F.col("found").alias("score"))
+    return scored.select(*keep, F.col("_found").alias("score"))

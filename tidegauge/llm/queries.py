@@ -76,7 +76,7 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return metricjoin.linked_components(table(spark, folder, "documents"))
+    return metricjoin.linked_components(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 @query

@@ -242,17 +242,19 @@ class Model:
 
 def _described(docs: DataFrame, keep: list[str], make) -> DataFrame:
     """``keep`` and the features of ``text``; ``make`` gives the scorer inside a task."""
-    fields = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
+    read = keep if "text" in keep else [*keep, "text"]
+    text, features = read.index("text"), [f"_{name}" for name in Scorer.NAMES]
+    fields = [f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep] + [f"{f} double" for f in features]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = make()
         for batch in batches:
-            for part in slices(batch, len(keep)):
-                found = np.array([scorer.describe(t) for t in part.column(len(keep)).to_pylist()]).reshape(-1, len(Scorer.NAMES))
+            for part in slices(batch, text):
+                found = np.array([scorer.describe(t) for t in part.column(text).to_pylist()]).reshape(-1, len(features))
                 columns = [part.column(i) for i in range(len(keep))] + [pa.array(found[:, i]) for i in range(found.shape[1])]
-                yield pa.RecordBatch.from_arrays(columns, [*keep, *Scorer.NAMES])
+                yield pa.RecordBatch.from_arrays(columns, [*keep, *features])
 
-    return docs.select(*keep, "text").mapInArrow(run, f"{fields}, " + ", ".join(f"{n} double" for n in Scorer.NAMES))
+    return docs.select(*read).mapInArrow(run, ", ".join(fields))
 
 
 def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, places: int = PLACES) -> Model:
@@ -274,7 +276,7 @@ def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, places: int =
     shared = spark.sparkContext.broadcast((of_gram, of_context))
     known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # bounded by the limit
     rows = _described(known, ["doc_id", "toxic"], lambda: Scorer(*shared.value, order)).toPandas().sort_values("doc_id")
-    found, marks = rows[list(Scorer.NAMES)].to_numpy(float), rows["toxic"].to_numpy(float)
+    found, marks = rows[[f"_{name}" for name in Scorer.NAMES]].to_numpy(float), rows["toxic"].to_numpy(float)
     curve = fit_curve(found, marks) if len(set(marks)) == 2 else None
     return Model(of_gram, of_context, curve, float(marks.mean()) if len(marks) else 0.0, order)
 
@@ -290,6 +292,6 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     described = _described(docs, keep, lambda: Scorer(shared.value.of_gram, shared.value.of_context, shared.value.order))
     curve, z = model.curve, F.lit(float(model.curve.weights[0]))
     for name, middle, scale, weight in zip(Scorer.NAMES, curve.middle, curve.scale, curve.weights[1:], strict=True):
-        standard = (F.col(name) - float(middle)) / float(scale)
+        standard = (F.col(f"_{name}") - float(middle)) / float(scale)
         z = z + F.greatest(F.least(standard, F.lit(8.0)), F.lit(-8.0)) * float(weight)
     return described.select(*keep, (1 / (1 + F.exp(-z))).alias("score"))
