@@ -5,7 +5,8 @@ bytes. So the merges compile into a machine that reads bytes along a trie of tok
 the next one if the pair agrees. It is nondeterministic, but for every prefix of the input at most one complete
 sequence agrees. Determinised, a state is the set of sequences that still can win, without the tokens all of them
 begin with: those are emitted at once, after a lookahead no longer than the open tokens. States and moves are made when
-input first needs them; the tables are dropped when they outgrow their bound, which changes no result.
+input first needs them. When the table of states is full, a piece that leaves it is read by the machine as it is,
+nondeterministic: per byte it holds the one token with which a sequence that agrees ends there.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import base64
 import bisect
 import gc
 import hashlib
+import itertools
 import re
 import sys
 from collections.abc import Iterator
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.arrays import slices
 
-STATES = 200_000
-MEMO = 400_000
+STATES, PAIRS = 30_000, 400_000
+MEMO = 300_000
 MEMO_LENGTH = 32
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
@@ -71,8 +73,12 @@ class Transducer:
                 node = self.next[node][byte]
             self.ends[node] = rank
         self._profile()
-        self.agreed: dict[tuple[int, int], bool] = {}
-        self._reset()
+        self.agreed: dict[int, bool] = {}
+        start = (-1, (((), 0),))
+        self.numbers = {start: 0}
+        self.states = [start]
+        self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
+        self.flush: list[tuple[int, ...]] = [()]
 
     def _spine(self, token: bytes, right: bool) -> list[tuple[bytes, int]]:
         """The parts that stand at one end of a token while it is merged, each with the rank that absorbs it."""
@@ -110,18 +116,11 @@ class Transducer:
                 self.right.append(spine)
             self.kind[rank] = kinds[profile]
 
-    def _reset(self) -> None:
-        start = (-1, (((), 0),))
-        self.numbers = {start: 0}
-        self.states = [start]
-        self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
-        self.flush: list[tuple[int, ...]] = [()]
-
     def _agree(self, kind: int, token: int) -> bool:
         """Whether no merge crosses from a token of that kind into ``token``: none comes first at their border."""
         if kind < 0:  # nothing stands before
             return True
-        if (known := self.agreed.get((kind, token))) is None:
+        if (known := self.agreed.get(kind << 32 | token)) is None:
             left = self.left.get(token)
             if left is None:
                 left = self.left[token] = self._spine(self.tokens[token], False)
@@ -132,9 +131,9 @@ class Transducer:
                     rank = ranks.get(part + head)
                     if rank is not None and rank < until and rank <= absorbed:
                         known = False
-            if len(self.agreed) > 8 * self.limit:
+            if len(self.agreed) >= PAIRS:
                 self.agreed.clear()
-            self.agreed[kind, token] = known
+            self.agreed[kind << 32 | token] = known
         return known
 
     def _move(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
@@ -168,16 +167,42 @@ class Transducer:
         return move
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
-        if len(self.states) > self.limit:
-            self._reset()
         state, found, moves = 0, [], self.moves
         for byte in piece:
-            move = moves[state].get(byte) or self._move(state, byte)
+            move = moves[state].get(byte)
+            if move is None:
+                if len(self.states) >= self.limit:
+                    return self._run(piece)
+                move = self._move(state, byte)
             state = move[0]
             if move[1]:
                 found += move[1]
         return (*found, *self.flush[state])
 
+    def _run(self, piece: bytes) -> tuple[int, ...]:
+        """All branches at once: ``ends[i]`` is the last token of the one sequence over the first ``i`` bytes."""
+        n = len(piece)
+        ends, kinds, known = [-1] * (n + 1), [-1] * (n + 1), self.agreed
+        next_, tokens, kind_of = self.next, self.ends, self.kind
+        for start in range(n):
+            node, kind = 0, kinds[start]
+            for at in range(start, n):
+                node = next_[node].get(piece[at])
+                if node is None:
+                    break
+                token = tokens[node]
+                if token >= 0 and ends[at + 1] < 0:
+                    fits = kind < 0 or known.get(kind << 32 | token)
+                    if fits is None:
+                        fits = self._agree(kind, token)
+                    if fits:
+                        ends[at + 1], kinds[at + 1] = token, kind_of[token]
+        found = []
+        while n:
+            found.append(ends[n])
+            n -= len(self.tokens[ends[n]])
+        return tuple(reversed(found))
+
 
 def splitter(pattern: str):
     """A function from a text to its pieces by ``pattern``, a pattern of the ``regex`` library.
@@ -211,11 +236,12 @@ def splitter(pattern: str):
 
 
 class Encoder:
-    """Whole texts to ids; keeps the ids of short pieces seen before, up to a bound."""
+    """Whole texts to ids; keeps the ids of short pieces seen before, twice ``MEMO`` at most."""
 
     def __init__(self, path: str, split):
         self.machine, self.split = Transducer(read_ranks(path)), split
         self.known: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, tuple[int, ...]] = {}
 
     def encode(self, text: str) -> list[int]:
         found: list[int] = []
@@ -223,12 +249,15 @@ class Encoder:
         for piece in self.split(text):
             ids = known.get(piece)
             if ids is None:
-                raw = piece.encode()
-                whole = self.machine.ranks.get(raw)
-                ids = self.machine.encode(raw) if whole is None else (whole,)
+                ids = self.before.get(piece)
+                if ids is None:
+                    raw = piece.encode()
+                    whole = self.machine.ranks.get(raw)
+                    ids = self.machine.encode(raw) if whole is None else (whole,)
                 if len(piece) <= MEMO_LENGTH:
-                    if len(known) >= MEMO:
-                        known.clear()
+                    if len(known) >= MEMO:  # what is still in use comes over from the older half
+                        self.before, known = known, {}
+                        self.known = known
                     known[piece] = ids
             found += ids
         return found
@@ -326,43 +355,67 @@ def _once(key: tuple, make):
     return _held[key]
 
 
+def _mapped(rows: DataFrame, key: str, value: str, outputs: str, make, work) -> DataFrame:
+    """``key`` and the columns that ``work(machine, values)`` gives for each slice of ``value``."""
+    names = [field.split()[0] for field in outputs.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # the tables hold no cycles, and walking them again and again costs more than encoding
+        machine = make()
+        for batch in batches:
+            for part in slices(batch, 1):
+                yield pa.RecordBatch.from_arrays([part.column(0), *work(machine, part.column(1).to_pylist())], ["key", *names])
+
+    kind = rows.schema[key].dataType.simpleString()
+    named = rows.select(F.col(key).alias("key"), F.col(value).alias("value"))
+    return named.mapInArrow(run, f"key {kind}, {outputs}").withColumnRenamed("key", key)
+
+
+def _encoder(path: str, pattern: str) -> Encoder:
+    return _once(("encode", path, pattern), lambda: Encoder(path, splitter(pattern)))
+
+
+def _decoder(path: str) -> Decoder:
+    return _once(("decode", path), lambda: Decoder({rank: token for token, rank in read_ranks(path).items()}))
+
+
+def _lists(lists: list[list[int]]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, lists)])
+    flat = np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(ends[-1]))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+
+
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, ids array<int>`` per row: whole texts, no special tokens. A null or empty text has no ids.
 
     ``path`` is a rank file every executor can open, ``pattern`` splits a text into pieces that are encoded apart. Rows
     are worked on one by one in Arrow batches, without a shuffle, so repeated keys, rows and null keys stay as they are.
     """
-    field = docs.schema[key]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # the tables hold no cycles, and walking them again and again costs more than encoding
-        machine: Encoder = _once(("encode", path, pattern), lambda: Encoder(path, splitter(pattern)))
-        for batch in batches:
-            for part in slices(batch, 1):
-                lists = [np.array(machine.encode(t or ""), np.int32) for t in part.column(1).to_pylist()]
-                ends = np.cumsum([0, *map(len, lists)])
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*lists, np.zeros(0, np.int32)])))
-                yield pa.RecordBatch.from_arrays([part.column(0), ids], ["key", "ids"])
+    def work(machine: Encoder, texts: list):
+        return [_lists([machine.encode(t or "") for t in texts])]
 
-    schema = f"key {field.dataType.simpleString()}, ids array<int>"
-    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return _mapped(docs, key, text, "ids array<int>", lambda: _encoder(path, pattern), work)
 
 
 def decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """``key, ids, text`` per row: the ids' text; null ids give an empty text, an unknown id fails the task."""
-    field = encoded.schema[key]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine: Decoder = _once(
-            ("decode", path), lambda: Decoder({rank: token for token, rank in read_ranks(path).items()})
-        )
-        for batch in batches:
-            for part in slices(batch, 1):
-                texts = [machine.feed(x or ()) + machine.finish() for x in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["key", "ids", "text"])
+    def work(machine: Decoder, lists: list):
+        return [_lists([x or [] for x in lists]), pa.array([machine.feed(x or ()) + machine.finish() for x in lists], pa.string())]
+
+    return _mapped(encoded, key, ids, "ids array<int>, text string", lambda: _decoder(path), work)
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, ids, text``: :func:`encode` and then :func:`decode`, in one pass over the rows."""
+
+    def work(machines: tuple[Encoder, Decoder], texts: list):
+        encoder, decoder = machines
+        lists = [encoder.encode(t or "") for t in texts]
+        return [_lists(lists), pa.array([decoder.feed(x) + decoder.finish() for x in lists], pa.string())]
 
-    schema = f"key {field.dataType.simpleString()}, ids array<int>, text string"
-    return encoded.select(F.col(key).alias("key"), F.col(ids).alias("ids")).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return _mapped(docs, key, text, "ids array<int>, text string", lambda: (_encoder(path, pattern), _decoder(path)), work)
 
 
 def sha256_of_ids(ids) -> str:

@@ -34,8 +34,7 @@ def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(RANKS)
-    ids = bytepairs.encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
-    return bytepairs.digest(bytepairs.decode(ids, path))
+    return bytepairs.digest(bytepairs.round_trip(table(spark, folder, "documents"), path, public_tokenizers.PATTERN))
 
 
 @query
