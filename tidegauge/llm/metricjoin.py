@@ -36,15 +36,17 @@ from tidegauge.llm.components import components
 from tidegauge.session import cut_lineage
 
 #: Rows that one task joins; pivots a large region is split by; width of the size rings.
-REGION_ROWS, PIVOTS, RING = 1024, 6, 0.05
+REGION_ROWS, PIVOTS, RING = 1024, 6, 0.25
 #: Least shingles per layer; words of 64 marks for shingles seen often; one text in so many is looked at for them.
-LAYER, WORDS, PROBE = 6, 1 << 18, 8
+LAYER, WORDS, PROBE = 5, 1 << 18, 8
+#: Marks by which texts that lie alone are passed over before texts are shuffled; bounds a broadcast.
+MARKS = 1 << 20
 
 
 def rings(size: int, percent: int) -> list[tuple[int, int]]:
     """``(ring, t)`` of the rings a text of this size goes to: its own, and those below that may hold smaller partners.
 
-    Ring r holds the sizes from ceil((1 + RING)^r). ``t`` is the most that a pair of which the smaller text is in the ring can
+    Ring r holds the sizes from ceil((1 + RING)^r); wide rings make few copies, narrow ones few layers. ``t`` is the most that a pair of which the smaller text is in the ring can
     differ by, so it depends on the ring alone.
     """
     own = _ring(size)
@@ -77,18 +79,13 @@ def cells(shingles: np.ndarray, percent: int, common: np.ndarray) -> tuple[list[
     ``common`` marks last: as at least ``percent`` of a text's shingles are its partner's, the first it shares with a partner
     is among its first 1 + |A| - percent of |A|.
     """
-    shared, own = [], []
+    shared, own, thin = [], [], False
     for ring, most in rings(len(shingles), percent):
         spare = (most + 1) // 6
         layers = most + 1 + spare
         name = np.uint64((ring + 1) << 32)
         if math.ceil((1 + RING) ** ring) < LAYER * layers:
-            hashes = mix(shingles)
-            often = (common[(hashes >> np.uint64(6)) % np.uint64(len(common))] >> (hashes & np.uint64(63))) & np.uint64(1)
-            order = np.lexsort((hashes, often))[: len(shingles) - -(-percent * len(shingles) // 100) + 1]
-            often, hashes = often[order] == 1, mix(hashes[order] + name)
-            shared.append(hashes[often])
-            own.append(hashes[~often])
+            thin = True
             continue
         layer = (mix(shingles + np.uint64(ring)) % np.uint64(layers)).astype(np.int64)
         sums = np.zeros(layers, np.uint64)
@@ -97,6 +94,13 @@ def cells(shingles: np.ndarray, percent: int, common: np.ndarray) -> tuple[list[
         hashes = mix(mix(sums + mix(np.arange(layers, dtype=np.uint64) + name)) + counts.astype(np.uint64))
         left_out = np.sort(counts)[spare] - 1  # with the next number there would be too many
         shared.append(hashes[counts > left_out])
+    if thin:  # these cells are the same in all rings
+        hashes = mix(shingles)
+        often = (common[(hashes >> np.uint64(6)) % np.uint64(len(common))] >> (hashes & np.uint64(63))) & np.uint64(1)
+        order = np.lexsort((hashes, often))[: len(shingles) - -(-percent * len(shingles) // 100) + 1]
+        often, hashes = often[order] == 1, mix(hashes[order])
+        shared.append(hashes[often])
+        own.append(hashes[~often])
     none = [np.zeros(0, np.uint64)]
     return shared + none, own + none
 
@@ -356,17 +360,19 @@ def linked_components(docs: DataFrame, width: int = 3, percent: int = 90, most:
     nodes = cut_lineage(named.groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("text_hash", "doc_id")).alias("row")))
     # Regions only have to hold all partners, so 64 bits of a name will do for them.
     node = F.xxhash64("name").alias("node")
-    posted = cut_lineage(named.select(node, "shared", "own").dropDuplicates(["node"]))
-    few = _followers(posted.select(F.explode("own").alias("cell"), "node"))
-    posted = posted.select("node", F.explode("shared").alias("cell"))
+    few = _followers(named.select(F.explode("own").alias("cell"), node))
+    posted = named.select(node, F.explode("shared").alias("cell"))
     shared = posted.groupBy("cell").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a < last").select("cell", "a")
     many = posted.join(shared, "cell").select("a", F.col("node").alias("b")).filter("a <> b")
     edges = few.unionByName(many).distinct()
-    wanted = nodes.withColumn("node", node).join(components(edges), "node").select(
+    wanted = cut_lineage(nodes.withColumn("node", node).join(components(edges), "node").select(
         F.col("row.text_hash").alias("text_hash"), F.col("row.doc_id").alias("_id"), "name", F.encode(F.hex("component"), "utf-8").alias("region")
-    )
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash")).join(
-        cut_lineage(wanted), (F.col("_hash") == F.col("text_hash")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    ))
+    mark = F.pmod(F.xxhash64("text"), F.lit(MARKS)).alias("_mark")
+    marks = wanted.select(F.pmod("text_hash", F.lit(MARKS)).alias("_mark")).distinct()  # at most MARKS rows
+    near = docs.select("doc_id", "text", F.xxhash64("text").alias("_hash"), mark).join(F.broadcast(marks), "_mark", "left_semi")
+    texts = near.join(
+        wanted, (F.col("_hash") == F.col("text_hash")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     )
     links = region_links(_sets(texts, width).dropDuplicates(["region", "name"]), percent, most)
     joined = components(functools.reduce(DataFrame.unionByName, links)).withColumnRenamed("node", "name")
