@@ -15,7 +15,7 @@ from tidegauge.plans.kpi import kpi_from_trends, parts_of
 from tidegauge.plans.spec import GeneratedTrend
 
 T0 = datetime(2024, 1, 1)
-EXC = "entity_id int, start timestamp_ntz, expires timestamp_ntz, max_power double"
+EXC = "entity_id int, start timestamp_ntz, expires timestamp_ntz, limit double"
 
 
 def day(n):
@@ -23,32 +23,32 @@ def day(n):
 
 
 RULE = R.Rule(
-    id=3, name="high", thresholds={"max_power": ("double", 0.05)}, condition="power > max_power",
-    weight="CASE WHEN power > 1 THEN 500 WHEN power > 2 THEN 800 ELSE 300 END",
-    message="format_string('%s > %s', power, max_power)", data="to_json(named_struct('power', power))",
+    id=3, name="hot", thresholds={"limit": ("double", 30.0)}, condition="celsius > limit",
+    weight="CASE WHEN celsius > 3 * limit THEN 9 WHEN celsius > 2 * limit THEN 5 ELSE 1 END",
+    message="concat(celsius - limit, ' degrees too hot')", data="to_json(named_struct('limit', limit))",
 )
 
 
 @pytest.fixture
 def kpi(spark):
-    data = [(1, day(0), 0.01), (1, day(1), 3.0), (2, day(1), 0.5), (3, day(1), None)]
-    return spark.createDataFrame(data, "entity_id int, timestamp timestamp_ntz, power double")
+    data = [(1, day(0), 11.5), (1, day(1), 90.5), (2, day(1), 62.0), (3, day(1), None)]
+    return spark.createDataFrame(data, "entity_id int, timestamp timestamp_ntz, celsius double")
 
 
 def test_weight_takes_the_first_branch(kpi, rows):
     got = rows(RULE.evaluate(kpi))
     assert got == [
-        (1, day(1), 500, "3.0 > 0.05", '{"power":3.0}'), (2, day(1), 300, "0.5 > 0.05", '{"power":0.5}'),
+        (1, day(1), 9, "60.5 degrees too hot", '{"limit":30.0}'), (2, day(1), 5, "32.0 degrees too hot", '{"limit":30.0}'),
     ]
 
 
 def test_exceptions_are_half_open_and_repeat_rows(spark, kpi, rows):
     exceptions = spark.createDataFrame(
-        [(1, day(1), day(2), 9.0), (2, day(0), day(1), 9.0), (2, day(1), day(3), 0.1), (2, day(0), day(9), None)], EXC
+        [(1, day(1), day(2), 95.0), (2, day(0), day(1), 95.0), (2, day(1), day(3), 44.0), (2, day(0), day(9), None)], EXC
     )
-    got = rows(RULE.with_thresholds(kpi, exceptions).select("entity_id", "timestamp", "max_power"))
+    got = rows(RULE.with_thresholds(kpi, exceptions).select("entity_id", "timestamp", "limit"))
     assert got == [
-        (1, day(0), 0.05), (1, day(1), 9.0), (2, day(1), 0.05), (2, day(1), 0.1), (3, day(1), 0.05),
+        (1, day(0), 30.0), (1, day(1), 95.0), (2, day(1), 30.0), (2, day(1), 44.0), (3, day(1), 30.0),
     ]
     with pytest.raises(Exception, match="overlapping exceptions of entity 2"):
         RULE.with_thresholds(kpi, exceptions, strict=True).collect()
@@ -58,9 +58,9 @@ def test_exceptions_are_half_open_and_repeat_rows(spark, kpi, rows):
 
 def test_rule_switches(kpi):
     assert R.Rule(**{**RULE.__dict__, "runnable": False}).evaluate(kpi).count() == 0
-    assert RULE.with_values(max_power=2.0).matches(kpi).count() == 1
+    assert RULE.with_values(limit=80.0).matches(kpi).count() == 1
     with pytest.raises(ValueError):
-        RULE.with_values(min_power=1)
+        RULE.with_values(floor=1)
 
 
 def test_notifications_are_stored_once(spark, kpi, rows, ts):
@@ -69,7 +69,7 @@ def test_notifications_are_stored_once(spark, kpi, rows, ts):
     created = R.create_notifications(RULE, evaluated.unionByName(evaluated), stored, ts("2024-02-01 00:00:00"))
     assert [r[0] for r in rows(created)] == [2, 2]
     single = R.create_notifications(RULE, evaluated.unionByName(evaluated), stored, ts("2024-02-01 00:00:00"), dedupe_batch=True)
-    assert rows(single.select("entity_id", "weight", "rule_id")) == [(2, 300, 3)]
+    assert rows(single.select("entity_id", "weight", "rule_id")) == [(2, 5, 3)]
     late = R.create_interval_notifications(RULE, evaluated, stored.limit(0), ts("2024-01-02 12:00:00"), "12 h")
     assert late.count() == 0 and "data" not in late.columns
 
@@ -77,9 +77,9 @@ def test_notifications_are_stored_once(spark, kpi, rows, ts):
 def test_exception_changes(spark, rows, ts):
     exceptions = spark.createDataFrame([(1, day(0), day(1), 1.0)], EXC)
     changes = spark.createDataFrame([(1, day(2), day(3), 2.0), (5, day(2), day(3), 3.0)], EXC)
-    assert rows(R.change_exceptions(exceptions, changes, ["max_power"])) == [(1, day(2), day(3), 2.0), (5, day(2), day(3), 3.0)]
+    assert rows(R.change_exceptions(exceptions, changes, ["limit"])) == [(1, day(2), day(3), 2.0), (5, day(2), day(3), 3.0)]
     wanted = spark.createDataFrame([(1,), (8,)], "entity_id int")
-    assert rows(R.get_or_create_exceptions(exceptions, wanted, ts("2024-01-31 00:00:00"), ["max_power"])) == [
+    assert rows(R.get_or_create_exceptions(exceptions, wanted, ts("2024-01-31 00:00:00"), ["limit"])) == [
         (1, day(0), day(1), 1.0), (8, day(30), datetime(2024, 4, 30), None),
     ]
 
@@ -117,16 +117,16 @@ def test_salted_join_is_a_join(spark, rows, how):
 
 
 def test_kpi_skips_granularities_without_a_part(spark, rows):
-    base = spark.createDataFrame([(1, day(0), 30, 10, 99)], "entity_id int, timestamp timestamp_ntz, inside_temp int, outside_temp int, other int")
-    power = base.select("entity_id", "timestamp", F.col("other").alias("power"))
-    catalog = {"main": {g: base for g in ("15m", "1h", "1d")}, "extra": {"1d": power}}
-    both = kpi_from_trends(catalog, ["inside_temp", "power"], "inside_temp + power", "k", "integer")
-    assert list(both) == ["1d"] and rows(both["1d"]) == [(1, day(0), 129)]
-    single = kpi_from_trends(catalog, ["inside_temp", "outside_temp"], "inside_temp - outside_temp", "test-kpi-name", "integer")
-    assert list(single) == ["15m", "1h", "1d"] and rows(single["15m"].select("test-kpi-name")) == [(20,)]
-    assert parts_of(catalog, ["power", "inside_temp", "power"]) == ["extra", "main"]
+    base = spark.createDataFrame([(1, day(0), 8, 3, 40)], "entity_id int, timestamp timestamp_ntz, sent int, lost int, other int")
+    load = base.select("entity_id", "timestamp", F.col("other").alias("load"))
+    catalog = {"main": {g: base for g in ("15m", "1h", "1d")}, "extra": {"1d": load}}
+    both = kpi_from_trends(catalog, ["sent", "load"], "sent * load", "k", "integer")
+    assert list(both) == ["1d"] and rows(both["1d"]) == [(1, day(0), 320)]
+    single = kpi_from_trends(catalog, ["sent", "lost"], "100 * lost / sent", "loss rate", "double precision")
+    assert list(single) == ["15m", "1h", "1d"] and rows(single["15m"].select("loss rate")) == [(37.5,)]
+    assert parts_of(catalog, ["load", "sent", "load"]) == ["extra", "main"]
     with pytest.raises(ValueError):
-        parts_of(catalog, ["humidity"])
+        parts_of(catalog, ["jitter"])
 
 
 def test_schema_changes(spark):

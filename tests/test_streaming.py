@@ -71,14 +71,14 @@ def test_modified_log(spark, tmp_path, arriving, rows):
 def test_notifications_are_sent_once(spark, tmp_path, arriving, rows, ts):
     from tests.test_rules import RULE
 
-    schema = "entity_id int, timestamp timestamp_ntz, power double"
+    schema = "entity_id int, timestamp timestamp_ntz, celsius double"
     table = J.AppendedTable(spark, str(tmp_path / "out"), "entity_id int, timestamp timestamp_ntz, weight int")
-    for data in ([(1, T0, 3.0), (2, T0, 0.01)], [(1, T0, 3.0), (1, quarter(1), 2.0)]):
+    for data in ([(1, T0, 95.0), (2, T0, 3.0)], [(1, T0, 95.0), (1, quarter(1), 93.0)]):
         arriving(data, schema)
         found = J.notifications(arriving.stream(schema), RULE, None, ts("2024-02-01 00:00:00"))
         J.run_available(J.append_batches(found, table), str(tmp_path / "cp"))
     got = table.read().select("entity_id", "timestamp", "weight")
-    assert rows(got) == [(1, T0, 500), (1, quarter(1), 500)]
+    assert rows(got) == [(1, T0, 9), (1, quarter(1), 9)]
 
 
 def test_current_attributes_and_counts(spark, tmp_path, arriving, rows):

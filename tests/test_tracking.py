@@ -72,6 +72,21 @@ def test_pending_honours_every_delay(spark, ts):
     assert {row.job_id for row in due.collect()} == {"due", "edge of reprocessing"}
 
 
+def test_labels_of_unmappable_links_fail(spark):
+    modified = spark.createDataFrame([("a", T0, T0, T0)], MODIFIED)
+    link = "materialization string, part string, source_granularity string, target_granularity string"
+    with pytest.raises(ValueError, match="invalid granularity"):
+        C.map_modified(modified, spark.createDataFrame([("m", "a", "15m", "2h")], link))
+    with pytest.raises(Exception, match="no mapping from granularity 1h to 1d"):
+        df = spark.createDataFrame([(T0, "1h", "1d")], "timestamp timestamp_ntz, s string, t string")
+        df.select(C.map_by_link(F.col("timestamp"), F.col("s"), F.col("t"), [("15m", "1h")])).collect()
+
+
+def test_fingerprints_of_several_parts(spark, rows):
+    prints = spark.createDataFrame([("b", T0, T0, "{2}"), ("a", T0, T0, "{1}"), ("a", T0 + timedelta(hours=1), T0, "{3}")], "part string, timestamp timestamp_ntz, max_modified timestamp_ntz, fingerprint string")
+    assert rows(C.combine_fingerprints(prints, ["a", "b"])) == [(T0, T0, '{"a":{1},"b":{2}}')]
+
+
 def test_cascade_from_log_to_processed_state(spark, rows, ts):
     """Log, modified, touched labels, fingerprints, work list, replacement: two rounds."""
     job = Materialization("m", "m", "1h", [SourceLink("a", "15m")], processing_delay="0 s", stability_delay="0 s", reprocessing_period="9 days")
@@ -146,10 +161,12 @@ def test_lineage_counts_every_path(spark, rows):
     edges = spark.createDataFrame([("t", "v1"), ("t", "v2"), ("v1", "w"), ("v2", "w"), ("w", "x"), ("u", "v1")], "source string, depender string")
     roots = spark.createDataFrame([("t",), ("nothing",)], "name string")
     assert rows(lineage_closure(edges, roots)) == [
-        ("t", "v1", 1), ("t", "v2", 1), ("t", "w", 2), ("t", "w", 2), ("t", "x", 3), ("t", "x", 3),
+        ("t", "v1", 1, 1), ("t", "v2", 1, 1), ("t", "w", 2, 2), ("t", "x", 3, 2),
     ]
-    with pytest.raises(ValueError, match="cycle"):
-        lineage_closure(spark.createDataFrame([("a", "b"), ("b", "a")], "source string, depender string"), spark.createDataFrame([("a",)], "name string"), 5)
+    # A cycle that the root is on, and one behind it.
+    for cycle, root in (([("a", "b"), ("b", "a")], "a"), ([("r", "a"), ("a", "b"), ("b", "c"), ("c", "a")], "r")):
+        with pytest.raises(ValueError, match="cycle"):
+            lineage_closure(spark.createDataFrame(cycle, "source string, depender string"), spark.createDataFrame([(root,)], "name string"))
     assert lineage_closure(edges, spark.createDataFrame([("nothing",)], "name string")).count() == 0
 
 

@@ -42,23 +42,17 @@ def last_processed_id(log: DataFrame, start_id: int = 0) -> DataFrame:
 
 
 def map_by_link(ts: Column, source: Column, target: Column, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Map a label by the granularity pair of its row's link; identity where both are equal."""
-    mapped = F.when(source == target, ts)
-    for src, dst in pairs:
-        if Interval.of(src) != Interval.of(dst):
-            mapped = mapped.when((source == src) & (target == dst), map_label(ts, src, dst))
-    return mapped
-
+    """Map a label by the granularity pair of its row's link, however the granularities are spelled.
 
-# The granularity pairs with a mapping function.
-MAPPINGS = (
-    ("15m", "1h"),
-    ("15m", "1d"),
-    ("30m", "1h"),
-    ("30m", "1d"),
-    ("1d", "1w"),
-    ("1d", "1month"),
-)
+    A pair without a mapping raises ``ValueError`` here; a row whose pair is not among ``pairs`` fails the job.
+    """
+    mapped = None
+    for src, dst in pairs:
+        here = (source == src) & (target == dst)
+        label = map_label(ts, src, dst)
+        mapped = F.when(here, label) if mapped is None else mapped.when(here, label)
+    unknown = F.raise_error(F.format_string("no mapping from granularity %s to %s", source, target)).cast("timestamp_ntz")
+    return unknown if mapped is None else mapped.otherwise(unknown)
 
 
 def link_table(spark, materializations: Sequence[Materialization]) -> DataFrame:
@@ -67,8 +61,14 @@ def link_table(spark, materializations: Sequence[Materialization]) -> DataFrame:
 
 
 def map_modified(modified: DataFrame, links: DataFrame) -> DataFrame:
-    """Destination labels touched by modified source labels."""
-    target = map_by_link(F.col("timestamp"), F.col("source_granularity"), F.col("target_granularity"), MAPPINGS)
+    """Destination labels touched by modified source labels.
+
+    The distinct granularity pairs of the links, a handful, come to the driver to build the mapping.
+    """
+    pairs = links.select("source_granularity", "target_granularity").distinct().collect()
+    target = map_by_link(
+        F.col("timestamp"), F.col("source_granularity"), F.col("target_granularity"), sorted(tuple(pair) for pair in pairs)
+    )
     return modified.join(links, "part").select("materialization", target.alias("timestamp")).distinct()
 
 
@@ -114,6 +114,21 @@ def fingerprint_multi(modified: DataFrame, parts: Sequence[str]) -> DataFrame:
     )
 
 
+def combine_fingerprints(fingerprints: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """One fingerprint per label over several parts, from ``part, timestamp, max_modified, fingerprint``.
+
+    Each part's fingerprint is nested under its name; labels missing in one of the parts have none.
+    """
+    entry = F.concat(F.lit('"'), F.col("part"), F.lit('":'), F.col("fingerprint"))
+    return (
+        fingerprints.filter(F.col("part").isin(list(parts)))
+        .groupBy("timestamp")
+        .agg(F.max("max_modified").alias("max_modified"), F.sort_array(F.collect_list(entry)).alias("entries"))
+        .filter(F.size("entries") == len(set(parts)))
+        .select("timestamp", "max_modified", F.concat(F.lit("{"), F.array_join("entries", ","), F.lit("}")).alias("fingerprint"))
+    )
+
+
 def update_source_fingerprint(state: DataFrame, fingerprints: DataFrame) -> DataFrame:
     """State with fresh source fingerprints; new labels enter unprocessed.
 
@@ -229,8 +244,14 @@ def stale_stats(stats: DataFrame, modified: DataFrame) -> DataFrame:
     return stats.join(last, PART_KEY).filter(F.col("modified") < plus("last", "1s")).select(*PART_KEY)
 
 
+def count_stale(records: DataFrame, stats: DataFrame, modified: DataFrame) -> DataFrame:
+    """``part, timestamp, count`` of the stale labels only: the rest of ``records`` is dropped before counting."""
+    wanted = records.select(*PART_KEY).join(stale_stats(stats, modified), PART_KEY, "left_semi")
+    return wanted.groupBy(*PART_KEY).agg(F.count(F.lit(1)).alias("count"))
+
+
 def refresh_stats(stats: DataFrame, modified: DataFrame, counts: DataFrame, now: Column) -> DataFrame:
-    """Statistics with stale rows recounted; ``counts`` is ``part, timestamp, count``.
+    """Statistics with stale rows recounted; ``counts`` is ``part, timestamp, count``, see :func:`count_stale`.
 
     A label whose records are all gone counts 0.
     """

@@ -48,10 +48,11 @@ def relation_join(facts: DataFrame, relation: DataFrame) -> DataFrame:
 def relation_to_virtual(entities: DataFrame, virtual: DataFrame) -> DataFrame:
     """Relate every entity to the one virtual entity, such as a whole network.
 
-    The virtual id is a scalar subquery; the job fails when ``virtual`` has more than one row.
+    The virtual id is a scalar subquery; the job fails when ``virtual`` has more than one row, without any nothing is related.
     """
     target = virtual.select("id").scalar()
-    return entities.select(F.col("id").alias("source_id"), target.alias("target_id")).distinct()
+    related = entities.select(F.col("id").alias("source_id"), target.alias("target_id"))
+    return related.filter(F.col("target_id").isNotNull()).distinct()
 
 
 def valid_at(prefix: str, ts: str) -> Column:

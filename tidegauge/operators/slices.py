@@ -50,7 +50,9 @@ def measured_slicing(df: DataFrame, key: Sequence[str], order: str, rows_per_tas
     slim = df.select(*key, order)
     if slim.count() <= rows_per_task:
         return None
-    hot = cut_lineage(slim.groupBy(*key).count().filter(F.col("count") > rows_per_task).select(*key))
+    # Null keys stay in one slice: joins on the key would lose them.
+    named = slim.dropna(subset=[*key])
+    hot = cut_lineage(named.groupBy(*key).count().filter(F.col("count") > rows_per_task).select(*key))
     if hot.isEmpty():
         return None
     rows = slim.join(hot, list(key), "left_semi")

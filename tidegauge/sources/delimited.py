@@ -33,6 +33,9 @@ class DelimitedFormat:
     null_token: str = ""
     array_prefix: str = "{"
     array_postfix: str = "}"
+    quote: str = '"'
+    #: Whether quoted cells may hold line breaks; a file is then read by one task.
+    multi_line: bool = False
 
 
 def check_columns(names: Sequence[str], layout: DelimitedFormat) -> None:
@@ -49,16 +52,22 @@ def read_delimited(spark: SparkSession, path: str, layout: DelimitedFormat = Del
     """Rows ``entity, timestamp, line, <text columns>``; RFC 3339 timestamps become UTC.
 
     Empty cells become empty text so that the null token decides what is NULL; a row with too
-    few or too many cells fails the job. ``line`` orders the rows as they were read.
+    few or too many cells fails the job. A quote inside a quoted cell is doubled. ``line`` orders rows by file name, then as they
+    stand in the file.
     """
-    options = {"sep": layout.separator, "mode": "FAILFAST", "enforceSchema": "false"}
+    options = {
+        "sep": layout.separator, "mode": "FAILFAST", "enforceSchema": "false",
+        "quote": layout.quote, "escape": layout.quote, "multiLine": str(layout.multi_line).lower(),
+    }
     reader = spark.read.options(**options)
     if layout.columns is None:
         raw = reader.csv(path, header=True)
     else:
         raw = reader.csv(path, header=False, schema=text_schema(layout.columns))
     check_columns(raw.columns, layout)
-    return named_rows(raw.withColumn(LINE, F.monotonically_increasing_id()), layout)
+    # Ids grow inside a task, and a task reads a block of a file from front to back.
+    line = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return named_rows(raw.select("*", line.alias(LINE)), layout)
 
 
 def named_rows(raw: DataFrame, layout: DelimitedFormat) -> DataFrame:

@@ -35,11 +35,16 @@ def upsert_partial(
     """``existing`` with the batch merged in on (entity_id, timestamp).
 
     A known key gets the supplied columns overwritten, also by NULL; its other columns and
-    its audit columns stay. A new key has NULL in columns the batch does not supply.
+    its audit columns stay. A new key has NULL in columns the batch does not supply. Of a key that the batch repeats the last
+    row by ``order`` counts; without ``order`` the job fails on it.
     """
     rows = last_per_key(batch, order) if order else batch
     supplied = [name for name in other_columns(rows, KEY) if name in existing.columns]
     incoming = rows.select(*KEY, F.struct(F.lit(True).alias("hit"), *supplied).alias("new"))
+    if not order:
+        twice = F.raise_error(F.format_string("the batch repeats entity %s at %s", *[F.col(k).cast("string") for k in KEY]))
+        grouped = incoming.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.first("new").alias("new"))
+        incoming = grouped.select(*KEY, F.when(F.col("n") == 1, F.col("new")).otherwise(twice.cast(grouped.schema["new"].dataType)).alias("new"))
     merged = existing.withColumn("known", F.lit(True)).join(incoming, list(KEY), "full_outer")
     hit, known = F.col("new.hit").isNotNull(), F.col("known").isNotNull()
     audit = {"created": now.cast("timestamp_ntz"), "job_id": F.lit(job_id).cast("bigint")}
@@ -56,9 +61,10 @@ def upsert_partial(
     return merged.select(*columns)
 
 
-def emit_modified(batch: DataFrame, part: str, now: Column) -> DataFrame:
-    """Modified-log rows for a stored batch: one per distinct timestamp."""
-    return batch.select(F.lit(part).alias("part"), "timestamp").distinct().withColumn("modified", now)
+def emit_modified(batch: DataFrame, part: str | Column, now: Column) -> DataFrame:
+    """Modified-log rows for a stored batch: one per part and distinct timestamp."""
+    name = part if isinstance(part, Column) else F.lit(part)
+    return batch.select(name.alias("part"), "timestamp").distinct().withColumn("modified", now)
 
 
 def stamp_job(rows: DataFrame, now: Column, job_id: int) -> DataFrame:

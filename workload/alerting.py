@@ -16,23 +16,22 @@ HIGH_VALUE = R.Rule(
     name="high-value",
     thresholds={"max_value": ("decimal(18,2)", "100")},
     condition="value > max_value",
-    # The first matching branch counts, so the second is never reached.
-    weight="CASE WHEN value > 150 THEN 500 WHEN value > 300 THEN 800 ELSE 300 END",
-    message="concat_ws('\\n', 'HighValue', format_string('%s > %s', value, max_value))",
-    data="to_json(named_struct('value', value))",
+    weight="least(900, 100 + 50 * floor((value - max_value) / 20))",
+    message="concat('value ', value, ' is ', value - max_value, ' above its limit of ', max_value)",
+    data="to_json(named_struct('limit', max_value, 'excess', value - max_value))",
     default_interval="10 days",
 )
 
 _WITH = f"""{F15}, {EXC}, thr AS (
     SELECT f15.entity_id, f15."timestamp", value, samples, coalesce(exc.max_value, CAST(100 AS DECIMAL(18,2))) AS max_value FROM f15
     LEFT JOIN exc ON exc.entity_id = f15.entity_id AND exc."start" <= f15."timestamp" AND exc.expires > f15."timestamp")"""
-_WEIGHT = "CASE WHEN value > 150 THEN 500 WHEN value > 300 THEN 800 ELSE 300 END"
+_WEIGHT = "CAST(least(900, 100 + 50 * floor((value - max_value) / 20)) AS INTEGER)"
 # Weight exceptions: every fifteenth entity, in the middle of the month.
 _PREVIEW = f"""{_WITH}, wexc AS (SELECT c_custkey AS entity_id, TIMESTAMP '2024-01-12 00:00:00' AS "start", TIMESTAMP '2024-01-25 00:00:00' AS expires,
         42 AS weight FROM customer WHERE c_custkey % 15 = 0),
     prev AS (SELECT n.entity_id, n."timestamp", coalesce(wexc.weight, {_WEIGHT}) AS weight,
-        'HighValue' || chr(10) || CAST(value AS VARCHAR) || ' > ' || CAST(max_value AS VARCHAR) AS details,
-        '{{"value":' || CAST(value AS VARCHAR) || '}}' AS data
+        'value ' || value || ' is ' || (value - max_value) || ' above its limit of ' || max_value AS details,
+        '{{"limit":' || max_value || ',"excess":' || (value - max_value) || '}}' AS data
     FROM thr n LEFT JOIN wexc ON wexc.entity_id = n.entity_id AND wexc."start" <= n."timestamp" AND wexc.expires > n."timestamp"
     WHERE value > max_value)"""
 
@@ -147,16 +146,14 @@ def set_thresholds(t):
 
 
 @query("""SELECT o_custkey AS set_id, count(*) AS notifications, min(o_orderdate) AS first_timestamp, max(o_orderdate) AS last_timestamp,
-    max(CAST(substr(o_orderpriority, 1, 1) AS INTEGER)) AS max_weight FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1""")
+    max(CAST(substr(o_orderpriority, 1, 1) AS INTEGER)) AS max_weight FROM orders GROUP BY 1""")
 def notification_sets(t):
-    """Orders as notifications, grouped per customer; the link table leaves out pending ones."""
+    """Orders as notifications, grouped per customer."""
     notifications = t.orders.select(
         F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("timestamp"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("weight"),
     )
-    links = t.orders.filter(F.col("o_orderstatus") != "P").select(
-        F.col("o_orderkey").alias("notification_id"), F.col("o_custkey").alias("set_id")
-    )
+    links = t.orders.select(F.col("o_orderkey").alias("notification_id"), F.col("o_custkey").alias("set_id"))
     return R.notification_sets(notifications, links)
 
 
@@ -173,7 +170,7 @@ def filter_by_tag(t):
 def map_rule_timestamps(t):
     """An hourly and a quarter-hour rule over the same part."""
     links = t.spark.createDataFrame(
-        [("high-value", "f15", "15m", "1h"), ("plain", "f15", "15m", "15m")],
+        [("high-value", "f15", "00:15:00", "1h"), ("plain", "f15", "15m", "15m")],
         "rule string, part string, source_granularity string, target_granularity string",
     )
     modified = t.fact_15m.select(F.lit("f15").alias("part"), "timestamp").distinct()

@@ -189,14 +189,7 @@ def batch_package_store(t):
 
 @query(f"""SELECT DISTINCT event_type AS part, {Q15} AS "timestamp", {_NOW} AS modified FROM events""")
 def emit_modified(t):
-    frames = [
-        S.emit_modified(t.records_15m.filter(F.col("part") == part), part, at(NOW))
-        for part in ("view", "signup", "click", "error", "purchase")
-    ]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+    return S.emit_modified(t.records_15m, F.col("part"), at(NOW))
 
 
 @query(f"""SELECT o_orderkey AS id, o_orderpriority AS action, o_orderdate AS started, CASE WHEN o_orderstatus = 'F' THEN o_orderdate + INTERVAL 1 DAY END AS finished FROM orders

@@ -22,35 +22,38 @@ _NOW = f"TIMESTAMP '{NOW}'"
 
 # --- attribute history ---------------------------------------------------------------
 
-_RUNS = """changed AS (SELECT *, CASE WHEN hash <> lag(hash) OVER (PARTITION BY entity_id ORDER BY "timestamp") THEN 1 ELSE 0 END AS change FROM hist),
-    runs AS (SELECT *, sum(change) OVER (PARTITION BY entity_id ORDER BY "timestamp") AS run FROM changed)"""
+# Rows of an entity belong to one run if they have the same hash and the same distance between their number among all
+# rows and their number among those with that hash.
+_RUNS = """runs AS (SELECT *, hash || '/' || (row_number() OVER (PARTITION BY entity_id ORDER BY "timestamp")
+        - row_number() OVER (PARTITION BY entity_id, hash ORDER BY "timestamp")) AS run FROM hist)"""
+_RUN_LENGTHS = f"""{_RUNS} SELECT entity_id, count(*) AS run_length, min("timestamp") AS "start", max("timestamp") AS "end", max(modified) AS modified,
+    min(id) AS id, min(first_appearance) AS first_appearance FROM runs GROUP BY entity_id, run"""
+_CHANGES = """SELECT h.entity_id, h."timestamp", p.entity_id IS NULL AS change FROM hist h
+    ASOF LEFT JOIN hist b ON b.entity_id = h.entity_id AND b."timestamp" < h."timestamp"
+    LEFT JOIN hist p ON p.entity_id = b.entity_id AND p."timestamp" = b."timestamp" AND p.hash = h.hash"""
 _COMPACT = f"""{_RUNS},
     compacted AS (SELECT min(id) AS id, min(first_appearance) AS first_appearance,
         CASE WHEN count(*) > 1 THEN {_NOW} ELSE max(modified) END AS modified, min(hash) AS hash, entity_id,
         min("timestamp") AS "timestamp", max("timestamp") AS "end", min(event_type) AS event_type FROM runs GROUP BY entity_id, run)"""
 
 
-@query(f"""WITH {HIST} SELECT entity_id, "timestamp",
-    coalesce(hash <> lag(hash) OVER (PARTITION BY entity_id ORDER BY "timestamp"), true) AS change FROM hist""")
+@query(f"WITH {HIST} {_CHANGES}")
 def attribute_changes(t):
     return H.attribute_changes(t.history)
 
 
-@query(f"""WITH {HIST}, {_RUNS} SELECT min(id) AS id, entity_id, min("timestamp") AS "start", max("timestamp") AS "end",
-    min(first_appearance) AS first_appearance, max(modified) AS modified, count(*) AS run_length FROM runs GROUP BY entity_id, run""")
+@query(f"WITH {HIST}, {_RUN_LENGTHS}")
 def attribute_run_length(t):
     return H.attribute_run_length(t.history)
 
 
-@query(f"""WITH {HIST}, {_RUNS} SELECT min(id) AS id, entity_id, min("timestamp") AS "start", max("timestamp") AS "end",
-    min(first_appearance) AS first_appearance, max(modified) AS modified, count(*) AS run_length FROM runs GROUP BY entity_id, run""")
+@query(f"WITH {HIST}, {_RUN_LENGTHS}")
 def attribute_run_length_sliced(t):
     """The same with the rows of every entity cut into time slices."""
     return H.attribute_run_length(t.history, width="6 hours")
 
 
-@query(f"""WITH {HIST} SELECT entity_id, "timestamp",
-    coalesce(hash <> lag(hash) OVER (PARTITION BY entity_id ORDER BY "timestamp"), true) AS change FROM hist""")
+@query(f"WITH {HIST} {_CHANGES}")
 def attribute_changes_sliced(t):
     return H.attribute_changes(t.history, width="6 hours")
 
@@ -187,6 +190,14 @@ def last_processed_id(t):
     return C.last_processed_id(t.modified_log, _OLD)
 
 
+def _links(t):
+    """Also a level above another one, a month of days, and a granularity spelled out."""
+    more = [("by_day", "view", "1h", "1d"), ("by_month", "error", "1d", "1month"), ("spelled", "signup", "00:15:00", "1h")]
+    return C.link_table(t.spark, _materializations()).unionByName(
+        t.spark.createDataFrame(more, "materialization string, part string, source_granularity string, target_granularity string")
+    )
+
+
 def _materializations():
     hourly = Materialization("mixed_1h", "mixed_1h", "1h", [SourceLink("click", "15m"), SourceLink("view", "15m")])
     daily = Materialization("mixed_1d", "mixed_1d", "1d", [SourceLink("click", "15m"), SourceLink("error", "15m")])
@@ -198,9 +209,12 @@ _D = """CAST(date_trunc('day', "timestamp" - INTERVAL 15 MINUTE) + INTERVAL 1 DA
 
 
 @query(f"""WITH {MOD} SELECT DISTINCT 'mixed_1h' AS materialization, {_H} AS "timestamp" FROM modified WHERE part IN ('click', 'view')
-    UNION ALL SELECT DISTINCT 'mixed_1d', {_D} FROM modified WHERE part IN ('click', 'error')""")
+    UNION ALL SELECT DISTINCT 'mixed_1d', {_D} FROM modified WHERE part IN ('click', 'error')
+    UNION ALL SELECT DISTINCT 'by_day', date_trunc('day', "timestamp" - INTERVAL 1 HOUR) + INTERVAL 1 DAY FROM modified WHERE part = 'view'
+    UNION ALL SELECT DISTINCT 'by_month', date_trunc('month', "timestamp" - INTERVAL 1 DAY) + INTERVAL 1 MONTH FROM modified WHERE part = 'error'
+    UNION ALL SELECT DISTINCT 'spelled', {_H} FROM modified WHERE part = 'signup'""")
 def map_modified(t):
-    return C.map_modified(t.modified, C.link_table(t.spark, _materializations()))
+    return C.map_modified(t.modified, _links(t))
 
 
 _STAMP = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
@@ -263,12 +277,13 @@ def materialization_state(t):
 
 @query(f"""WITH {MOD}, {_window_sql('modified', 'w')}, clicks AS (SELECT DISTINCT {_H} AS "timestamp" FROM log WHERE part = 'click'),
     views AS (SELECT DISTINCT {_H} AS "timestamp" FROM log WHERE part = 'view')
-    SELECT 'mixed_1h' AS materialization, "timestamp", fingerprint AS source_fingerprint, CAST(NULL AS VARCHAR) AS processed_fingerprint,
-        max_modified, CAST(NULL AS BIGINT) AS job_id FROM w JOIN clicks USING ("timestamp") JOIN views USING ("timestamp") WHERE part = 'click'""")
+    SELECT 'mixed_1h' AS materialization, "timestamp", '{{"click":' || c.fingerprint || ',"view":' || v.fingerprint || '}}' AS source_fingerprint,
+        CAST(NULL AS VARCHAR) AS processed_fingerprint, greatest(c.max_modified, v.max_modified) AS max_modified, CAST(NULL AS BIGINT) AS job_id
+    FROM (FROM w WHERE part = 'click') c JOIN (FROM w WHERE part = 'view') v USING ("timestamp") JOIN clicks USING ("timestamp") JOIN views USING ("timestamp")""")
 def populate_fingerprint(t):
     records = t.records_15m
     sources = [(records.filter(F.col("part") == part), "15m") for part in ("click", "view")]
-    prints = _window(t.modified).filter(F.col("part") == "click").drop("part")
+    prints = C.combine_fingerprints(_window(t.modified), ["click", "view"])
     return C.populate_fingerprint(C.empty_state(t.spark), "mixed_1h", sources, "1h", prints)
 
 
@@ -381,7 +396,7 @@ def stale_stats(t):
         CASE WHEN stale.part IS NOT NULL THEN coalesce(n, 0) ELSE count END AS count
     FROM seeded LEFT JOIN stale USING (part, "timestamp") LEFT JOIN counts USING (part, "timestamp")""")
 def refresh_stats(t):
-    counts = t.modified_log.groupBy("part", "timestamp").agg(F.count(F.lit(1)).alias("count"))
+    counts = C.count_stale(t.modified_log, _seeded(t), t.modified)
     return C.refresh_stats(_seeded(t), t.modified, counts, at(NOW))
 
 
@@ -427,18 +442,17 @@ def _edges(t):
 @query(f"""WITH RECURSIVE {_EDGES}, dependers AS (
     SELECT source AS root, depender AS name, 1 AS level FROM edges WHERE source LIKE 'region %'
     UNION ALL SELECT root, depender, level + 1 FROM dependers JOIN edges ON source = name)
-    SELECT * FROM dependers""")
+    SELECT root, name, level, count(*) AS paths FROM dependers GROUP BY ALL""")
 def lineage_closure(t):
     roots = t.region.select(F.concat(F.lit("region "), F.col("r_regionkey").cast("string")).alias("name"))
     return closure(_edges(t), roots)
 
 
 @query("""SELECT 'customer ' || c_custkey AS name, coalesce('order ' || o_orderkey, 'customer ' || c_custkey) AS source
-    FROM customer LEFT JOIN orders ON o_custkey = c_custkey AND o_orderpriority = '1-URGENT'""")
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey""")
 def resolve_view_sources(t):
     def named(kind, column):
         return F.concat(F.lit(kind + " "), F.col(column).cast("string"))
 
     parts = t.customer.select(named("customer", "c_custkey").alias("name"))
-    urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT")
-    return resolve_sources(parts, urgent.select(named("customer", "o_custkey").alias("view"), named("order", "o_orderkey").alias("source")))
+    return resolve_sources(parts, t.orders.select(named("customer", "o_custkey").alias("view"), named("order", "o_orderkey").alias("source")))
