@@ -37,8 +37,8 @@ from tidegauge.session import cut_lineage
 
 #: Rows that one task joins; pivots a large region is split by; width of the size rings.
 REGION_ROWS, PIVOTS, RING = 1024, 6, 0.25
-#: Least shingles per layer; words of 64 marks for shingles seen often; one text in so many is looked at for them.
-LAYER, WORDS, PROBE = 5, 1 << 18, 8
+#: Least shingles per layer; bits for shingles that texts share, which bounds a broadcast, and the ranges they are found in.
+LAYER, BITS, RANGES, HALF = 5, 1 << 27, 256, np.uint64(1 << 63)
 #: Marks by which texts that lie alone are passed over before texts are shuffled; bounds a broadcast.
 MARKS = 1 << 20
 
@@ -68,18 +68,18 @@ def _ring(size: int) -> int:
     return ring
 
 
-def cells(shingles: np.ndarray, percent: int, common: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Hashes of the cells of a text: those many texts may share, and those that few share.
+def cells(shingles: np.ndarray, percent: int, met: np.ndarray) -> np.ndarray:
+    """Hashes of the cells of a text.
 
     Layers that hold two shingles or fewer tell little and would bring strangers together. There are a few layers more
     than t + 1, so a text may leave out its smallest ones, as many as there are more: of the layers a pair agrees in, one
     is left. Both leave out by the number of shingles, so the one that is left is left in both.
 
-    Where layers would hold too few shingles, the pivots are single shingles in one order for all texts, those that
-    ``common`` marks last: as at least ``percent`` of a text's shingles are its partner's, the first it shares with a partner
-    is among its first 1 + |A| - percent of |A|.
+    Where layers would hold too few shingles, the pivots are single shingles in one order for all texts: those that ``met``
+    shows in no other text first, the rest by hash. As at least ``percent`` of a text's shingles are its partner's, the first it
+    shares with a partner is among its first 1 + |A| - percent of |A|; those no other text has need no cell.
     """
-    shared, own, thin = [], [], False
+    found, thin = [np.zeros(0, np.uint64)], False
     for ring, most in rings(len(shingles), percent):
         spare = (most + 1) // 6
         layers = most + 1 + spare
@@ -93,57 +93,66 @@ def cells(shingles: np.ndarray, percent: int, common: np.ndarray) -> tuple[list[
         np.add.at(sums, layer, mix(shingles))
         hashes = mix(mix(sums + mix(np.arange(layers, dtype=np.uint64) + name)) + counts.astype(np.uint64))
         left_out = np.sort(counts)[spare] - 1  # with the next number there would be too many
-        shared.append(hashes[counts > left_out])
+        found.append(hashes[counts > left_out])
     if thin:  # these cells are the same in all rings
         hashes = mix(shingles)
-        often = (common[(hashes >> np.uint64(6)) % np.uint64(len(common))] >> (hashes & np.uint64(63))) & np.uint64(1)
+        place = _place(hashes, len(met) * 8)
+        known = hashes < HALF
+        often = ~known | ((met[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
         order = np.lexsort((hashes, often))[: len(shingles) - -(-percent * len(shingles) // 100) + 1]
-        often, hashes = often[order] == 1, mix(hashes[order])
-        shared.append(hashes[often])
-        own.append(hashes[~often])
-    none = [np.zeros(0, np.uint64)]
-    return shared + none, own + none
+        found.append(mix(hashes[order][often[order]]))
+    return np.concatenate(found)
 
 
-def common_shingles(docs: DataFrame, width: int) -> np.ndarray:
-    """Marks, as bits by hash, for shingles that seem to be in many texts; they only choose an order.
+def _place(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes >> np.uint64(8)) % np.uint64(bits)
 
-    One text in ``PROBE`` is looked at. Two shingles that share a bit are marked together.
-    """
-
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, 0):
-                found = np.concatenate([*shingle_sets(part.column(0), width), np.zeros(0, np.uint64)])
-                place, count = np.unique(mix(found) % np.uint64(64 * WORDS), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int64)), pa.array(count.astype(np.int64))], ["place", "n"])
-
-    probe = docs.filter(F.pmod(F.xxhash64("text"), F.lit(PROBE)) == 0).select("text").mapInArrow(run, "place long, n long")
-    often = probe.groupBy("place").agg(F.sum("n").alias("n")).filter("n > 1")
-    words = often.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
-    rows = words.toArrow()  # at most WORDS
-    marks = np.zeros(WORDS, np.int64)
-    marks[rows["word"].to_numpy()] = rows["bits"].to_numpy()
-    return marks.view(np.uint64)
 
+def met_shingles(docs: DataFrame, width: int, bits: int = BITS) -> np.ndarray:
+    """Bits by hash: whether a shingle of the lower half of all hashes is met more than once in the table.
 
-def _followers(posted: DataFrame) -> DataFrame:
-    """``a, b``: every node of a cell with its smallest, from ``cell, node`` of cells that few share, in one pass."""
+    They only choose an order, so shingles may share a bit. Every text counts. What travels is each batch's places as
+    distances between neighbours, by range of places; a task goes through its ranges with two arrays of one range.
+    """
+    span = bits // RANGES
 
-    def run(batches):
-        last, head = None, 0
+    def send(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            cell, node = (c.to_numpy() for c in batch.columns)
-            starts = np.concatenate(([cell[0] != last], cell[1:] != cell[:-1]))
-            first = np.maximum.accumulate(np.where(starts, np.arange(len(cell)), -1))
-            heads = np.where(first >= 0, node[np.maximum(first, 0)], head)
-            last, head = cell[-1], heads[-1]
-            more = heads != node
-            yield pa.RecordBatch.from_arrays([pa.array(heads[more]), pa.array(node[more])], ["a", "b"])
+            for part in slices(batch, 0, 16 << 20):
+                found = mix(np.concatenate([*shingle_sets(part.column(0), width), np.zeros(0, np.uint64)]))
+                place, count = np.unique(_place(found[found < HALF], bits).astype(np.int64), return_counts=True)
+                rows: list[tuple[int, bytes]] = []
+                for own in (place, place[count > 1]):
+                    edges = np.searchsorted(own, np.arange(0, bits + 1, span))
+                    for k in np.flatnonzero(np.diff(edges)):
+                        inside = own[edges[k] : edges[k + 1]] - k * span
+                        rows.append((int(k), np.diff(inside, prepend=0).astype(np.uint32).tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["range", "places"])
+
+    def gather(batches):
+        now, once, twice = None, None, None
+
+        def done():
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(twice, bitorder="little").tobytes()], pa.binary())], ["range", "bits"])
 
-    return posted.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, "a long, b long")
+        for batch in batches:
+            for number, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if number != now:
+                    if now is not None:
+                        yield done()
+                    now, once, twice = number, np.zeros(span, bool), np.zeros(span, bool)
+                place = np.cumsum(np.frombuffer(raw, np.uint32).astype(np.int64))
+                twice[place[once[place]]] = True
+                once[place] = True
+        if now is not None:
+            yield done()
+
+    sent = docs.select("text").mapInArrow(send, "range int, places binary")
+    held = sent.repartition("range").sortWithinPartitions("range").mapInArrow(gather, "range int, bits binary")
+    met = np.zeros(bits // 8, np.uint8)
+    for number, raw in held.collect():  # a row per range, bits / 8 bytes in all
+        met[number * span // 8 : (number + 1) * span // 8] = np.frombuffer(raw, np.uint8)
+    return met
 
 
 def _name(shingles: np.ndarray) -> bytes:
@@ -152,28 +161,25 @@ def _name(shingles: np.ndarray) -> bytes:
 
 
 def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, name, shared, own`` per row; no name for the empty set."""
-    marks = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, width))
-
-    def lists(arrays: list[np.ndarray]) -> pa.Array:
-        ends = np.cumsum([0, *map(len, arrays)])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*arrays, np.zeros(0, np.int64)])))
+    """``doc_id, text_hash, n_shingles, name, cells`` per row; no name for the empty set."""
+    met = docs.sparkSession.sparkContext.broadcast(met_shingles(docs, width))
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, 2):
                 sets = shingle_sets(part.column(2), width)
                 names = [_name(s) if len(s) else None for s in sets]
-                both = [cells(s, percent, marks.value) if len(s) else ([s], [s]) for s in sets]
-                shared, own = (lists([np.concatenate(b[i]).view(np.int64) for b in both]) for i in (0, 1))
+                own = [cells(s, percent, met.value).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
+                ends = np.cumsum([0, *map(len, own)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*own, np.zeros(0, np.int64)])))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), shared, own],
-                    ["doc_id", "text_hash", "n_shingles", "name", "shared", "own"],
+                    [part.column(0), part.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.binary()), lists],
+                    ["doc_id", "text_hash", "n_shingles", "name", "cells"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
-        run, f"doc_id {kind}, text_hash long, n_shingles long, name binary, shared array<long>, own array<long>"
+        run, f"doc_id {kind}, text_hash long, n_shingles long, name binary, cells array<long>"
     )
 
 
@@ -360,11 +366,9 @@ def linked_components(docs: DataFrame, width: int = 3, percent: int = 90, most:
     nodes = cut_lineage(named.groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("text_hash", "doc_id")).alias("row")))
     # Regions only have to hold all partners, so 64 bits of a name will do for them.
     node = F.xxhash64("name").alias("node")
-    few = _followers(named.select(F.explode("own").alias("cell"), node))
-    posted = named.select(node, F.explode("shared").alias("cell"))
+    posted = named.select(node, F.explode("cells").alias("cell"))
     shared = posted.groupBy("cell").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a < last").select("cell", "a")
-    many = posted.join(shared, "cell").select("a", F.col("node").alias("b")).filter("a <> b")
-    edges = few.unionByName(many).distinct()
+    edges = posted.join(shared, "cell").select("a", F.col("node").alias("b")).filter("a <> b").distinct()
     wanted = cut_lineage(nodes.withColumn("node", node).join(components(edges), "node").select(
         F.col("row.text_hash").alias("text_hash"), F.col("row.doc_id").alias("_id"), "name", F.encode(F.hex("component"), "utf-8").alias("region")
     ))
