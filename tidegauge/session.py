@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +75,35 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def written_once(df: DataFrame) -> Iterator[DataFrame]:
+    """The rows of ``df`` from a folder of their own, for several uses; the folder is deleted at the end."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "batch")
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_folder(spark, path)
+
+
+def _path(spark: SparkSession, path: str):
+    """A Hadoop path with its file system."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder, system = _path(spark, path)
+    system.delete(folder, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, without looking into any of them; none if the folder isn't there."""
+    folder, system = _path(spark, path)
+    return sorted(status.getPath().getName() for status in system.listStatus(folder)) if system.exists(folder) else []
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The Parquet files below ``path``, or no rows while there are none."""
     try:

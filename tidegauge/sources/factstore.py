@@ -6,7 +6,7 @@ A fact row is ``entity_id, timestamp, created, job_id`` plus the trends, unique
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +17,7 @@ from tidegauge.functions.columns import other_columns
 from tidegauge.functions.timeaxis import Interval, bucket_index, bucket_start, minus, plus
 from tidegauge.operators.changes import replace_timestamps
 from tidegauge.plans.spec import AUDIT, KEY
-from tidegauge.session import read_or_empty
+from tidegauge.session import delete_folder, folder_names, read_or_empty, written_once
 
 BUCKET = "bucket"
 
@@ -164,13 +164,14 @@ class FactStore:
         """Rows with after < timestamp <= until; other buckets' folders are not opened."""
         low, high = F.lit(after).cast("timestamp_ntz"), F.lit(until).cast("timestamp_ntz")
         bounds = [bucket_index(ts, self.partition_size) for ts in (low, high)]
+        first, last = self.spark.range(1).select(*bounds).first()
         inside = (F.col("timestamp") > low) & (F.col("timestamp") <= high)
-        return self._stored().filter(F.col(BUCKET).between(*bounds) & inside).drop(BUCKET)
+        return self._in_buckets(n for n in self._numbers() if first <= n <= last).filter(inside)
 
     def of_periods(self, labels: DataFrame, period: Interval | str | int) -> DataFrame:
         """Stored rows of the buckets that the periods labelled by ``labels`` reach into.
 
-        A superset of the periods' rows, read without opening any other folder.
+        A superset of the periods' rows, read without listing or opening any other folder.
         """
         first = bucket_index(minus("timestamp", period), self.partition_size)
         last = bucket_index("timestamp", self.partition_size)
@@ -203,8 +204,16 @@ class FactStore:
         """Stored rows of the buckets the batch falls into; no other folder is listed or read."""
         return self._in_buckets(self._bucket_numbers(batch))
 
-    def _in_buckets(self, numbers: Sequence[int]) -> DataFrame:
-        return self._stored().filter(F.col(BUCKET).isin(list(numbers))).drop(BUCKET)
+    def _numbers(self) -> list[int]:
+        """Existing buckets, from the names of their folders."""
+        return sorted(int(name.split("=")[1]) for name in folder_names(self.spark, self.path) if name.startswith(f"{BUCKET}="))
+
+    def _in_buckets(self, numbers: Iterable[int]) -> DataFrame:
+        """Rows of some buckets, read from their folders alone."""
+        folders = [f"{self.path}/{BUCKET}={n}" for n in sorted(set(numbers) & set(self._numbers()))]
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*folders).select(*self.schema.names)
 
     def merge(self, batch: DataFrame, combine: Callable[[DataFrame], DataFrame]) -> None:
         """Rewrite the buckets of a batch with ``combine`` of their stored rows."""
@@ -214,21 +223,32 @@ class FactStore:
 
     def put(self, batch: DataFrame) -> None:
         """Insert or replace whole rows by key; the batch has each key once."""
-        self.merge(batch, lambda stored: stored.join(batch.select(*self.key), list(self.key), "left_anti").unionByName(
-            batch.select(*self.schema.names)
-        ))
+        with written_once(batch) as rows:
+            self.merge(rows, lambda stored: stored.join(rows.select(*self.key), list(self.key), "left_anti").unionByName(
+                rows.select(*self.schema.names)
+            ))
 
     def upsert(self, batch: DataFrame, now: Column, job_id: int, order: str | None = None) -> None:
         """Merge facts on their key, rewriting the buckets they fall into."""
-        self.merge(batch, lambda stored: upsert_partial(stored, batch, now, job_id, order))
+        with written_once(batch) as rows:
+            self._upsert(rows, now, job_id, order)
+
+    def _upsert(self, rows: DataFrame, now: Column, job_id: int, order: str | None) -> None:
+        self.merge(rows, lambda stored: upsert_partial(stored, rows, now, job_id, order))
 
     def append_or_upsert(self, batch: DataFrame, now: Column, job_id: int, order: str | None = None) -> str:
-        """Append when no key of the batch is stored or repeated, else merge; tells which."""
-        keys = batch.select(*KEY)
-        repeated = keys.groupBy(*KEY).count().filter(F.col("count") > 1)
-        stored = self._touched(batch).select(*KEY).join(keys, list(KEY), "left_semi")
-        if not repeated.isEmpty() or not stored.isEmpty():
-            self.upsert(batch, now, job_id, order)
+        """Append when no key of the batch is stored or repeated, else merge; tells which. The batch is computed once."""
+        with written_once(batch) as rows:
+            return self._append_or_upsert(rows, now, job_id, order)
+
+    def _append_or_upsert(self, batch: DataFrame, now: Column, job_id: int, order: str | None) -> str:
+        """One pass over the keys tells whether any is repeated or stored."""
+        keys = batch.select(*KEY, F.lit(1).alias("n")).unionByName(
+            self._touched(batch).select(*KEY, F.lit(0).alias("n")).join(batch.select(*KEY), list(KEY), "left_semi")
+        )
+        counts = keys.groupBy(*KEY).agg(F.sum("n").alias("given"), F.count_if(F.col("n") == 0).alias("stored"))
+        if not counts.filter((F.col("given") > 1) | (F.col("stored") > 0)).isEmpty():
+            self._upsert(batch, now, job_id, order)
             return "upsert"
         missing = [name for name in self.schema.names if name not in batch.columns and name not in AUDIT]
         types = {field.name: field.dataType for field in self.schema.fields}
@@ -238,8 +258,8 @@ class FactStore:
 
     def replace(self, fresh: DataFrame, labels: DataFrame, now: Column, job_id: int, within_labels: bool = False) -> None:
         """Replace whole timestamps, rewriting the buckets they fall into."""
-        existing = self._touched(labels)
-        self._rewrite(replace_timestamps(existing, fresh, labels, now, job_id, within_labels), labels)
+        with written_once(fresh) as rows, written_once(labels) as wanted:
+            self._rewrite(replace_timestamps(self._touched(wanted), rows, wanted, now, job_id, within_labels), wanted)
 
     def delete_timestamp(self, ts: datetime) -> None:
         label = self.spark.range(1).select(F.lit(ts).cast("timestamp_ntz").alias("timestamp"))
@@ -248,22 +268,20 @@ class FactStore:
 
     def _rewrite(self, rows: DataFrame, labels: DataFrame) -> None:
         """Write the touched buckets; one left without any row is dropped."""
-        emptied = set(self._bucket_numbers(labels)) - set(self._bucket_numbers(rows))
-        self._write(rows, "overwrite")
-        self._drop(sorted(emptied))
+        touched = set(self._bucket_numbers(labels))
+        with written_once(rows) as ready:
+            filled = set(self._bucket_numbers(ready))
+            self._write(ready, "overwrite")
+        self._drop(sorted(touched - filled))
 
     def _drop(self, buckets: Sequence[int]) -> None:
         """Remove whole bucket folders."""
-        if not buckets:
-            return
-        jvm = self.spark.sparkContext._jvm
         for bucket in buckets:
-            folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{BUCKET}={bucket}")
-            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            delete_folder(self.spark, f"{self.path}/{BUCKET}={bucket}")
 
     def buckets(self) -> DataFrame:
         """Existing bucket numbers, read from folder names."""
-        return self._stored().select(BUCKET).distinct()
+        return self.spark.createDataFrame([(n,) for n in self._numbers()], f"{BUCKET} bigint")
 
     def clean_up(self, now: datetime, retention: str, pretend: bool = False) -> list[int]:
         """Drop buckets past their retention; returns their numbers, one per folder."""
