@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bytepairs, covertree, graphsearch, metricjoin, mixing, quality, sharding, styletree, toxicity
+from tidegauge.llm import bytepairs, covertree, graphsearch, licences, metricjoin, mixing, quality, sharding, styletree, toxicity
 from tidegauge.llm.shipping import ship
 from tidegauge.session import configure, scratch_path
 
@@ -37,6 +37,12 @@ def op2_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bytepairs.digest(bytepairs.round_trip(table(spark, folder, "documents"), path, public_tokenizers.PATTERN))
 
 
+@query
+def op3_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(table(spark, folder, "documents"))
+    return found.withColumn("licenses", F.array_join(F.array_sort("licenses"), ","))
+
+
 @query
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"), 16, scratch_path(spark, "slot-map"))
