@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.arrays import mix, shingle_sets, slices
 from tidegauge.llm.components import components
-from tidegauge.session import cut_lineage
+from tidegauge.session import cut_lineage, delete_folder, scratch_path
 
 #: Rows that one task joins; pivots a large region is split by; width of the size rings.
 REGION_ROWS, PIVOTS, RING = 1024, 6, 0.25
@@ -118,7 +118,7 @@ def met_shingles(docs: DataFrame, width: int, bits: int = BITS) -> np.ndarray:
 
     def send(batches):
         for batch in batches:
-            for part in slices(batch, 0, 16 << 20):
+            for part in slices(batch, 0, 6 << 20):
                 found = mix(np.concatenate([*shingle_sets(part.column(0), width), np.zeros(0, np.uint64)]))
                 place, count = np.unique(_place(found[found < HALF], bits).astype(np.int64), return_counts=True)
                 rows: list[tuple[int, bytes]] = []
@@ -309,30 +309,46 @@ def _near_pivots(rows: DataFrame, pivots: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows from a folder in the shared place, and the folder."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "region")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def region_links(rows: DataFrame, percent: int, most: int = REGION_ROWS) -> list[DataFrame]:
-    """Connecting links (``a, b``) of all regions of ``region, name, shingles``."""
+    """Connecting links (``a, b``) of all regions of ``region, name, shingles``.
+
+    Shingle sets are written once per level, and a level's folders are deleted when the next one stands.
+    """
     links: list[DataFrame] = []
-    rows = cut_lineage(rows.withColumn("ball", F.lit(-1)))
+    spark = rows.sparkSession
+    rows, folder = _stored(rows.withColumn("ball", F.lit(-1)))
     while True:
         counts = cut_lineage(rows.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("name").alias("first")))
         small = rows.join(counts.filter(F.col("n") <= most).select("region"), "region")
         links.append(cut_lineage(_joined(small, percent, False)))
         large = counts.filter(F.col("n") > most)
         if large.isEmpty():
+            delete_folder(spark, folder)
             return links
-        big = cut_lineage(rows.join(large, "region"))
+        big = rows.join(large, "region")
         drawn = (F.col("name") == F.col("first")) | (F.pmod(F.xxhash64("name", "region"), F.col("n")) < PIVOTS)
         centres = big.filter(drawn).groupBy("region").agg(F.sort_array(F.collect_list(F.struct("name", "shingles"))).alias("pivots"))
-        split = cut_lineage(_near_pivots(big, centres.withColumn("pivots", F.slice("pivots", 1, 4 * PIVOTS)), percent))
-        links.append(split.filter("linked").select(F.col("name").alias("a"), F.col("pivot").alias("b")))
+        split, halved = _stored(_near_pivots(big, centres.withColumn("pivots", F.slice("pivots", 1, 4 * PIVOTS)), percent))
+        delete_folder(spark, folder)
+        links.append(cut_lineage(split.filter("linked").select(F.col("name").alias("a"), F.col("pivot").alias("b"))))
         after = split.groupBy("from", "region").agg(F.count(F.lit(1)).alias("m"), F.min("ball").alias("outside"))
         # A region whose texts all lie within the radius of its pivot is done. One that kept most of its rows goes to tiles.
         sizes = after.join(large.select(F.col("region").alias("from"), "n"), "from").filter("outside < 0")
         sizes = cut_lineage(sizes.select("region", "m", (F.col("m") > 0.7 * F.col("n")).alias("stuck")))
-        stuck = split.join(sizes.filter(F.col("stuck") & (F.col("m") > most)), "region").withColumn("ball", F.when(F.col("ball") >= 0, 0).otherwise(-1))
-        links.append(cut_lineage(_tiles(stuck.select("region", "m", "name", "shingles", "ball"), percent, most)))
-        rest = split.join(sizes.filter(~(F.col("stuck") & (F.col("m") > most))).select("region"), "region")
-        rows = cut_lineage(rest.select("region", "name", "shingles", F.when(F.col("ball") >= 0, 0).otherwise(-1).alias("ball")))
+        tiled = F.col("stuck") & (F.col("m") > most)
+        ball = F.when(F.col("ball") >= 0, 0).otherwise(-1).alias("ball")
+        stuck = split.join(sizes.filter(tiled), "region").select("region", "m", "name", "shingles", ball)
+        links.append(cut_lineage(_tiles(stuck, percent, most)))
+        rest = split.join(sizes.filter(~tiled).select("region"), "region")
+        rows, folder = _stored(rest.select("region", "name", "shingles", ball))
+        delete_folder(spark, halved)
 
 
 def _tiles(rows: DataFrame, percent: int, most: int) -> DataFrame:
