@@ -222,6 +222,20 @@ def test_toxicity_on_held_out_labels(labelled):
     assert accuracy(scored, labels, "toxic", 0.5) > 0.95
 
 
+def test_toxicity_keeps_every_gram(awkward, labelled):
+    """More n-grams than places, with copies and odd texts: scores are those of the whole tables."""
+    docs, labels = labelled
+    docs = docs.limit(600).unionByName(awkward.select(F.col("doc_id").cast("long") + 10_000, "text").toDF("doc_id", "text"))
+    whole, few = (toxicity.score(docs, toxicity.train(docs, labels, **more), ["doc_id", "text"]).collect() for more in ({}, {"places": 64}))
+
+    def order(r):
+        return str(r.doc_id), r.text or ""
+
+    assert len(whole) == len(few) == docs.count()
+    for a, b in zip(sorted(whole, key=order), sorted(few, key=order), strict=True):
+        assert order(a) == order(b) and a.score == pytest.approx(b.score, abs=1e-6)
+
+
 def test_shared_backoff_sums_to_one(spark, labelled):
     counts = toxicity.gram_counts(labelled[0].limit(200).withColumn("toxic", F.col("doc_id") % 2), 3)
     shared = toxicity.backoff(counts, 3)

@@ -3,7 +3,8 @@
 The models are interpolated Kneser-Ney over the characters of a word. The longest n-grams are counted per class, and
 what a class has not seen is left to one backoff distribution that both share, built from continuation counts of both.
 Where neither class knows an n-gram the shared part cancels, so a model is two tables: the log ratio of each n-gram
-seen, and of each context's weight of backing off.
+seen, and of each context's weight of backing off. Both are kept whole; tasks hold them while they are small, else the
+distinct n-grams of the texts are joined with them.
 
 A word's score is its log ratio per character; a document is described by its mean over all characters and by its
 strongest words, and a logistic curve, fitted on labelled texts the counts have not seen, turns that into a score.
@@ -11,12 +12,14 @@ strongest words, and a logistic curve, fitted on labelled texts the counts have
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +28,8 @@ from tidegauge.session import cut_lineage
 
 ORDER = 6
 DISCOUNT = 0.75
-#: Places of the model tables: each keeps the n-gram most often seen of those that hash to it. Bounds the broadcast.
-PLACES = 1 << 20
+#: Tables of up to so many entries (16 bytes each) are broadcast whole; larger ones are joined, with the same results.
+PLACES = 1 << 23
 #: At most so many labelled texts fit the logistic curve.
 CALIBRATION_ROWS = 20_000
 _PAD = "\x02"
@@ -107,14 +110,15 @@ def backoff(counts: DataFrame, order: int = ORDER) -> DataFrame:
 
 @dataclass
 class Ratios:
-    """One model table: tags and log ratios by place; a tag that differs means unseen."""
+    """One model table in memory: entries in order of their place, ``heads`` holds where each place begins."""
 
+    heads: np.ndarray
     tags: np.ndarray
     values: np.ndarray
 
 
-def tables(counts: DataFrame, order: int = ORDER, places: int = PLACES) -> tuple[Ratios, Ratios]:
-    """The log ratios toxic : ordinary of n-grams and of backing off from contexts, as tables of ``places`` entries."""
+def tables(counts: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame]:
+    """``gram, ratio``, written: the log ratios toxic : ordinary of all n-grams, and of backing off from all contexts."""
     contexts = cut_lineage(
         counts.groupBy(F.expr(f"substring(gram, 1, {order - 1})").alias("context")).agg(
             *[F.sum(c).alias(f"{c}_sum") for c in ("toxic", "ordinary")],
@@ -134,27 +138,23 @@ def tables(counts: DataFrame, order: int = ORDER, places: int = PLACES) -> tuple
         .join(contexts, "context")
         .withColumn("tail", F.expr("substring(gram, 2)"))
         .join(backoff(counts, order).withColumnRenamed("gram", "tail"), "tail")
-        .select("gram", F.log(chance("toxic") / chance("ordinary")).alias("ratio"), (F.col("toxic") + F.col("ordinary")).alias("n"))
+        .select("gram", F.log(chance("toxic") / chance("ordinary")).cast("float").alias("ratio"))
     )
     of_context = contexts.select(
         F.col("context").alias("gram"),
-        F.log(weight("toxic") / weight("ordinary")).alias("ratio"),
-        (F.col("toxic_sum") + F.col("ordinary_sum")).alias("n"),
+        F.log(weight("toxic") / weight("ordinary")).cast("float").alias("ratio"),
     )
-    return _collected(of_gram, places), _collected(of_context, places)
+    return cut_lineage(of_gram), cut_lineage(of_context)
 
 
-def _collected(ratios: DataFrame, places: int) -> Ratios:
-    """At most ``places`` rows reach the driver."""
-    hashed = F.xxhash64("gram")
-    best = ratios.groupBy(F.pmod(hashed, F.lit(places)).cast("int").alias("place")).agg(
-        F.max(F.struct(F.col("n"), hashed.alias("tag"), F.col("ratio").cast("float").alias("ratio"))).alias("best")
-    )
-    rows = best.select("place", "best.tag", "best.ratio").toArrow()
-    tags, values = np.zeros(places, np.int64), np.zeros(places, np.float32)
-    tags[rows["place"].to_numpy()] = rows["tag"].to_numpy()
-    values[rows["place"].to_numpy()] = rows["ratio"].to_numpy()
-    return Ratios(tags, values)
+def _collected(ratios: DataFrame) -> Ratios:
+    """All entries, for tables of at most ``PLACES``; there are as many places, and those that share one lie side by side."""
+    rows = ratios.select(F.xxhash64("gram").alias("tag"), "ratio").toArrow()
+    tags, values = rows["tag"].to_numpy(), rows["ratio"].to_numpy()
+    size = max(1, len(tags))
+    order = np.argsort(tags % size, kind="stable")
+    tags, values = tags[order], values[order]
+    return Ratios(np.searchsorted(tags % size, np.arange(size + 1)).astype(np.int32), tags, values)
 
 
 def _signed(hashed: int) -> int:
@@ -168,23 +168,30 @@ class Scorer:
 
     def __init__(self, of_gram: Ratios, of_context: Ratios, order: int = ORDER):
         # Single entries of a memory view come out as plain numbers, several times faster than those of an array.
-        self.tags, self.values = memoryview(of_gram.tags), memoryview(of_gram.values)
-        self.context_tags, self.context_values = memoryview(of_context.tags), memoryview(of_context.values)
+        self.table, self.context_table = (tuple(map(memoryview, (t.heads, t.tags, t.values))) for t in (of_gram, of_context))
         self.order = order
         self.known: dict[str, float] = {}
         self.before: dict[str, float] = {}
 
+    @staticmethod
+    def _find(table: tuple[memoryview, memoryview, memoryview], gram: str) -> float | None:
+        heads, tags, values = table
+        tag = _signed(xxhash.xxh64_intdigest(gram.encode(), 42))
+        place = tag % (len(heads) - 1)
+        for i in range(heads[place], heads[place + 1]):
+            if tags[i] == tag:
+                return values[i]
+        return None
+
     def ratio(self, word: str) -> float:
         """The log ratio of a whole word."""
-        total, size = 0.0, len(self.tags)
+        total = 0.0
         for gram in grams(word, self.order):
-            tag = _signed(xxhash.xxh64_intdigest(gram.encode(), 42))
-            if self.tags[tag % size] == tag:
-                total += self.values[tag % size]
-                continue
-            tag = _signed(xxhash.xxh64_intdigest(gram[:-1].encode(), 42))
-            if self.context_tags[tag % size] == tag:
-                total += self.context_values[tag % size]
+            found = self._find(self.table, gram)
+            if found is None:
+                found = self._find(self.context_table, gram[:-1])
+            if found is not None:
+                total += found
         return total
 
     def describe(self, text: str | None) -> list[float]:
@@ -241,21 +248,25 @@ def fit_curve(features: np.ndarray, labels: np.ndarray, ridge: float = 1.0) -> C
 
 @dataclass
 class Model:
-    of_gram: Ratios
-    of_context: Ratios
+    of_gram: DataFrame
+    of_context: DataFrame
     curve: Curve | None
     share: float
     order: int = ORDER
+    shared: Broadcast | None = None  # both tables in memory, where they are small enough
 
 
-def _described(docs: DataFrame, keep: list[str], make) -> DataFrame:
-    """``keep`` and the features of ``text``; ``make`` gives the scorer inside a task."""
+def _described(docs: DataFrame, keep: list[str], model: Model) -> DataFrame:
+    """``keep`` and the features of ``text``."""
+    if model.shared is None:
+        return _joined(docs, keep, model)
+    shared, order = model.shared, model.order
     read = keep if "text" in keep else [*keep, "text"]
     text, features = read.index("text"), [f"_{name}" for name in Scorer.NAMES]
     fields = [f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep] + [f"{f} double" for f in features]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = make()
+        scorer = Scorer(*shared.value, order)
         for batch in batches:
             for part in slices(batch, text):
                 found = np.array([scorer.describe(t) for t in part.column(text).to_pylist()]).reshape(-1, len(features))
@@ -265,11 +276,64 @@ def _described(docs: DataFrame, keep: list[str], make) -> DataFrame:
     return docs.select(*read).mapInArrow(run, ", ".join(fields))
 
 
+def _joined(docs: DataFrame, keep: list[str], model: Model) -> DataFrame:
+    """The same by joins: distinct n-grams with the tables, words with their n-grams, texts with their words.
+
+    Texts and words are named by their md5, so copies of a text are described once and long words are not repeated.
+    """
+    order = model.order
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                rows = [(k, w, n) for k, t in zip(*(c.to_pylist() for c in part.columns), strict=True) for w, n in Counter((t or "").lower().split()).items()]
+                columns = zip(*rows, strict=True) if rows else ((), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.string(), pa.int64()), strict=True)], ["text_key", "word", "n"]
+                )
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1, 1 << 18):
+                keys, words = (c.to_pylist() for c in part.columns)
+                found = [grams(w, order) for w in words]
+                keys = [k for k, own in zip(keys, found, strict=True) for _ in own]
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([g for own in found for g in own], pa.string())], ["word_key", "gram"])
+
+    def named(c: str) -> Column:
+        return F.unhex(F.md5(F.coalesce(F.col(c), F.lit("")).cast("binary")))
+
+    counted = docs.select(named("text").alias("text_key"), "text").mapInArrow(count, "text_key binary, word string, n long")
+    pairs = cut_lineage(counted.groupBy("text_key", "word").agg(F.max("n").alias("n")).withColumn("word_key", named("word")))
+    parts = cut_lineage(pairs.select("word_key", "word").distinct().mapInArrow(split, "word_key binary, gram string"))
+    context = F.expr(f"substring(gram, 1, {order - 1})")
+    back = model.of_context.select(F.col("gram").alias("context"), F.col("ratio").alias("back"))
+    ratios = (
+        parts.select("gram").distinct().join(model.of_gram, "gram", "left").withColumn("context", context).join(back, "context", "left")
+        .select("gram", F.coalesce("ratio", "back", F.lit(0.0)).cast("double").alias("ratio"))
+    )
+    values = parts.join(ratios, "gram").groupBy("word_key").agg(F.sum("ratio").alias("value"))
+    value, size = F.col("value"), F.char_length("word") + 1
+    texts = pairs.join(values, "word_key").groupBy("text_key").agg(
+        (F.sum(F.col("n") * value) / F.sum(F.col("n") * size)).alias("mean"),
+        F.slice(F.sort_array(F.collect_list(value), asc=False), 1, 3).alias("top"),  # at most the words of one text
+        F.max(value / size).alias("steepest"),
+    )
+    last = F.least(F.lit(0.0), F.element_at("top", -1))
+    top = [F.coalesce(F.get("top", F.lit(i)), last) for i in range(3)]
+    features = dict(zip(Scorer.NAMES, ["mean", *(f"top{i}" for i in range(3)), "steepest"], strict=True))
+    texts = texts.select("text_key", "mean", *[t.alias(f"top{i}") for i, t in enumerate(top)], "steepest")
+    texts = texts.select(F.col("text_key").alias("_text_key"), *[F.col(c).alias(f"_{name}") for name, c in features.items()])
+    own = docs.select(*keep, named("text").alias("_text_key")).join(texts, "_text_key", "left")
+    return own.select(*keep, *[F.coalesce(f"_{name}", F.lit(0.0)).alias(f"_{name}") for name in Scorer.NAMES])
+
+
 def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, places: int = PLACES) -> Model:
     """A model from ``docs`` (``doc_id, text``) and ``labels`` (``doc_id, toxic``).
 
     All labelled rows that are not held out take part: four fifths are counted, the rest fits the curve (at most
     ``CALIBRATION_ROWS`` of them). Null labels and ids are left out; of several labels of one id the largest counts.
+    Tables of more than ``places`` entries are joined instead of broadcast.
     """
     spark = docs.sparkSession
     usable = (
@@ -279,14 +343,16 @@ def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, places: int =
     )
     texts = docs.select("doc_id", "text").filter(~held_out() & ~calibrating())
     counts = cut_lineage(gram_counts(texts.join(usable.filter(~calibrating()), "doc_id"), order))
-    of_gram, of_context = tables(counts, order, places)
+    model = Model(*tables(counts, order), None, 0.0, order)
+    if max(model.of_gram.count(), model.of_context.count()) <= places:
+        model.shared = spark.sparkContext.broadcast((_collected(model.of_gram), _collected(model.of_context)))
     sample = usable.filter(calibrating()).orderBy(F.xxhash64("doc_id")).limit(CALIBRATION_ROWS)
-    shared = spark.sparkContext.broadcast((of_gram, of_context))
     known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # bounded by the limit
-    rows = _described(known, ["doc_id", "toxic"], lambda: Scorer(*shared.value, order)).toPandas().sort_values("doc_id")
+    rows = _described(known, ["doc_id", "toxic"], model).toPandas().sort_values("doc_id")
     found, marks = rows[[f"_{name}" for name in Scorer.NAMES]].to_numpy(float), rows["toxic"].to_numpy(float)
-    curve = fit_curve(found, marks) if len(set(marks)) == 2 else None
-    return Model(of_gram, of_context, curve, float(marks.mean()) if len(marks) else 0.0, order)
+    model.curve = fit_curve(found, marks) if len(set(marks)) == 2 else None
+    model.share = float(marks.mean()) if len(marks) else 0.0
+    return model
 
 
 def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
@@ -296,8 +362,7 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """
     if model.curve is None:
         return docs.select(*keep, F.lit(model.share).alias("score"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    described = _described(docs, keep, lambda: Scorer(shared.value.of_gram, shared.value.of_context, shared.value.order))
+    described = _described(docs, keep, model)
     curve, z = model.curve, F.lit(float(model.curve.weights[0]))
     for name, middle, scale, weight in zip(Scorer.NAMES, curve.middle, curve.scale, curve.weights[1:], strict=True):
         standard = (F.col(f"_{name}") - float(middle)) / float(scale)
