@@ -195,3 +195,19 @@ def test_word_hashes_follow_words():
     assert own[5][1] == own[0][0] and own[6] == own[0][::-1]
     sets = shingle_sets(pa.array(["a b", "a b c", "b c", "A  B"]), 3)
     assert [len(s) for s in sets] == [1, 1, 1, 1] and sets[0] == sets[3] and len({int(s[0]) for s in sets}) == 3
+
+
+def test_walk_finds_clusters_without_an_own_row():
+    """Tight clusters of more rows than a list names: no link leads in, and no fixed entry row need lie there."""
+    rng = np.random.default_rng(8)
+    n, d, clusters, k = 6000, 64, 120, 5
+    middles = rng.normal(size=(clusters, d))
+    x = middles[rng.integers(0, clusters, n)] + 0.1 * rng.normal(size=(n, d))
+    asked = middles[rng.integers(0, clusters, 100)] + 0.1 * rng.normal(size=(100, d))
+    x, asked = ((v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.float32) for v in (x, asked))
+    sims = x @ x.T
+    np.fill_diagonal(sims, -np.inf)
+    links = np.argpartition(-sims, graphsearch.DEGREE, 1)[:, : graphsearch.DEGREE]
+    found, _ = graphsearch.walk(x, links, asked, np.full(100, -1), k)
+    true = np.argsort(-(asked @ x.T), 1)[:, :k]
+    assert np.mean([len(set(a) & set(b)) / k for a, b in zip(found.tolist(), true.tolist(), strict=True)]) > 0.99

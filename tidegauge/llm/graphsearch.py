@@ -3,8 +3,8 @@
 Rows are dealt into shards of bounded size, and each shard has a graph of its own, so a search can hold one shard in
 memory while the number of shards follows the table. Every row has a list of its nearest rows so far. A round joins
 the lists with the rows they name, in both directions, and lets all neighbours of a row meet: neighbours of neighbours are
-often neighbours. Queries walk every shard's graph from a few entry rows, always opening the nearest rows not opened
-yet; what they find is scored exactly and merged.
+often neighbours. Queries walk every shard's graph in both directions, from a few fixed rows and from the nearest rows of
+the cells around them, always opening the nearest rows not opened yet; what they find is scored exactly and merged.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ from tidegauge.session import cut_lineage
 SHARD_ROWS, QUERY_ROWS = 16_384, 1024
 #: Neighbours kept per row, rows that meet per round and direction, rounds, trees of the first lists, rows per first group.
 DEGREE, MEETING, ROUNDS, TREES, GROUP = 24, 12, 4, 4, 64
-#: Rows a search keeps, rows it opens at once, entry rows.
-BEAM, OPENED, ENTRIES = 192, 8, 96
+#: Rows a search keeps, rows it opens at once, entry rows; cells of a shard whose rows are all looked at for entries.
+BEAM, OPENED, ENTRIES, PROBED = 192, 8, 96, 4
 
 
 def prepared(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -148,13 +148,56 @@ def neighbour_graph(codes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return graph
 
 
+def both_ways(x: np.ndarray, links: np.ndarray) -> np.ndarray:
+    """``links`` and as many columns of the nearest rows that name a row."""
+    n, width = links.shape
+    u, column = np.nonzero(links >= 0)
+    w = links[u, column]
+    sims = np.concatenate([np.einsum("ij,ij->i", x[u[i : i + 65_536]], x[w[i : i + 65_536]]) for i in range(0, len(u), 65_536)] or [np.zeros(0)])
+    order = np.lexsort((u, -sims, w))
+    u, w = u[order], w[order]
+    place = np.arange(len(w)) - np.searchsorted(w, w)
+    back = np.full((n, width), -1)
+    near = place < width
+    back[w[near], place[near]] = u[near]
+    return np.concatenate([links, back], 1)
+
+
+def entries(x: np.ndarray, queries: np.ndarray) -> np.ndarray:
+    """Per query the nearest rows of the ``PROBED`` cells around it, ``ENTRIES`` each at most, -1 where there are fewer.
+
+    A cell holds the rows nearest to one of about sqrt(n) centres; every row is in one and all rows of a cell are compared.
+    """
+    n, m = len(x), len(queries)
+    centres = x[np.random.default_rng(6).choice(n, int(np.ceil(np.sqrt(n))), replace=False)]
+    for _ in range(3):
+        cell = (x @ centres.T).argmax(1)
+        sums = np.stack([np.bincount(cell, x[:, j], len(centres)) for j in range(x.shape[1])], 1)
+        size = np.sqrt((sums * sums).sum(1, keepdims=True))
+        centres = np.where(size > 0, sums / np.maximum(size, 1e-30), centres).astype(np.float32)
+    cell = (x @ centres.T).argmax(1)
+    rows_of = np.split(np.argsort(cell, kind="stable"), np.cumsum(np.bincount(cell, minlength=len(centres)))[:-1])
+    centres, rows_of = centres[[len(r) > 0 for r in rows_of]], [r for r in rows_of if len(r)]
+    probed = np.argsort(-(queries @ centres.T), 1, kind="stable")[:, :PROBED]
+    found = np.full((m, probed.shape[1], ENTRIES), -1)
+    for number, rows in enumerate(rows_of):
+        at, turn = np.nonzero(probed == number)
+        k = min(ENTRIES, len(rows))
+        for first in range(0, len(at), 256):  # a cell can hold the whole shard
+            some = slice(first, first + 256)
+            best = np.argpartition(-(queries[at[some]] @ x[rows].T), k - 1, 1)[:, :k]
+            found[at[some], turn[some], :k] = rows[best]
+    return found.reshape(m, -1)
+
+
 def walk(x: np.ndarray, links: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Greedy search of all queries at once: ``(rows, similarities)`` of the ``k`` nearest found, -1 where there are fewer.
 
-    ``links`` holds row numbers, -1 where a list is shorter. ``own`` is the row a query is itself, or -1: it is a good place to
+    ``links`` holds row numbers, -1 where a list is shorter; they are followed in both directions. ``own`` is the row a query is itself, or -1: it is a good place to
     start, but no result. The walk ends when the kept rows have all been opened.
     """
     n, m = len(x), len(queries)
+    links = both_ways(x, links)
     beam = min(BEAM, n)
     starts = np.random.default_rng(5).choice(n, min(n, ENTRIES), replace=False)
     seen = np.zeros((m, n), bool)
@@ -185,6 +228,7 @@ def walk(x: np.ndarray, links: np.ndarray, queries: np.ndarray, own: np.ndarray,
 
     first = np.broadcast_to(starts, (m, len(starts)))
     take(np.concatenate([first, own[:, None]], 1))
+    take(entries(x, queries))
     while not opened.all():
         order = np.argsort(opened, 1, kind="stable")[:, :OPENED]  # the nearest that are not opened
         closed = ~np.take_along_axis(opened, order, 1)
