@@ -271,16 +271,44 @@ def refresh_stats(stats: DataFrame, modified: DataFrame, counts: DataFrame, now:
 
 def state_diff(state: DataFrame, desired: DataFrame) -> DataFrame:
     """Per state key: ``added``, ``updated``, ``deleted`` or ``same``."""
-    now_is = state.select(*STATE_KEY, F.struct("max_modified", F.col("source_fingerprint").alias("fingerprint")).alias("is"))
+    now_is = state.select(*STATE_KEY, F.struct("max_modified", "source_fingerprint").alias("is"))
     want = desired.select(*STATE_KEY, F.struct("max_modified", "fingerprint").alias("want"))
-    same = [F.col(f"is.{name}").eqNullSafe(F.col(f"want.{name}")) for name in ("max_modified", "fingerprint")]
-    action = (
+    return now_is.join(want, STATE_KEY, "full_outer").select(*STATE_KEY, _action().alias("action"))
+
+
+def reconcile(state: DataFrame, desired: DataFrame, only_changes: bool = False) -> DataFrame:
+    """The state after following ``desired`` (``materialization, timestamp, max_modified, fingerprint``).
+
+    Labels new in ``desired`` enter unprocessed, labels that are no longer in it go. A label whose fingerprint or last
+    modification differs gets both from ``desired`` and keeps its processed fingerprint and job, so it is pending until it is
+    computed again. ``only_changes`` leaves out what stays as it is and adds ``action`` (added, updated, deleted).
+    """
+    known = state.select(*STATE_KEY, F.struct("source_fingerprint", "processed_fingerprint", "max_modified", "job_id").alias("is"))
+    want = desired.select(*STATE_KEY, F.struct("max_modified", "fingerprint").alias("want"))
+    met = known.join(want, STATE_KEY, "full_outer").withColumn("action", _action())
+    met = met.filter("action <> 'same'" if only_changes else "action <> 'deleted'")
+    gone = F.col("action") == "deleted"
+    return met.select(
+        *STATE_KEY,
+        F.when(gone, F.col("is.source_fingerprint")).otherwise(F.col("want.fingerprint")).alias("source_fingerprint"),
+        F.col("is.processed_fingerprint").alias("processed_fingerprint"),
+        F.when(gone, F.col("is.max_modified")).otherwise(F.col("want.max_modified")).alias("max_modified"),
+        F.col("is.job_id").alias("job_id"),
+        *(["action"] if only_changes else []),
+    )
+
+
+def _action() -> Column:
+    """What becomes of a state row ``is`` for which there is ``want``; either may be missing."""
+    same = F.col("is.max_modified").eqNullSafe(F.col("want.max_modified")) & F.col("is.source_fingerprint").eqNullSafe(
+        F.col("want.fingerprint")
+    )
+    return (
         F.when(F.col("is").isNull(), "added")
         .when(F.col("want").isNull(), "deleted")
-        .when(same[0] & same[1], "same")
+        .when(same, "same")
         .otherwise("updated")
     )
-    return now_is.join(want, STATE_KEY, "full_outer").select(*STATE_KEY, action.alias("action"))
 
 
 def state_reconcile(state: DataFrame, desired: DataFrame) -> DataFrame:

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from tidegauge.operators.numbering import next_id, with_dense_ids
 
 
-def create_missing_entities(entities: DataFrame, names: DataFrame, now: Column) -> DataFrame:
-    """Entities to append: the distinct ``name`` values not known yet, with fresh ids."""
+def create_missing_entities(entities: DataFrame, names: DataFrame, now: Column, after: Column | int | None = None) -> DataFrame:
+    """Entities to append: the distinct ``name`` values not known yet, with ids counted on from ``after`` or from the largest known."""
     wanted = names.select("name").filter(F.col("name").isNotNull()).distinct()
     new = wanted.join(entities.select("name"), "name", "left_anti")
-    return with_dense_ids(new, "name", after=next_id(entities)).select("id", "name", now.alias("created"))
+    return with_dense_ids(new, "name", after=next_id(entities) if after is None else after).select("id", "name", now.alias("created"))
 
 
 def with_missing_entities(entities: DataFrame, names: DataFrame, now: Column) -> DataFrame:

@@ -68,14 +68,14 @@ def staging_modified(staging: DataFrame, history: DataFrame) -> DataFrame:
 
 def transfer_staged(
     history: DataFrame, staging: DataFrame, attributes: Sequence[str], now: Column, order: str | None = None,
-    arrays: Sequence[str] = (),
+    arrays: Sequence[str] = (), after: Column | int | None = None,
 ) -> DataFrame:
     """History after taking over the staged rows.
 
-    New keys are appended with fresh ids; existing keys get all staged attributes, a new
+    New keys are appended with fresh ids, counted on from ``after`` or from the history's largest; existing keys get all staged attributes, a new
     ``modified`` and a recomputed hash. The history is scanned and shuffled once, on its key.
     """
-    new = with_dense_ids(staging_new(staging, history, order), KEY, after=next_id(history))
+    new = with_dense_ids(staging_new(staging, history, order), KEY, after=next_id(history) if after is None else after)
     inserted = new.select(
         "id", now.alias("first_appearance"), now.alias("modified"),
         attribute_hash(attributes, arrays).alias("hash"), *KEY,

@@ -13,9 +13,13 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import as_column, names, other_columns
 from tidegauge.functions.timeaxis import Interval
-from tidegauge.operators.slices import AUTO, slice_number, with_last_known, with_previous
+from tidegauge.operators.slices import (
+    AUTO, bound_number, hot_keys, slice_count, slice_number, split_hot, time_bounds, with_last_known, with_previous,
+)
 from tidegauge.plans.spec import KEY
 
+BIN = "__slice"
+
 
 def at_timestamp(df: DataFrame, ts: Column) -> DataFrame:
     return df.filter(F.col("timestamp") == ts)
@@ -61,34 +65,74 @@ def valid_at(prefix: str, ts: str) -> Column:
 
 
 def exception_join(
-    facts: DataFrame, exceptions: DataFrame, columns: Sequence[str], prefix: str = "exc_", slice_width: str | None = None
+    facts: DataFrame, exceptions: DataFrame, columns: Sequence[str], prefix: str = "exc_", slice_width=AUTO
 ) -> DataFrame:
     """Add the values of exceptions valid at the record's timestamp, NULL where there is none.
 
-    Overlapping exceptions of an entity repeat the record. The entity is the equi-key and the
-    validity a residual condition, so no pair of different entities is ever formed. Where one
-    entity has very many exceptions, ``slice_width`` also makes time slices part of the key:
-    an exception is then only compared with records of the slices it reaches into.
+    Overlapping exceptions of an entity repeat the record. The entity is the equi-key and the validity a residual condition,
+    so no pair of different entities is ever formed. Entities with more than their share of the records or of the
+    exceptions are also cut into time bins, whose bounds are quantiles of the records' times and of the exceptions' own endpoints: a
+    record lies in one bin, an exception in all it reaches into, so a bin has few records and only exceptions that hold
+    throughout, all of which match, or few others. ``slice_width`` may also be a bin length for all entities, or None.
+    """
+    binned = [BIN] if BIN in exceptions.columns else []
+    f, e = facts, exceptions.select("entity_id", "start", "expires", *columns, *binned)
+    if slice_width is None:
+        return validity_join(f, e, columns, prefix)
+    if slice_width != AUTO:
+        return validity_join(*_fixed_bins(f, e, Interval.of(slice_width).micros), columns, prefix).drop(BIN)
+    ordinary, heavy, (bins,) = by_weight(f, [e])
+    return validity_join(ordinary, e, columns, prefix).union(validity_join(heavy, bins, columns, prefix).drop(BIN))
+
+
+def validity_join(records: DataFrame, valid: DataFrame, columns: Sequence[str], prefix: str) -> DataFrame:
+    """The left join on entity and validity, and on the bin where both sides have one."""
+    condition = (F.col("f.entity_id") == F.col("e.entity_id")) & valid_at("e", "f.timestamp")
+    if BIN in records.columns and BIN in valid.columns:
+        condition = condition & (F.col(f"f.{BIN}") == F.col(f"e.{BIN}"))
+    kept = [F.col(f"f.`{name}`") for name in records.columns]
+    added = [F.col(f"e.`{name}`").alias(prefix + name) for name in columns]
+    return records.alias("f").join(valid.alias("e"), condition, "left").select(*kept, *added)
+
+
+def _fixed_bins(f: DataFrame, e: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    low, high = f.agg(F.min("timestamp").alias("t")).scalar(), f.agg(F.max("timestamp").alias("t")).scalar()
+    # Slices without records are left out, however long an exception lasts.
+    bins = (
+        e.withColumn("__from", F.greatest("start", low)).withColumn("__to", F.least("expires", high))
+        .filter(F.col("__from") <= F.col("__to"))
+        .withColumn(BIN, F.explode(F.sequence(slice_number("__from", width), slice_number("__to", width))))
+    )
+    return f.withColumn(BIN, slice_number("timestamp", width)), bins
+
+
+def by_weight(f: DataFrame, exceptions: Sequence[DataFrame], slices: int | None = None) -> tuple[DataFrame, DataFrame, list[DataFrame]]:
+    """Records of ordinary entities; those of entities with more than their share, with bins; and each of ``exceptions`` with bins.
+
+    An entity's share counts by records and by endpoints of each table of exceptions; all get the same bins.
     """
-    f, e = facts, exceptions.select("entity_id", "start", "expires", *columns)
-    match = [F.col("f.entity_id") == F.col("e.entity_id")]
-    if slice_width is not None:
-        width = Interval.of(slice_width).micros
-        f = f.withColumn("__slice", slice_number("timestamp", width))
-        low, high = facts.agg(F.min("timestamp").alias("t")).scalar(), facts.agg(F.max("timestamp").alias("t")).scalar()
-        # Slices without records are left out, however long an exception lasts.
-        e = (
-            e.withColumn("__from", F.greatest("start", low)).withColumn("__to", F.least("expires", high))
-            .filter(F.col("__from") <= F.col("__to"))
-            .withColumn("__slice", F.explode(F.sequence(slice_number("__from", width), slice_number("__to", width))))
-        )
-        match.append(F.col("f.__slice") == F.col("e.__slice"))
-    condition = match[0] & valid_at("e", "f.timestamp")
-    for extra in match[1:]:
-        condition = condition & extra
-    kept = [F.col(f"f.{name}") for name in facts.columns]
-    added = [F.col(f"e.{name}").alias(prefix + name) for name in columns]
-    return f.alias("f").join(e.alias("e"), condition, "left").select(*kept, *added)
+    slices, key = slices or slice_count(f), ["entity_id"]
+    ends = [e.select("entity_id", F.explode(F.array("start", "expires")).alias("timestamp")) for e in exceptions]
+    measured = [f.select("entity_id", "timestamp"), *ends]
+    either = None
+    for rows in measured:
+        found = hot_keys(rows, key, slices)
+        either = found if either is None else either.union(found)
+    either = either.distinct()
+    count = len(measured) * slices
+    common = time_bounds(measured, key, "timestamp", count)
+
+    def number(at: str) -> str:
+        return bound_number(f"unix_micros(CAST(`{at}` AS TIMESTAMP))", count)
+
+    ordinary, heavy = split_hot(f, key, either)
+    placed = heavy.withColumn("__bounds", common).selectExpr(*[f"`{c}`" for c in f.columns], f"{number('timestamp')} AS {BIN}")
+    reached = []
+    for e in exceptions:
+        _, valid = split_hot(e.filter(F.col("start") < F.col("expires")), key, either)
+        spans = f"explode(sequence({number('start')}, {number('expires')})) AS {BIN}"
+        reached.append(valid.withColumn("__bounds", common).selectExpr(*[f"`{c}`" for c in e.columns], spans))
+    return ordinary, placed, reached
 
 
 def overlapping_exceptions(exceptions: DataFrame, width=AUTO) -> DataFrame:
@@ -101,11 +145,15 @@ def overlapping_exceptions(exceptions: DataFrame, width=AUTO) -> DataFrame:
 
 
 def as_of_latest(history: DataFrame, ts: Column | None = None, key: str = "entity_id") -> DataFrame:
-    """Latest row per entity, at or before ``ts`` when given; combines map-side."""
+    """Latest row per entity, at or before ``ts`` when given; (entity, timestamp) is unique.
+
+    The latest timestamps are a hash aggregate over two fixed-width columns, combined map-side; the rows are fetched back by key
+    and timestamp, so the wide columns are neither sorted nor carried through an aggregate.
+    """
     rows = history if ts is None else history.filter(F.col("timestamp") <= ts)
-    rest = other_columns(history, [key])
-    latest = rows.groupBy(key).agg(F.max_by(F.struct(*rest), "timestamp").alias("row"))
-    return latest.select(*[F.col(key) if name == key else F.col(f"row.{name}") for name in history.columns])
+    latest = rows.groupBy(F.col(key).alias("__key")).agg(F.max("timestamp").alias("__last"))
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("timestamp") == F.col("__last"))
+    return rows.join(latest, same, "left_semi").select(*history.columns)
 
 
 def as_of_join(

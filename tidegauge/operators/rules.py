@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.columns import other_columns
 from tidegauge.functions.timeaxis import minus, plus
-from tidegauge.operators.joins import at_timestamp, exception_join, overlapping_exceptions
+from tidegauge.operators.joins import BIN, at_timestamp, by_weight, exception_join, overlapping_exceptions
+from tidegauge.operators.slices import AUTO
+from tidegauge.plans.spec import SourceLink
 
 NOTIFICATION_KEY = ["entity_id", "timestamp", "rule_id"]
 DEFAULT_EXCEPTION_LENGTH = "3 months"
@@ -34,6 +36,7 @@ class Rule:
     granularity: str = "15m"
     default_interval: str = "1 day"
     runnable: bool = True
+    sources: Sequence[SourceLink] = ()
 
     def with_values(self, **values) -> "Rule":
         """The rule with other default threshold values."""
@@ -46,10 +49,13 @@ class Rule:
     def threshold_columns(self) -> dict[str, Column]:
         return {name: F.lit(value).cast(kind) for name, (kind, value) in self.thresholds.items()}
 
-    def with_thresholds(self, kpi: DataFrame, exceptions: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    def with_thresholds(
+        self, kpi: DataFrame, exceptions: DataFrame | None = None, strict: bool = False, slice_width=AUTO
+    ) -> DataFrame:
         """KPI rows with threshold columns; a valid exception overrides the default.
 
-        Overlapping exceptions repeat a row; ``strict`` fails the job on them instead.
+        Overlapping exceptions repeat a row; ``strict`` fails the job on them instead. ``slice_width`` as in
+        :func:`~tidegauge.operators.joins.exception_join`.
         """
         if not self.thresholds:
             return kpi
@@ -58,33 +64,52 @@ class Rule:
             return kpi.select("*", *[value.alias(name) for name, value in defaults.items()])
         if strict:
             exceptions = reject_overlap(exceptions)
-        joined = exception_join(kpi, exceptions, list(defaults), prefix="__exc_")
+        joined = exception_join(kpi, exceptions, list(defaults), prefix="__exc_", slice_width=slice_width)
         values = [F.coalesce(F.col(f"__exc_{name}"), value).alias(name) for name, value in defaults.items()]
         return joined.select(*kpi.columns, *values)
 
-    def matches(self, kpi: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
+    def matches(self, kpi: DataFrame, exceptions: DataFrame | None = None, slice_width=AUTO) -> DataFrame:
         """Rows for which the condition holds; none for a rule that is switched off."""
         condition = F.expr(self.condition) if self.runnable else F.lit(False)
-        return self.with_thresholds(kpi, exceptions).filter(condition)
+        return self.with_thresholds(kpi, exceptions, slice_width=slice_width).filter(condition)
 
     def evaluate(
-        self, kpi: DataFrame, exceptions: DataFrame | None = None, weight_exceptions: DataFrame | None = None
+        self, kpi: DataFrame, exceptions: DataFrame | None = None, weight_exceptions: DataFrame | None = None, slice_width=AUTO
     ) -> DataFrame:
-        """Notifications ``entity_id, timestamp, weight, details, data`` without storing them."""
-        rows = self.matches(kpi, exceptions).select(
+        """Notifications ``entity_id, timestamp, weight, details, data`` without storing them.
+
+        Records are cut into bins once, for both kinds of exceptions.
+        """
+        given = [table for table in (exceptions, weight_exceptions) if table is not None]
+        if slice_width != AUTO or not given:
+            return self._evaluated(kpi, exceptions, weight_exceptions, slice_width)
+        ordinary, heavy, bins = by_weight(kpi, given)
+        sliced = iter(bins)
+        binned = [None if table is None else next(sliced) for table in (exceptions, weight_exceptions)]
+        return self._evaluated(ordinary, exceptions, weight_exceptions, None).union(self._evaluated(heavy, *binned, None))
+
+    def _evaluated(self, kpi: DataFrame, exceptions, weight_exceptions, slice_width) -> DataFrame:
+        kept = [BIN] if BIN in kpi.columns else []
+        rows = self.matches(kpi, exceptions, slice_width).select(
             "entity_id", "timestamp",
             F.expr(self.weight).cast("int").alias("weight"),
             F.expr(self.message).alias("details"),
             F.expr(self.data).alias("data"),
+            *kept,
         )
-        if weight_exceptions is None:
-            return rows
-        joined = exception_join(rows, weight_exceptions, ["weight"])
-        return joined.withColumn("weight", F.coalesce("exc_weight", "weight").cast("int")).drop("exc_weight")
+        if weight_exceptions is not None:
+            joined = exception_join(rows, weight_exceptions, ["weight"], slice_width=slice_width)
+            rows = joined.withColumn("weight", F.coalesce("exc_weight", "weight").cast("int")).drop("exc_weight")
+        return rows.drop(BIN)
 
     def evaluate_at(self, kpi: DataFrame, ts: Column, *exceptions) -> DataFrame:
         return self.evaluate(at_timestamp(kpi, ts), *exceptions)
 
+    def evaluate_due(self, kpi: DataFrame, labels: DataFrame, *exceptions) -> DataFrame:
+        """Notifications at this rule's labels among ``labels`` (``rule, timestamp``), see :mod:`tidegauge.plans.gates`."""
+        own = labels.filter(F.col("rule") == self.name).select("timestamp")
+        return self.evaluate(kpi.join(own, "timestamp", "left_semi"), *exceptions)
+
 
 def reject_overlap(exceptions: DataFrame) -> DataFrame:
     """The exceptions, failing the job if two of one entity overlap."""

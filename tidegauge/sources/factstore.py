@@ -140,13 +140,15 @@ def expired_buckets(buckets: DataFrame, now: Column, retention: str, size: str)
 class FactStore:
     """A table with a ``timestamp`` stored below ``path``, partitioned by time bucket.
 
-    Facts are keyed by (entity_id, timestamp); ``key`` names another key for other tables.
+    Facts are keyed by (entity_id, timestamp); ``key`` names another key for other tables. ``bucket`` numbers the buckets by
+    another expression of the key's columns than the time, for tables without one; then only the methods by key apply.
     """
 
     def __init__(
         self, spark: SparkSession, path: str, schema: T.StructType | str, partition_size: str = "1 day",
-        key: Sequence[str] = KEY,
+        key: Sequence[str] = KEY, bucket: Column | None = None,
     ):
+        self.bucket = bucket
         self.spark = spark
         self.key = tuple(key)
         self.path = path
@@ -179,7 +181,8 @@ class FactStore:
         return self._in_buckets(sorted(row[BUCKET] for row in numbers))
 
     def _bucketed(self, rows: DataFrame) -> DataFrame:
-        return rows.withColumn(BUCKET, bucket_index("timestamp", self.partition_size))
+        number = bucket_index("timestamp", self.partition_size) if self.bucket is None else self.bucket
+        return rows.withColumn(BUCKET, number.cast("bigint"))
 
     def _write(self, rows: DataFrame, mode: str) -> None:
         """One task per bucket where buckets are small; AQE splits a bucket holding most rows."""
@@ -197,7 +200,7 @@ class FactStore:
 
     def _bucket_numbers(self, rows: DataFrame) -> list[int]:
         """Buckets the rows fall into: at most one number per folder of the store."""
-        numbers = self._bucketed(rows.select("timestamp")).select(BUCKET).distinct()
+        numbers = self._bucketed(rows).select(BUCKET).distinct()
         return sorted(row[BUCKET] for row in numbers.collect())
 
     def _touched(self, batch: DataFrame) -> DataFrame:
@@ -228,6 +231,18 @@ class FactStore:
                 rows.select(*self.schema.names)
             ))
 
+    def having(self, keys: DataFrame) -> DataFrame:
+        """Stored rows with one of the keys (``keys`` has the columns of a part of the key that buckets are numbered by)."""
+        on = [name for name in self.key if name in keys.columns]
+        return self._touched(keys).join(keys.select(*on).distinct(), on, "left_semi")
+
+    def exchange(self, batch: DataFrame, gone: DataFrame) -> None:
+        """Insert or replace whole rows by key and delete the keys in ``gone``; both have each key once, and no key in common."""
+        with written_once(batch.select(*self.schema.names)) as rows, written_once(gone.select(*self.key)) as keys:
+            named = rows.select(*self.key).unionByName(keys)
+            kept = self._touched(named).join(named, list(self.key), "left_anti")
+            self._rewrite(kept.unionByName(rows), named)
+
     def upsert(self, batch: DataFrame, now: Column, job_id: int, order: str | None = None) -> None:
         """Merge facts on their key, rewriting the buckets they fall into."""
         with written_once(batch) as rows:

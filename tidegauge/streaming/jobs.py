@@ -17,11 +17,11 @@ from pyspark.sql.streaming import DataStreamWriter
 from tidegauge.functions.columns import other_columns
 from tidegauge.functions.timeaxis import NTZ, map_label
 from tidegauge.operators.aggregates import samples
-from tidegauge.operators.changes import process_modified_log
-from tidegauge.operators.entities import create_missing_entities, resolve_entities
-from tidegauge.operators.rules import Rule
-from tidegauge.session import read_or_empty
+from tidegauge.operators.rules import NOTIFICATION_KEY, Rule
+from tidegauge.plans.cascade import record_modified
+from tidegauge.session import written_once
 from tidegauge.sources.factstore import FactStore, emit_modified
+from tidegauge.sources.loading import EntityStore
 
 # Lets a source period still arrive for as long as a materialization is reprocessed.
 REPROCESSING_PERIOD = "3 days"
@@ -63,48 +63,26 @@ class VersionedTable:
         return self.before()
 
 
-class AppendedTable:
-    """A table that only grows: each micro-batch adds one folder, rewritten if the batch runs again."""
-
-    def __init__(self, spark, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path, T.StructType.fromDDL(schema)
-
-    def read(self) -> DataFrame:
-        numbered = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
-        return read_or_empty(self.spark, self.path, numbered)
-
-    def before(self, batch: int) -> DataFrame:
-        """Rows of all earlier batches; later folders are not opened."""
-        return self.read().filter(F.col("batch") < batch).drop("batch")
-
-    def write(self, batch: int, rows: DataFrame) -> None:
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
-
-
-ENTITY_SCHEMA = "id bigint, name string, created timestamp_ntz"
-LOG_SCHEMA = "part string, timestamp timestamp_ntz, modified timestamp_ntz"
 MODIFIED_SCHEMA = "part string, timestamp timestamp_ntz, first timestamp_ntz, last timestamp_ntz"
 
 
 def ingest(
-    rows: DataFrame, part: str, store: FactStore, entities: AppendedTable, log: AppendedTable, now: Callable[[int], Column],
+    rows: DataFrame, part: str, store: FactStore, entities: EntityStore, modified: FactStore, now: Callable[[int], Column],
     job_id: Callable[[int], int] = lambda batch: batch, order: str | None = None,
 ) -> DataStreamWriter:
-    """Arriving rows (``entity, timestamp, trends``): resolve entities, merge, log what changed.
+    """Arriving rows (``entity, timestamp, trends``): resolve entities, merge, mark what changed.
 
-    Only new entities are written; ids depend on the names alone, so a repeated batch gives
-    the same ones.
+    Only the buckets of the batch's names and timestamps are read and written. A repeated batch finds its entities, overwrites
+    its own keys and sets the same marks.
     """
 
     def store_batch(batch: DataFrame, number: int) -> None:
-        batch.persist()
         moment = now(number)
-        names = batch.select(F.col("entity").alias("name"))
-        entities.write(number, create_missing_entities(entities.before(number), names, moment))
-        resolved = resolve_entities(batch, entities.before(number + 1))
-        store.upsert(resolved, moment, job_id(number), order)
-        log.write(number, emit_modified(resolved, part, moment))
-        batch.unpersist()
+        with written_once(batch) as rows_:
+            entities.add(rows_.select(F.col("entity").alias("name")), moment)
+            with written_once(entities.resolve(rows_)) as resolved:
+                store.upsert(resolved, moment, job_id(number), order)
+                record_modified(modified, emit_modified(resolved, part, moment).withColumn("id", F.lit(1)))
 
     return rows.writeStream.foreachBatch(store_batch)
 
@@ -117,9 +95,7 @@ def process_log(log: DataFrame, modified: FactStore) -> DataStreamWriter:
     """
 
     def merge(batch: DataFrame, number: int) -> None:
-        batch.persist()
-        modified.merge(batch, lambda stored: process_modified_log(batch, stored, start_id=-1))
-        batch.unpersist()
+        record_modified(modified, batch, start_id=-1)
 
     return log.writeStream.foreachBatch(merge)
 
@@ -147,19 +123,41 @@ def rollup(
     return rolled.withColumn("timestamp", F.col("timestamp").cast(NTZ))
 
 
-def notifications(
-    kpi: DataFrame, rule: Rule, exceptions: DataFrame | None, now: Column, lateness: str = REPROCESSING_PERIOD
-) -> DataFrame:
-    """Arriving KPI rows to notifications, one per (entity, timestamp, rule) within ``lateness``."""
-    rows = rule.evaluate(kpi, exceptions).filter(F.col("data").isNotNull() & F.col("weight").isNotNull())
-    return (
-        rows.withColumn("rule_id", F.lit(rule.id))
-        .withColumn("created", now)
-        .withColumn("event_time", F.col("timestamp").cast("timestamp"))
-        .withWatermark("event_time", lateness)
-        .dropDuplicatesWithinWatermark(["entity_id", "timestamp", "rule_id"])
-        .drop("event_time")
-    )
+NOTIFICATION_SCHEMA = (
+    "entity_id bigint, timestamp timestamp_ntz, rule_id int, created timestamp_ntz, weight int, details string, data string"
+)
+
+
+def notification_store(spark, path: str, partition_size: str = "1 day") -> FactStore:
+    return FactStore(spark, path, NOTIFICATION_SCHEMA, partition_size, key=("entity_id", "timestamp", "rule_id"))
+
+
+def notify(
+    kpi: DataFrame, rule: Rule, store: FactStore, now: Callable[[int], Column], exceptions: DataFrame | None = None,
+    weight_exceptions: DataFrame | None = None,
+) -> DataStreamWriter:
+    """Arriving KPI rows to stored notifications, one per (entity, timestamp, rule).
+
+    Of several rows of a key the one with the largest (weight, details, data) is kept. That is the same whatever order they arrive in, at
+    whatever distance, and however often a batch is run, as the stored row takes part; ``created`` tells when the kept row
+    came first. Rows without data or weight are left out. The store is the state: nothing has to be remembered beside it.
+    """
+    best = ["weight", "details", "data"]
+
+    def merge(batch: DataFrame, number: int) -> None:
+        found = rule.evaluate(batch, exceptions, weight_exceptions).filter(F.col("data").isNotNull() & F.col("weight").isNotNull())
+        fresh = found.select("entity_id", "timestamp", F.lit(rule.id).alias("rule_id"), now(number).alias("created"), *best)
+        with written_once(fresh) as rows:
+            store.merge(rows, lambda stored: _best_of(stored.unionByName(rows.select(*stored.columns)), best))
+
+    return kpi.writeStream.foreachBatch(merge)
+
+
+def _best_of(rows: DataFrame, best: Sequence[str]) -> DataFrame:
+    """One row per notification: the largest by ``best``, created when it first was."""
+    earliest = rows.groupBy(*NOTIFICATION_KEY, *best).agg(F.min("created").alias("created"))
+    top = earliest.groupBy(*NOTIFICATION_KEY).agg(F.max(F.struct(*best, "created")).alias("row"))
+    return top.select(*[name if name in NOTIFICATION_KEY else F.col(f"row.{name}") for name in rows.columns])
 
 
 def attribute_current(history: DataFrame) -> DataFrame:
@@ -176,11 +174,6 @@ def completeness(records: DataFrame, part: str, lateness: str = REPROCESSING_PER
     return counted.withColumn("timestamp", F.col("timestamp").cast(NTZ))
 
 
-def append_batches(rows: DataFrame, table: AppendedTable) -> DataStreamWriter:
-    """Append results to a table, one folder per micro-batch."""
-    return rows.writeStream.outputMode("append").foreachBatch(lambda batch, number: table.write(number, batch))
-
-
 def keep_latest(updates: DataFrame, table: VersionedTable, key: Sequence[str]) -> DataStreamWriter:
     """Merge an update-mode aggregate into a table: the newest row per key replaces the older."""
 
@@ -195,9 +188,7 @@ def into_store(updates: DataFrame, store: FactStore, now: Callable[[int], Column
     """Merge an update-mode aggregate of facts into a store, bucket by bucket."""
 
     def merge(batch: DataFrame, number: int) -> None:
-        batch.persist()
         store.upsert(batch, now(number), number)
-        batch.unpersist()
 
     return updates.writeStream.outputMode("update").foreachBatch(merge)
 
@@ -206,9 +197,7 @@ def put_in_store(updates: DataFrame, store: FactStore) -> DataStreamWriter:
     """Insert or replace the rows of an update-mode aggregate by the store's key."""
 
     def put(batch: DataFrame, number: int) -> None:
-        batch.persist()
         store.put(batch)
-        batch.unpersist()
 
     return updates.writeStream.outputMode("update").foreachBatch(put)
 

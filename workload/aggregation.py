@@ -187,6 +187,20 @@ def kpi_from_trends(t):
     UNION ALL SELECT '1month', entity_id, CAST(date_trunc('month', "timestamp" - INTERVAL 1 DAY) + INTERVAL 1 MONTH AS TIMESTAMP), price, quantity FROM d1)
     SELECT granularity, entity_id, "timestamp", CAST(sum(price) - sum(quantity) AS DECIMAL(38,2)) AS margin FROM g GROUP BY 1, 2, 3""")
 def kpi_multi_granularity(t):
+    """Two parts of one table at three granularities: one scan, one shuffle."""
+    daily = t.fact_1d
+    parts = {"quantity_part": daily, "price_part": daily}
+    kpi = K.kpi_at_granularities(parts, "1d", ["1d", "1w", "1month"], {"price": "SUM", "quantity": "SUM"}, "price - quantity", "margin")
+    return _cast(kpi, "margin")
+
+
+@query(f"""WITH {D1}, g AS (
+    SELECT '1d' AS granularity, entity_id, "timestamp", price, quantity FROM d1
+    UNION ALL SELECT '1w', entity_id, CAST(date_trunc('week', "timestamp" - INTERVAL 1 DAY) + INTERVAL 7 DAY AS TIMESTAMP), price, quantity FROM d1
+    UNION ALL SELECT '1month', entity_id, CAST(date_trunc('month', "timestamp" - INTERVAL 1 DAY) + INTERVAL 1 MONTH AS TIMESTAMP), price, quantity FROM d1)
+    SELECT granularity, entity_id, "timestamp", CAST(sum(price) - sum(quantity) AS DECIMAL(38,2)) AS margin FROM g GROUP BY 1, 2, 3""")
+def kpi_aggregated_parts(t):
+    """The same from stored granularities of each part, with a definition made of aggregates."""
     kpis = K.kpi_from_trends(_catalog(t), ["price", "quantity"], "sum(price) - sum(quantity)", "margin", aggregated=True)
     frames = [df.select(F.lit(granularity).alias("granularity"), "*") for granularity, df in kpis.items()]
     result = frames[0]
@@ -219,9 +233,14 @@ def entity_name_join(t):
 
 @query(f"""WITH {D1} SELECT entity_id, "timestamp", quantity, price, samples, s_nationkey AS target_id FROM d1 JOIN supplier ON s_suppkey = entity_id""")
 def relation_join(t):
-    return J.salted_join(
-        t.fact_1d, t.supplier_nation.select(F.col("source_id").alias("entity_id"), "target_id"), "entity_id", salts=8
-    )
+    return J.relation_join(t.fact_1d, t.supplier_nation)
+
+
+@query(f"""WITH {D1} SELECT entity_id, "timestamp", quantity, price, samples, s_nationkey AS target_id FROM d1 JOIN supplier ON s_suppkey = entity_id""")
+def salted_join(t):
+    """The same with every supplier spread over eight tasks."""
+    relation = t.supplier_nation.select(F.col("source_id").alias("entity_id"), "target_id")
+    return J.salted_join(t.fact_1d, relation, "entity_id", salts=8)
 
 
 @query("""SELECT s_suppkey AS source_id, (SELECT max(s_suppkey) + 1 FROM supplier) AS target_id FROM supplier""")

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidegauge.functions.timeaxis import map_label
 from tidegauge.operators import rules as R
+from tidegauge.plans import gates as G
+from tidegauge.plans.spec import SourceLink
 from workload.registry import query
 from workload.tables import EXC, F15, at
+from workload.tracking import _H, _STAMP, _STATES, _old_modified
 
 NOW = "2024-02-01 00:00:00"
 _NOW = f"TIMESTAMP '{NOW}'"
@@ -175,3 +179,74 @@ def map_rule_timestamps(t):
     )
     modified = t.fact_15m.select(F.lit("f15").alias("part"), "timestamp").distinct()
     return R.rule_timestamps_due(links, modified)
+
+
+_DAY_AND_QUARTER = f"""{_STATES}, due AS (
+    SELECT DISTINCT 'mixed' AS rule, {_H} AS "timestamp" FROM modified WHERE part IN ('click', 'view')
+    UNION ALL SELECT 'errors', "timestamp" FROM modified WHERE part = 'error' UNION ALL SELECT 'off', "timestamp" FROM modified WHERE part = 'signup'),
+    quarters AS (SELECT part, "timestamp", '{{"' || {_STAMP.format('"timestamp"')} || '":"' || {_STAMP.format('"last"')} || '"}}' AS fingerprint, "last" AS max_modified FROM modified),
+    old_quarters AS (SELECT part, "timestamp", '{{"' || {_STAMP.format('"timestamp"')} || '":"' || {_STAMP.format('"last"')} || '"}}' AS fingerprint FROM old),
+    filled AS (SELECT part, {_H} AS "timestamp", count(*) AS n FROM modified GROUP BY 1, 2),
+    empty AS (SELECT '{{' || string_agg('"' || {_STAMP.format("q")} || '":""', ',' ORDER BY q) || '}}' AS fingerprint, "timestamp"
+        FROM (SELECT DISTINCT "timestamp", "timestamp" - i * INTERVAL 15 MINUTE AS q FROM due, range(0, 4) r(i) WHERE rule = 'mixed') GROUP BY 2),
+    prints AS (
+    SELECT rule, due."timestamp", greatest(c.max_modified, v.max_modified) AS max_modified,
+        '{{"click":' || coalesce(c.fingerprint, empty.fingerprint) || ',"view":' || coalesce(v.fingerprint, empty.fingerprint) || '}}' AS fingerprint,
+        coalesce(fc.n, 0) = 4 AND coalesce(fv.n, 0) = 4 AS complete
+    FROM due LEFT JOIN (FROM neww WHERE part = 'click') c USING ("timestamp") LEFT JOIN (FROM neww WHERE part = 'view') v USING ("timestamp")
+    LEFT JOIN (FROM filled WHERE part = 'click') fc USING ("timestamp") LEFT JOIN (FROM filled WHERE part = 'view') fv USING ("timestamp")
+    JOIN empty USING ("timestamp") WHERE rule = 'mixed'
+    UNION ALL SELECT rule, "timestamp", max_modified, fingerprint, true FROM due JOIN quarters q USING ("timestamp")
+        WHERE (rule = 'errors' AND part = 'error') OR (rule = 'off' AND part = 'signup')),
+    before AS (
+    SELECT 'errors' AS rule, "timestamp", fingerprint FROM old_quarters WHERE part = 'error'
+    UNION ALL SELECT 'mixed', "timestamp", '{{"click":' || c.fingerprint || ',"view":' || v.fingerprint || '}}'
+        FROM (FROM oldw WHERE part = 'click') c JOIN (FROM oldw WHERE part = 'view') v USING ("timestamp")),
+    gates AS (SELECT rule, "timestamp", prints.fingerprint, complete, prints.fingerprint IS DISTINCT FROM before.fingerprint AS changed,
+        complete AND changed AND rule <> 'off' AS runnable FROM prints LEFT JOIN before USING (rule, "timestamp"))"""
+
+GATED = [
+    R.Rule(1, "mixed", "value > 100", granularity="1h", sources=[SourceLink("click", "15m"), SourceLink("view", "15m")]),
+    R.Rule(2, "errors", "value > 100", data="to_json(named_struct('value', value))", sources=[SourceLink("error", "15m")]),
+    R.Rule(3, "off", "true", runnable=False, sources=[SourceLink("signup", "15m")]),
+]
+
+
+def _due(t):
+    return R.rule_timestamps_due(G.rule_links(t.spark, GATED), t.modified)
+
+
+def _evaluated(t):
+    """Fingerprints at the older changes: of ``errors`` everywhere, of ``mixed`` where both its sources had marks."""
+    old = _old_modified(t)
+    errors = R.rule_timestamps_due(G.rule_links(t.spark, GATED[1:2]), old)
+    hours = old.filter(F.col("part").isin("click", "view")).select("part", map_label("timestamp", "15m", "1h").alias("timestamp")).distinct()
+    both = hours.groupBy("timestamp").count().filter("count = 2").select(F.lit("mixed").alias("rule"), "timestamp")
+    return G.rule_fingerprints(GATED, errors.unionByName(both), old)
+
+
+def _gates(t):
+    return G.gated(GATED, _due(t), t.modified, _evaluated(t))
+
+
+@query(f"""WITH {_DAY_AND_QUARTER} SELECT rule, "timestamp", max_modified, fingerprint FROM prints""")
+def rule_fingerprint(t):
+    return G.rule_fingerprints(GATED, _due(t), t.modified)
+
+
+@query(f"""WITH {_DAY_AND_QUARTER} SELECT rule, "timestamp", complete, changed, runnable FROM gates""")
+def rule_runnable(t):
+    return _gates(t).drop("fingerprint")
+
+
+@query(f"""WITH {_DAY_AND_QUARTER}, {F15} SELECT entity_id, "timestamp", 1 AS weight, '' AS details, '{{"value":' || value || '}}' AS data
+    FROM f15 SEMI JOIN (FROM gates WHERE runnable AND rule = 'errors') g USING ("timestamp") WHERE value > 100""")
+def evaluate_due(t):
+    """The rule is evaluated only where errors came in since it last was."""
+    return GATED[1].evaluate_due(t.fact_15m, _gates(t).filter("runnable"))
+
+
+@query(f"""WITH {_DAY_AND_QUARTER} SELECT rule, "timestamp", coalesce(g.fingerprint, b.fingerprint) AS fingerprint
+    FROM before b FULL JOIN (FROM gates WHERE runnable) g USING (rule, "timestamp")""")
+def mark_evaluated(t):
+    return G.mark_evaluated(_evaluated(t), _gates(t).filter("runnable"))

@@ -17,8 +17,8 @@ _NOW = f"TIMESTAMP '{NOW}'"
 
 
 def number(key: str) -> str:
-    """SQL twin of the md5-bucketed numbering for one text column."""
-    return f"row_number() OVER (ORDER BY substr(md5({key}), 1, 3), {key})"
+    """SQL twin of the numbering in md5 order for one text column."""
+    return f"row_number() OVER (ORDER BY md5({key}), {key})"
 
 
 # Names of customers, half of which are not entities yet.
@@ -98,7 +98,7 @@ def entity_set_guard(t):
 @query(f"""WITH {_SETS}, wanted AS (SELECT DISTINCT p_brand AS name, 'brands' AS "group", 'part' AS source_entity_type,
         CASE WHEN p_brand < 'Brand#2' THEN 'admin' ELSE 'user' END AS owner, p_brand AS description FROM part
         UNION ALL SELECT name, 'nations', 'supplier', 'admin', 'taken' FROM sets)
-    SELECT (SELECT max(id) FROM sets) + row_number() OVER (ORDER BY substr(md5(owner || '|' || name), 1, 3), owner, name) AS id, name,
+    SELECT (SELECT max(id) FROM sets) + row_number() OVER (ORDER BY md5(owner || '|' || name), owner, name) AS id, name,
         name || '_' || "group" || '_' || owner AS fullname, "group", source_entity_type, owner, description, '2024-02-01' AS last_update
     FROM wanted WHERE (owner, name) NOT IN (SELECT (owner, name) FROM sets)""")
 def entity_set_create(t):

@@ -10,10 +10,12 @@ from tidegauge.functions import arrays as A
 from tidegauge.functions import timeaxis as X
 from tidegauge.functions import types as Y
 from tidegauge.operators import evolution as V
-from tidegauge.plans.spec import GeneratedTrend
+from tidegauge.plans.cascade import MODIFIED
+from tidegauge.plans.spec import GeneratedTrend, Trend, TrendStorePart
 from tidegauge.session import scratch_path
 from tidegauge.sources import delimited as L
 from tidegauge.sources import factstore as S
+from tidegauge.sources.loading import EntityStore, JobLog, Loader
 from workload.registry import query
 from workload.tables import F15, Q15, REC, at
 
@@ -254,3 +256,57 @@ def parse_array_literal(t):
     return parsed.select(
         "event_id", A.array_sum("a", "bigint").alias("total"), F.when(F.col("a").isNotNull(), F.size("a")).alias("items")
     )
+
+
+_SPAN = f"""all_rows AS (SELECT user_id, ts AS "timestamp", event_id, event_type, CAST(value AS DECIMAL(18,2)) AS value FROM events),
+    power AS (SELECT 'power' AS part, 'user ' || user_id AS name, "timestamp", CASE WHEN event_type = 'signup' THEN value + 1 ELSE value END AS value,
+        CAST(NULL AS BIGINT) AS event_id, event_type = 'purchase' AS late, event_type IN ('signup', 'purchase') AS twice FROM all_rows),
+    counts AS (SELECT 'counts', 'user ' || user_id, "timestamp", value, event_id, false, false FROM all_rows WHERE event_type <> 'purchase')"""
+
+
+def _loaded(t) -> Loader:
+    """A file with all trends of two parts; then one that has sign-ups again and the purchases, with one part's trend only."""
+    folder = scratch_path(t.spark, "load")
+    parts = [
+        TrendStorePart("power", "15m", [Trend("value", "numeric"), Trend("voltage", "numeric")]),
+        TrendStorePart("counts", "15m", [Trend("event_id", "bigint"), Trend("reading", "numeric")]),
+    ]
+    audit = "entity_id bigint, timestamp timestamp_ntz, created timestamp_ntz, job_id bigint"
+    stores = {
+        "power": S.FactStore(t.spark, f"{folder}/power", f"{audit}, value decimal(38,18), voltage decimal(38,18)", "5 days"),
+        "counts": S.FactStore(t.spark, f"{folder}/counts", f"{audit}, event_id bigint, reading decimal(38,18)", "5 days"),
+    }
+    modified = S.FactStore(t.spark, f"{folder}/modified", MODIFIED, "5 days", key=("part", "timestamp"))
+    loader = Loader(parts, stores, EntityStore(t.spark, f"{folder}/names"), modified, JobLog(t.spark, f"{folder}/jobs"))
+    layout = L.DelimitedFormat(entity_column="node", timestamp_column="time")
+    stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("time")
+    node = F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("node")
+    value = F.col("value").cast("decimal(18,2)")
+    kind = F.col("event_type")
+    first = t.events.filter(kind != "purchase").select(node, stamp, value.alias("value"), "event_id", value.alias("reading"), "props")
+    second = t.events.filter(kind.isin("signup", "purchase")).select(node, stamp, F.when(kind == "signup", value + 1).otherwise(value).alias("value"))
+    for number, rows in enumerate((first, second)):
+        rows.write.csv(f"{folder}/file{number}", header=True)
+        loader.load(f"{folder}/file{number}", at(f"2024-02-0{number + 1} 00:00:00"), layout)
+    return loader
+
+
+@query(f"""WITH {_SPAN} SELECT part, name, "timestamp", value, event_id, CASE WHEN late THEN {_NOW} + INTERVAL 1 DAY ELSE {_NOW} END AS created,
+    CASE WHEN late THEN 2 ELSE 1 END AS job_id FROM (FROM power UNION ALL FROM counts)""")
+def load_file_into_parts(t):
+    """A known row takes the second file's value and keeps its audit columns; the other part stays as it was."""
+    loader = _loaded(t)
+    power = loader.stores["power"].read().withColumn("part", F.lit("power"))
+    counts = loader.stores["counts"].read().withColumn("part", F.lit("counts")).withColumnRenamed("reading", "value")
+    rows = power.drop("voltage").unionByName(counts, allowMissingColumns=True)
+    names = loader.entities.read().select(F.col("id").alias("entity_id"), "name")
+    return rows.join(names, "entity_id").select("part", "name", "timestamp", F.col("value").cast("decimal(18,2)").alias("value"), "event_id", "created", "job_id")
+
+
+@query(f"""WITH {_SPAN} SELECT part, "timestamp", CASE WHEN bool_and(late) THEN {_NOW} + INTERVAL 1 DAY ELSE {_NOW} END AS "first",
+    CASE WHEN bool_or(twice) THEN {_NOW} + INTERVAL 1 DAY ELSE {_NOW} END AS "last", 2 AS jobs FROM (FROM power UNION ALL FROM counts) GROUP BY 1, 2""")
+def load_marks_and_jobs(t):
+    """One change mark per part and timestamp, and two finished jobs."""
+    loader = _loaded(t)
+    finished = loader.jobs.read().agg(F.count("finished").alias("n")).scalar()
+    return loader.modified.read().withColumn("jobs", finished)

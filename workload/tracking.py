@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from tidegauge.functions.timeaxis import map_label
@@ -13,6 +15,7 @@ from tidegauge.plans.kpi import resolve_view_sources as resolve_sources
 from tidegauge.plans.lineage import lineage_closure as closure
 from tidegauge.plans.spec import Materialization, SourceLink
 from tidegauge.session import scratch_path
+from tidegauge.sources.attributestore import AttributeStore
 from tidegauge.sources.factstore import FactStore, stamp_job
 from workload.registry import query
 from workload.tables import HIST, LOG, MOD, REC, TOTAL, at
@@ -118,7 +121,7 @@ def staging_modified(t):
     return H.staging_modified(_staged(t), _stored(t))
 
 
-_NUMBER = """row_number() OVER (ORDER BY substr(md5(CAST(entity_id AS VARCHAR) || '|' || strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f')), 1, 3),
+_NUMBER = """row_number() OVER (ORDER BY md5(CAST(entity_id AS VARCHAR) || '|' || strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f')),
     entity_id, "timestamp")"""
 
 
@@ -168,6 +171,38 @@ def first_appearance(t):
     return H.first_appearance_backfill(bare)
 
 
+_SPLIT = "2024-01-20 00:00:00"
+_STORED_RUNS = f"""{HIST}, {_RUNS},
+    counted AS (SELECT *, "timestamp" < TIMESTAMP '{_SPLIT}' AS early, count(*) FILTER ("timestamp" < TIMESTAMP '{_SPLIT}') OVER () AS earlier FROM runs),
+    numbered AS (SELECT * EXCLUDE (id), CASE WHEN early THEN 0 ELSE earlier END + {_NUMBER.replace("(ORDER BY", "(PARTITION BY early ORDER BY")} AS id FROM counted),
+    stored AS (SELECT min(id) AS id, CASE WHEN bool_or(early) THEN TIMESTAMP '2024-03-01' ELSE TIMESTAMP '2024-03-03' END AS first_appearance,
+        CASE WHEN count(*) > 1 AND NOT bool_and(early) THEN TIMESTAMP '2024-03-04' WHEN count(*) > 1 THEN TIMESTAMP '2024-03-02'
+            WHEN bool_and(early) THEN TIMESTAMP '2024-03-01' ELSE TIMESTAMP '2024-03-03' END AS modified,
+        min(hash) AS hash, entity_id, min("timestamp") AS "timestamp", max("timestamp") AS "end", min(event_type) AS event_type FROM numbered GROUP BY entity_id, run)"""
+
+
+def _two_batches(t) -> AttributeStore:
+    """Events before and after 20 January, each staged, transferred and compacted, a day apart."""
+    store = AttributeStore(t.spark, scratch_path(t.spark, "attributes"), {"event_type": "string"}, "5 days")
+    rows = t.history.select("entity_id", "timestamp", "event_type")
+    early = F.col("timestamp") < at(_SPLIT)
+    for day, batch in ((1, rows.filter(early)), (3, rows.filter(~early))):
+        store.transfer(batch, datetime(2024, 3, day))
+        store.compact(datetime(2024, 3, day + 1))
+    return store
+
+
+@query(f"""WITH {_STORED_RUNS} SELECT * FROM stored""")
+def attribute_store(t):
+    return _two_batches(t).read()
+
+
+@query(f"""WITH {_STORED_RUNS} SELECT * EXCLUDE (rn) FROM
+    (SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY "timestamp" DESC) AS rn FROM stored) WHERE rn = 1""")
+def attribute_store_current(t):
+    return _two_batches(t).current()
+
+
 # --- change tracking -----------------------------------------------------------------
 
 _OLD = 2500
@@ -400,16 +435,6 @@ def refresh_stats(t):
     return C.refresh_stats(_seeded(t), t.modified, counts, at(NOW))
 
 
-@query(f"""WITH {_STATES} SELECT part AS materialization, count(*) FILTER (WHERE o.part IS NULL) AS added,
-    count(*) FILTER (WHERE o.part IS NOT NULL AND n.part IS NOT NULL AND (o.fingerprint <> n.fingerprint OR o.max_modified <> n.max_modified)) AS updated,
-    count(*) FILTER (WHERE n.part IS NULL) AS deleted
-    FROM (SELECT * FROM oldw) o FULL JOIN (SELECT * FROM neww WHERE "timestamp" > TIMESTAMP '2024-01-02 00:00:00') n USING (part, "timestamp") GROUP BY 1""")
-def state_reconcile(t):
-    state = C.update_source_fingerprint(C.empty_state(t.spark), _fingerprints(_old_modified(t)))
-    desired = _fingerprints(t.modified).filter(F.col("timestamp") > at("2024-01-02 00:00:00"))
-    return C.state_reconcile(state, desired)
-
-
 # Region, nation, customer and order as a dependency chain; suppliers make a second path.
 _EDGES = """edges AS (
     SELECT 'region ' || n_regionkey AS source, 'nation ' || n_nationkey AS depender FROM nation
