@@ -23,7 +23,7 @@ def moment(days):
 
 
 def store(spark, tmp_path):
-    return AttributeStore(spark, f"{tmp_path}/a", {"kind": "string", "size": "int"}, "1 day", spread=4)
+    return AttributeStore(spark, f"{tmp_path}/a", {"kind": "string", "size": "int"}, "3 days", spread=2)
 
 
 def as_rows(df):
@@ -56,7 +56,7 @@ class OneTable:
 
 def batch(rng, days, entities, turn0=0):
     seen, rows = set(), []
-    for turn in range(60):
+    for turn in range(40):
         key = (rng.choice(entities), START + timedelta(hours=rng.randrange(int(24 * days[0]), int(24 * days[1]))))
         if key in seen and rng.random() < 0.5:
             continue
@@ -65,19 +65,19 @@ def batch(rng, days, entities, turn0=0):
     return rows
 
 
-@pytest.mark.parametrize("seed, late", [(1, False), (2, True), (3, True)])
+@pytest.mark.parametrize("seed, late", [(1, False), (2, True)])
 def test_batches_equal_the_same_steps_on_one_table(spark, tmp_path, seed, late):
     """In order and with late rows and changes of known keys; ids, marks, ends and all."""
     rng = random.Random(seed)
     stored, table = store(spark, tmp_path), OneTable(spark)
-    for step in range(4):
-        entities = list(range(6)) if step < 3 else [0, 1, 9]
+    for step in range(3):
+        entities = list(range(6)) if step < 2 else [0, 1, 9]
         days = (0, 8) if late and step else (2 * step, 2 * step + 2)
         staging = spark.createDataFrame(batch(rng, days, entities), STAGING)
         stored.transfer(staging, moment(20 + step), "turn")
         table.transfer(staging, moment(20 + step))
         assert as_rows(stored.read()) == as_rows(table.rows), step
-        if step != 1:
+        if step != 1 or late:
             stored.compact(moment(30 + step))
             table.compact(moment(30 + step))
             assert as_rows(stored.read().filter("end is not null")) == as_rows(table.rows.filter("end is not null")), step
@@ -85,11 +85,11 @@ def test_batches_equal_the_same_steps_on_one_table(spark, tmp_path, seed, late):
 
 def test_a_batch_leaves_other_buckets_alone(spark, tmp_path):
     stored = store(spark, tmp_path)
-    first = [(e, moment(d) + timedelta(hours=h), f"{d}{h}", 1, 0) for e in range(8) for d in range(4) for h in (1, 2)]
+    first = [(e, moment(d) + timedelta(hours=h), f"{d}{h}", 1, 0) for e in range(8) for d in range(0, 12, 3) for h in (1, 2)]
     stored.transfer(spark.createDataFrame(first, STAGING), moment(9), "turn")
     stored.compact(moment(10))
     before = files(f"{tmp_path}/a/closed") | files(f"{tmp_path}/a/latest")
-    stored.transfer(spark.createDataFrame([(3, moment(6), "new", 1, 0)], STAGING), moment(11), "turn")
+    stored.transfer(spark.createDataFrame([(3, moment(13), "new", 1, 0)], STAGING), moment(11), "turn")
     stored.compact(moment(12))
     after = files(f"{tmp_path}/a/closed") | files(f"{tmp_path}/a/latest")
     gone = {path for path, stamp in before.items() if after.get(path) != stamp}
@@ -105,12 +105,12 @@ def test_a_run_that_goes_on_changes_the_last_runs_only(spark, tmp_path):
     stored.transfer(spark.createDataFrame([(1, moment(0), "a", 1, 0), (1, moment(1), "b", 1, 0)], STAGING), moment(9), "turn")
     stored.compact(moment(9))
     closed = files(f"{tmp_path}/a/closed")
-    for day in range(2, 5):
+    for day in range(2, 4):
         assert stored.transfer(spark.createDataFrame([(1, moment(day), "b", 1, 0)], STAGING), moment(9), "turn") == 1
         stored.compact(moment(10 + day))
     assert files(f"{tmp_path}/a/closed") == closed
     row = stored.current().first()
-    assert (row.timestamp, row.end, row.modified, row.id) == (moment(1), moment(4), moment(14), 2 if row.id == 2 else 1)
+    assert (row.timestamp, row.end, row.modified, row.id) == (moment(1), moment(3), moment(13), 2 if row.id == 2 else 1)
 
 
 def test_nothing_to_do(spark, tmp_path):

@@ -105,7 +105,7 @@ def test_labels_wait_for_their_delays(spark, cascade):
 def test_a_failed_tick_is_made_up_for(spark, cascade, monkeypatch):
     rows = quarters(spark, [0])
     cascade.parts["quarter"].append(rows)
-    monkeypatch.setattr(cascade.state, "put", lambda rows: (_ for _ in ()).throw(RuntimeError("lost")))
+    monkeypatch.setattr(cascade.state, "put_written", lambda rows: (_ for _ in ()).throw(RuntimeError("lost")))
     with pytest.raises(RuntimeError):
         cascade.tick(changes(rows, later(days=1)), later(days=1, hours=1))
     monkeypatch.undo()

@@ -9,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegauge.operators.entities import create_missing_entities, resolve_entities, with_missing_entities
+from tidegauge.plans.cascade import MODIFIED
 from tidegauge.plans.spec import Trend, TrendStorePart
 from tidegauge.sources import delimited as L
 from tidegauge.sources import factstore as S
+from tidegauge.sources.loading import EntityStore, JobLog, Loader
 
 PART = TrendStorePart(
     "link_15m", "15m", [Trend(name, "numeric") for name in ("sent", "lost", "delay")],
@@ -244,3 +246,56 @@ def test_a_batch_is_computed_once(spark, tmp_path, ts):
     fresh = batch.select("entity_id", "timestamp", "x")
     store.replace(fresh, fresh.select("timestamp").distinct().limit(0), now, 2)
     assert store.read().count() == 20
+
+
+def test_one_load_feeds_all_parts(spark, tmp_path, ts):
+    """Two parts of one file, one of which shares a column; a second file with one part's column; a load that fails."""
+    parts = [PART, TrendStorePart("quality_15m", "15m", [Trend("lost", "numeric"), Trend("jitter", "numeric")])]
+    audit = "entity_id bigint, timestamp timestamp_ntz, created timestamp_ntz, job_id bigint"
+    stores = {
+        "link_15m": S.FactStore(spark, str(tmp_path / "link"), SCHEMA),
+        "quality_15m": S.FactStore(spark, str(tmp_path / "quality"), f"{audit}, lost decimal(38,18), jitter decimal(38,18)"),
+    }
+    modified = S.FactStore(spark, str(tmp_path / "modified"), MODIFIED, key=("part", "timestamp"))
+    ticks = iter([datetime(2024, 6, 1, 9, minute) for minute in range(20, 40)])
+    jobs = JobLog(spark, str(tmp_path / "jobs"), clock=lambda: next(ticks))
+    loader = Loader(parts, stores, EntityStore(spark, str(tmp_path / "names"), spread=2), modified, jobs)
+    for number, text in enumerate((FULL, "link,timestamp,delay\nsouth,2024-06-01T09:15:00Z,9.75\nwest,2024-06-01T09:30:00Z,1\n", "link,timestamp,delay\neast,2024-06-01T09:15:00Z,x\n")):
+        (tmp_path / f"{number}.csv").write_text(text)
+    first = loader.load(str(tmp_path / "0.csv"), ts("2024-06-01 10:00:00"), LAYOUT)
+    second = loader.load(str(tmp_path / "1.csv"), ts("2024-06-01 11:00:00"), LAYOUT)
+    assert (first.job_id, dict(first.parts)) == (1, {"link_15m": "append", "quality_15m": "append"})
+    assert (second.job_id, dict(second.parts)) == (2, {"link_15m": "upsert"})
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        loader.load(str(tmp_path / "2.csv"), ts("2024-06-01 12:00:00"), LAYOUT)
+    names = {r.id: r.name for r in loader.entities.read().collect()}
+    assert sorted(names) == [1, 2, 3, 4] and sorted(names.values()) == ["east", "north", "south", "west"]
+    link = {names[r.entity_id]: r for r in stores["link_15m"].read().collect()}
+    assert set(link) == {"north", "south", "west"} and (link["south"].delay, link["south"].sent, link["south"].job_id) == (Decimal("9.75"), 3900, 1)
+    assert (link["west"].job_id, link["west"].lost) == (2, None)
+    assert {names[r.entity_id]: (r.lost, r.jitter) for r in stores["quality_15m"].read().collect()} == {"north": (7, None), "south": (1, None)}
+    quarter, half = datetime(2024, 6, 1, 9, 15), datetime(2024, 6, 1, 9, 30)
+    ten, eleven = datetime(2024, 6, 1, 10), datetime(2024, 6, 1, 11)
+    assert {tuple(r) for r in modified.read().collect()} == {("link_15m", quarter, ten, eleven), ("link_15m", half, eleven, eleven), ("quality_15m", quarter, ten, ten)}
+    log = {r.id: r for r in jobs.read().collect()}
+    assert sorted(log) == [1, 2, 3] and log[1].finished > log[1].started and log[3].finished is None and log[3].action.endswith("2.csv")
+
+
+def test_entities_are_created_once(spark, tmp_path, ts):
+    names = EntityStore(spark, str(tmp_path / "names"), spread=3)
+    now = ts("2024-01-01 00:00:00")
+    first = spark.createDataFrame([("a",), ("b",), (None,), ("a",)], "name string")
+    assert (names.add(first, now), names.add(first, now), names.add(spark.createDataFrame([("c",), ("b",)], "name string"), now)) == (2, 0, 1)
+    assert sorted(r.id for r in names.read().collect()) == [1, 2, 3] and names.last_id() == 3
+    rows = spark.createDataFrame([("c", 1), ("a", 2), ("nobody", 3)], "entity string, v int")
+    assert sorted(r.v for r in names.resolve(rows).collect()) == [1, 2]
+
+
+def test_timestamps_deleted_from_all_parts_of_a_granularity(spark, tmp_path, ts):
+    parts = [TrendStorePart(n, g, []) for n, g in (("a", "15m"), ("b", "00:15:00"), ("c", "1h"))]
+    stores = {part.name: S.FactStore(spark, str(tmp_path / part.name), KEYED) for part in parts}
+    for store in stores.values():
+        store.append_or_upsert(batch(spark, [(e, datetime(2024, 1, 1, h), e) for e in (1, 2) for h in (1, 2)]), ts("2024-02-01 00:00:00"), 1)
+    assert S.delete_timestamp_everywhere(parts, stores, "15m", datetime(2024, 1, 1, 1)) == {"a": 2, "b": 2}
+    assert [stores[name].read().count() for name in "abc"] == [2, 2, 4]
+    assert stores["a"].delete_timestamp(datetime(2025, 1, 1)) == 0

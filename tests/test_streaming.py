@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tidegauge.operators.aggregates import time_rollup
 from tidegauge.sources.factstore import FactStore
+from tidegauge.sources.loading import EntityStore
 from tidegauge.streaming import jobs as J
+from tidegauge.streaming import late
 
 T0 = datetime(2024, 1, 1)
 RECORDS = "entity_id bigint, timestamp timestamp_ntz, value bigint"
@@ -68,17 +70,25 @@ def test_modified_log(spark, tmp_path, arriving, rows):
     ]
 
 
-def test_notifications_are_sent_once(spark, tmp_path, arriving, rows, ts):
+def test_the_strongest_notification_of_a_key_is_kept(spark, tmp_path, arriving, rows, ts):
+    """Whatever the order of the batches, however far apart, and if a batch is run again."""
     from tests.test_rules import RULE
 
-    schema = "entity_id int, timestamp timestamp_ntz, celsius double"
-    table = J.AppendedTable(spark, str(tmp_path / "out"), "entity_id int, timestamp timestamp_ntz, weight int")
-    for data in ([(1, T0, 95.0), (2, T0, 3.0)], [(1, T0, 95.0), (1, quarter(1), 93.0)]):
-        arriving(data, schema)
-        found = J.notifications(arriving.stream(schema), RULE, None, ts("2024-02-01 00:00:00"))
-        J.run_available(J.append_batches(found, table), str(tmp_path / "cp"))
-    got = table.read().select("entity_id", "timestamp", "weight")
-    assert rows(got) == [(1, T0, 9), (1, quarter(1), 9)]
+    schema = "entity_id bigint, timestamp timestamp_ntz, celsius double"
+    batches = [[(1, T0, 95.0), (2, T0, 3.0)], [(1, T0, 99.0), (1, quarter(1), 93.0)], [(1, quarter(9000), 96.0)], [(1, T0, 97.0), (1, T0, 99.0)]]
+    want = None
+    for number, order in enumerate(([0, 1, 2, 3], [3, 2, 1, 0], [1, 1, 0, 3, 2])):
+        store = J.notification_store(spark, str(tmp_path / f"out{number}"))
+        kept = J.notify
+        for place, batch in enumerate(order):
+            folder = str(tmp_path / f"in{number}")
+            spark.createDataFrame(batches[batch], schema).coalesce(1).write.mode("append").parquet(folder)
+            stream = spark.readStream.schema(schema).parquet(folder)
+            J.run_available(kept(stream, RULE, store, lambda n: ts("2024-02-01 00:00:00")), str(tmp_path / f"cp{number}"))
+        got = rows(store.read())
+        want = want or got
+        assert got == want and len(got) == 3
+    assert {(r[0], r[1]) for r in want} == {(1, T0), (1, quarter(1)), (1, quarter(9000))}
 
 
 def test_current_attributes_and_counts(spark, tmp_path, arriving, rows):
@@ -97,17 +107,40 @@ def test_ingest_merges_and_logs(spark, tmp_path, arriving, rows, ts):
     schema = "entity string, timestamp timestamp_ntz, a bigint, b bigint"
     store = FactStore(spark, str(tmp_path / "facts"),
         "entity_id bigint, timestamp timestamp_ntz, created timestamp_ntz, job_id bigint, a bigint, b bigint", "1 day")
-    entities = J.AppendedTable(spark, str(tmp_path / "entities"), J.ENTITY_SCHEMA)
-    log = J.AppendedTable(spark, str(tmp_path / "log"), J.LOG_SCHEMA)
+    entities = EntityStore(spark, str(tmp_path / "entities"), spread=2)
+    modified = J.modified_store(spark, str(tmp_path / "modified"))
     for data in ([("x", T0, 1, 2), ("y", T0, 3, 4)], [("x", T0, 10, 20), ("z", quarter(200), 5, 6)]):
         arriving(data, schema)
         J.run_available(
-            J.ingest(arriving.stream(schema), "p", store, entities, log, now=lambda n: ts("2024-02-01 00:00:00")), str(tmp_path / "cp")
+            J.ingest(arriving.stream(schema), "p", store, entities, modified, now=lambda n: ts(f"2024-02-0{n + 1} 00:00:00")), str(tmp_path / "cp")
         )
     named = store.read().join(entities.read().drop("created").withColumnRenamed("id", "entity_id"), "entity_id")
     assert rows(named.select("name", "timestamp", "a", "b", "job_id")) == [
         ("x", T0, 10, 20, 0), ("y", T0, 3, 4, 0), ("z", quarter(200), 5, 6, 1),
     ]
     assert sorted(row.id for row in entities.read().collect()) == [1, 2, 3]
-    logged = log.read().filter(F.col("part") == "p")
-    assert rows(logged.select("batch", "timestamp")) == [(0, T0), (1, T0), (1, quarter(200))]
+    first, second = datetime(2024, 2, 1), datetime(2024, 2, 2)
+    assert rows(modified.read()) == [("p", T0, first, second), ("p", quarter(200), second, second)]
+
+
+def test_late_records_are_marked_and_made_up_for(spark, tmp_path, rows, ts):
+    """Files out of order; what the stream's rollup lost is there after the marked labels were rolled up again."""
+    schema = "key bigint, entity_id bigint, timestamp timestamp_ntz, value bigint"
+    batches = [[(n, n % 2, quarter(n), n) for n in range(60, 70)], [(n + 500, 1, quarter(n), n) for n in (70, 3, 61)], [(n + 100, 1, quarter(n), n) for n in (2, 62, 71)]]
+    audit = "created timestamp_ntz, job_id bigint"
+    hours = FactStore(spark, str(tmp_path / "hours"), f"entity_id bigint, timestamp timestamp_ntz, {audit}, samples bigint, value bigint")
+    records = FactStore(spark, str(tmp_path / "records"), schema, key=("key", "timestamp"))
+    modified = J.modified_store(spark, str(tmp_path / "modified"))
+    seen = late.horizon(spark, str(tmp_path / "seen"))
+    now = lambda n: ts("2024-02-01 00:00:00")
+    for data in batches:
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        J.run_available(J.into_store(J.rollup(stream, "15m", "1h", ["value"], "2 hours"), hours, now), str(tmp_path / "cp1"))
+        J.run_available(late.keep_records(stream, "r", "15m", "1h", records, modified, seen, now, "2 hours"), str(tmp_path / "cp2"))
+    columns = ["entity_id", "timestamp", "samples", "value"]
+    full = rows(time_rollup(spark.createDataFrame([r for data in batches for r in data], schema), "15m", "1h", ["value"]).select(*columns))
+    assert {r.timestamp for r in modified.read().collect()} == {quarter(n) for n in (2, 3, 61, 62)}
+    assert rows(hours.read().select(*columns)) != full
+    late.make_up_rollup(records, hours, modified, "r", "15m", "1h", ["value"], now(0), 9)
+    assert rows(hours.read().select(*columns)) == full and modified.read().isEmpty()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,13 +47,28 @@ INTEGER_TYPES = ("smallint", "integer", "bigint")
 NUMERIC_TYPES = (*INTEGER_TYPES, "real", "double precision", "numeric")
 
 
+_PRECISE = re.compile(r"numeric\((\d+)(?:,\s*(\d+))?\)(\[\])?")
+
+
 def spark_type(declared: str) -> str:
+    """The Spark type of a declared one. ``numeric(p, s)`` keeps its precision and scale; plain ``numeric`` holds 20 whole and 18
+    decimal digits, so declare the precision of anything wider."""
+    if precise := _PRECISE.fullmatch(declared):
+        precision, scale = int(precise[1]), int(precise[2] or 0)
+        if not 0 <= scale <= precision <= 38 or not precision:
+            raise ValueError(f"unsupported data type: {declared}")
+        return f"array<decimal({precision},{scale})>" if precise[3] else f"decimal({precision},{scale})"
     try:
         return SPARK_TYPES[declared]
     except KeyError:
         raise ValueError(f"unsupported data type: {declared}") from None
 
 
+def base_type(declared: str) -> str:
+    """The declared type without precision."""
+    return re.sub(r"^numeric\([\d, ]*\)", "numeric", declared)
+
+
 def declared_type(spark_name: str) -> str:
     """Declared name of a Spark type as given by ``DataType.simpleString()``."""
     if spark_name.startswith("decimal"):
@@ -64,7 +81,7 @@ def declared_type(spark_name: str) -> str:
 
 def data_type_order(name: Col) -> Column:
     """Rank of a type name; NULL stays NULL and an unknown name raises."""
-    column = as_column(name)
+    column = F.regexp_replace(as_column(name), r"^numeric\([\d, ]*\)", "numeric")
     ranks = F.create_map(*[F.lit(x) for pair in zip(TYPE_ORDER, range(1, 13)) for x in pair])
     unknown = F.raise_error(F.concat(F.lit("unsupported data type: "), column)).cast("int")
     return F.when(column.isNotNull(), F.coalesce(F.try_element_at(ranks, column), unknown))
@@ -78,7 +95,7 @@ def greatest_data_type(left: Col, right: Col) -> Column:
 
 def wider_type(left: str, right: str) -> str:
     """Driver-side twin of :func:`greatest_data_type` for schema work."""
-    return right if TYPE_ORDER.index(right) > TYPE_ORDER.index(left) else left
+    return right if TYPE_ORDER.index(base_type(right)) > TYPE_ORDER.index(base_type(left)) else left
 
 
 def is_integer(text: Col) -> Column:
@@ -111,7 +128,7 @@ def coerce(value: Col, source: str, target: str) -> Column:
 
     bigint to integer wraps around; a real number out of an integer's range becomes NULL.
     """
-    if (source, target) not in COERCIONS:
+    if (base_type(source), base_type(target)) not in COERCIONS:
         raise ValueError(f"cannot convert {source} to {target}")
     column = as_column(value)
     if source == "text[]" and target == "text":

@@ -269,6 +269,26 @@ def refresh_stats(stats: DataFrame, modified: DataFrame, counts: DataFrame, now:
     )
 
 
+def refreshed_stats(records: DataFrame, stats: DataFrame, modified: DataFrame, now: Column) -> DataFrame:
+    """Statistics after seeding changed labels that have none and recounting the stale ones in ``records`` (``part, timestamp``).
+
+    The three steps at once: stats meet the change marks in a single join, which tells what is missing and what is stale, and
+    only records of stale labels are counted.
+    """
+    never = F.lit(NEVER_COUNTED).cast("timestamp_ntz")
+    met = stats.join(modified.select(*PART_KEY, "last"), PART_KEY, "full_outer").select(
+        *PART_KEY, F.coalesce("modified", never).alias("modified"), F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
+        F.coalesce(F.coalesce("modified", never) < plus("last", "1s"), F.lit(False)).alias("stale"),
+    )
+    wanted = records.select(*PART_KEY).join(met.filter("stale").select(*PART_KEY), PART_KEY, "left_semi")
+    counted = wanted.groupBy(*PART_KEY).agg(F.count(F.lit(1)).alias("counted"))
+    return met.join(counted, PART_KEY, "left").select(
+        *PART_KEY,
+        F.when(F.col("stale"), now).otherwise(F.col("modified")).alias("modified"),
+        F.when(F.col("stale"), F.coalesce("counted", F.lit(0))).otherwise(F.col("count")).cast("bigint").alias("count"),
+    )
+
+
 def state_diff(state: DataFrame, desired: DataFrame) -> DataFrame:
     """Per state key: ``added``, ``updated``, ``deleted`` or ``same``."""
     now_is = state.select(*STATE_KEY, F.struct("max_modified", "source_fingerprint").alias("is"))

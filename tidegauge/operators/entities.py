@@ -89,6 +89,20 @@ def create_sets(sets: DataFrame, requested: DataFrame, now: Column) -> DataFrame
     )
 
 
+def create_sets_with_members(
+    sets: DataFrame, requested: DataFrame, names: DataFrame, entities: DataFrame, now: Column
+) -> tuple[DataFrame, DataFrame]:
+    """Set rows and ``(source_id, target_id)`` members to append, for requests that can be met whole.
+
+    ``requested`` as in :func:`create_sets`, ``names`` is ``owner, set_name, name``: the entities each set is to hold. A request is left
+    out with all its members if its (owner, name) is taken or one of its names is no entity.
+    """
+    unknown = names.join(entities.select("name"), "name", "left_anti").select("owner", F.col("set_name").alias("name")).distinct()
+    created = create_sets(sets, requested.join(unknown, ["owner", "name"], "left_anti"), now)
+    ids = created.select(F.col("id").alias("set_id"), F.col("name").alias("set_name"), "owner")
+    return created, _edges(names.join(ids, ["owner", "set_name"]).select("set_id", "name"), entities)
+
+
 def valid_sets(requested: DataFrame, entities: DataFrame) -> DataFrame:
     """Requested ``(set_id, name)`` rows of those sets in which every name is an entity."""
     bad = invalid_members(requested, entities).select("set_id").distinct()

@@ -15,6 +15,7 @@ fall into, however many there are. The state moves last: a tick that fails is re
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import nullcontext
 from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -67,13 +68,14 @@ def rollup_of(part: str, source: str, target: str, trends: Sequence[str] | Mappi
     return compute
 
 
-def record_modified(store: FactStore, log: DataFrame, start_id: int = 0) -> None:
+def record_modified(store: FactStore, log: DataFrame, start_id: int = 0, written: bool = False) -> None:
     """Take log rows (``id, part, timestamp, modified``) numbered above ``start_id`` into the stored change marks.
 
     The stored form of :func:`~tidegauge.operators.changes.process_modified_log`: only the buckets of the batch's labels are
-    read and written, so a batch costs by its own size.
+    read and written, so a batch costs by its own size. ``written`` tells that the log is cheap to read several times.
     """
-    with written_once(log.filter(F.col("id") > start_id).select("id", "part", "timestamp", "modified")) as batch:
+    rows = log.filter(F.col("id") > start_id).select("id", "part", "timestamp", "modified")
+    with nullcontext(rows) if written else written_once(rows) as batch:
         store.merge(batch, lambda stored: process_modified_log(batch, stored, start_id))
 
 
@@ -152,15 +154,16 @@ class Cascade:
         moment = F.lit(now).cast("timestamp_ntz")
         done = []
         with written_once(changes.select("part", "timestamp", "modified")) as batch:
-            record_modified(self.modified, batch.withColumn("id", F.lit(1)))
+            record_modified(self.modified, batch.withColumn("id", F.lit(1)), written=True)
+            job = self._last_job()
             changed = batch.select("part", "timestamp").distinct()
             for level in self.levels:
                 self._refresh(level, changed)
                 due = cut_lineage(self._due(level, now))
                 counts = {row["materialization"]: row["n"] for row in due.groupBy("materialization").agg(F.count(F.lit(1)).alias("n")).collect()}
                 for m in (m for m in level if m.name in counts):
-                    own = due.filter(F.col("materialization") == m.name)
-                    self._materialize(m, own, counts[m.name], moment)
+                    own, job = due.filter(F.col("materialization") == m.name), job + 1
+                    self._materialize(m, own, counts[m.name], moment, job)
                     changed = changed.unionByName(own.select(F.lit(m.destination).alias("part"), "timestamp"))
                     done.append((m.name, counts[m.name]))
         return done
@@ -186,22 +189,21 @@ class Cascade:
         rows = self.state.between(now - timedelta(seconds=longest, microseconds=1), now)
         return pending_materializations(rows, materialization_jobs(self.spark, level), F.lit(now).cast("timestamp_ntz"))
 
-    def _materialize(self, m: Materialization, due: DataFrame, count: int, now) -> None:
+    def _materialize(self, m: Materialization, due: DataFrame, count: int, now, job: int) -> None:
         """Replace the due labels in the destination, mark them modified, note the run, move the state."""
         started = self.clock()
-        job = self._next_job()
         labels = due.select("timestamp")
         sources = {link.part: self.parts[link.part].of_periods(labels, m.granularity) for link in m.sources}
         self.parts[m.destination].replace(m.compute(sources, labels), labels, now, job)
         marks = labels.select(F.lit(1).alias("id"), F.lit(m.destination).alias("part"), "timestamp", now.alias("modified"))
-        record_modified(self.modified, marks)
+        record_modified(self.modified, marks, written=True)
         row = self.spark.createDataFrame([(job, m.name, count, started, self.clock())], RUNS)
         row.coalesce(1).write.mode("append").parquet(self._runs)
         moved = due.withColumns({"processed_fingerprint": F.col("source_fingerprint"), "job_id": F.lit(job).cast("bigint")})
-        self.state.put(moved)
+        self.state.put_written(moved)
 
-    def _next_job(self) -> int:
-        return self.runs().agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).first()["last"] + 1
+    def _last_job(self) -> int:
+        return self.runs().agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).first()["last"]
 
     def reconcile(self, desired: DataFrame) -> None:
         """Make the stored state follow ``desired`` (``materialization, timestamp, max_modified, fingerprint``), see

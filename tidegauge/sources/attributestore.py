@@ -79,12 +79,12 @@ class AttributeStore:
                 with written_once(transfer_staged(known, held, self.attributes, moment, order, self.arrays)) as rows:
                     if store is self.closed:
                         self.changed.put(rows.select("entity_id").distinct())
-                    store.put(rows)
+                    store.put_written(rows)
                 rest = rest.join(store.having(asked).select(*KEY), list(KEY), "left_anti")
             with written_once(rest) as free:
                 known, last = self.recent.having(keys), self.last_id()
                 with written_once(transfer_staged(known, free, self.attributes, moment, order, self.arrays, after=last)) as rows:
-                    self.recent.put(rows)
+                    self.recent.put_written(rows)
                     added = rows.filter(F.col("id") > last).count()
             if added:
                 row = self.spark.createDataFrame([(last + added, added, now)], _TRANSFERS)
@@ -108,16 +108,18 @@ class AttributeStore:
             changed = self.changed.having(touched.select("entity_id")).withColumn("changed", F.lit(True))
             again = begun.join(changed, "entity_id", "left").filter((F.col("begin") <= F.col("start")) | F.col("changed")).select("entity_id")
             with written_once(again) as late:
-                old = self.closed.read().join(late, "entity_id", "left_semi") if not late.isEmpty() else recent.limit(0)
+                some_late = not late.isEmpty()
+                old = self.closed.read().join(late, "entity_id", "left_semi") if some_late else recent.limit(0)
                 rows = recent.unionByName(last).unionByName(old)
-                with written_once(attribute_compact(rows, self.attributes, moment)) as runs, written_once(old.select(*KEY)) as replaced:
-                    newest = as_of_latest(runs)
-                    with written_once(newest) as ends:
-                        done = runs.join(ends.select(*KEY), list(KEY), "left_anti")
-                        gone = replaced.join(done.select(*KEY), list(KEY), "left_anti")
-                        self.closed.exchange(done, gone)
-                        self.latest.put(ends)
+                with written_once(attribute_compact(rows, self.attributes, moment)) as runs, written_once(as_of_latest(runs)) as ends:
+                    done = runs.join(ends.select(*KEY), list(KEY), "left_anti")
+                    if some_late:
+                        with written_once(old.select(*KEY)) as replaced:
+                            self.closed.exchange(done, replaced.join(done.select(*KEY), list(KEY), "left_anti"))
                         self.changed.exchange(late.limit(0), late)
+                    else:
+                        self.closed.put(done)
+                    self.latest.put_written(ends)
         delete_folder(self.spark, self.recent.path)
 
     def current(self) -> DataFrame:

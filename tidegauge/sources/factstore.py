@@ -6,7 +6,7 @@ A fact row is ``entity_id, timestamp, created, job_id`` plus the trends, unique
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tidegauge.functions.columns import other_columns
 from tidegauge.functions.timeaxis import Interval, bucket_index, bucket_start, minus, plus
 from tidegauge.operators.changes import replace_timestamps
-from tidegauge.plans.spec import AUDIT, KEY
+from tidegauge.plans.spec import AUDIT, KEY, TrendStorePart
 from tidegauge.session import delete_folder, folder_names, read_or_empty, written_once
 
 BUCKET = "bucket"
@@ -106,6 +106,14 @@ def delete_timestamp(df: DataFrame, ts: Column) -> tuple[DataFrame, DataFrame]:
     return df.filter(~at), df.filter(at).agg(F.count(F.lit(1)).alias("removed"))
 
 
+def delete_timestamp_everywhere(
+    parts: Sequence[TrendStorePart], stores: Mapping[str, FactStore], granularity: str, ts: datetime
+) -> dict[str, int]:
+    """Delete one timestamp from the stores of all parts of a granularity, however it is spelled; removed rows by part."""
+    wanted = Interval.of(granularity)
+    return {part.name: stores[part.name].delete_timestamp(ts) for part in parts if Interval.of(part.granularity) == wanted}
+
+
 def missing_buckets(parts: DataFrame, existing: DataFrame, now: Column, ahead: str = "3 days") -> DataFrame:
     """Buckets each part should have but does not.
 
@@ -226,10 +234,14 @@ class FactStore:
 
     def put(self, batch: DataFrame) -> None:
         """Insert or replace whole rows by key; the batch has each key once."""
-        with written_once(batch) as rows:
-            self.merge(rows, lambda stored: stored.join(rows.select(*self.key), list(self.key), "left_anti").unionByName(
-                rows.select(*self.schema.names)
-            ))
+        with written_once(batch.select(*self.schema.names)) as rows:
+            self.put_written(rows)
+
+    def put_written(self, rows: DataFrame) -> None:
+        """The same with rows that are cheap to read several times, such as a table."""
+        self.merge(rows, lambda stored: stored.join(rows.select(*self.key), list(self.key), "left_anti").unionByName(
+            rows.select(*self.schema.names)
+        ))
 
     def having(self, keys: DataFrame) -> DataFrame:
         """Stored rows with one of the keys (``keys`` has the columns of a part of the key that buckets are numbered by)."""
@@ -240,8 +252,7 @@ class FactStore:
         """Insert or replace whole rows by key and delete the keys in ``gone``; both have each key once, and no key in common."""
         with written_once(batch.select(*self.schema.names)) as rows, written_once(gone.select(*self.key)) as keys:
             named = rows.select(*self.key).unionByName(keys)
-            kept = self._touched(named).join(named, list(self.key), "left_anti")
-            self._rewrite(kept.unionByName(rows), named)
+            self._rewrite(self._bucket_numbers(named), lambda stored: stored.join(named, list(self.key), "left_anti").unionByName(rows))
 
     def upsert(self, batch: DataFrame, now: Column, job_id: int, order: str | None = None) -> None:
         """Merge facts on their key, rewriting the buckets they fall into."""
@@ -274,20 +285,26 @@ class FactStore:
     def replace(self, fresh: DataFrame, labels: DataFrame, now: Column, job_id: int, within_labels: bool = False) -> None:
         """Replace whole timestamps, rewriting the buckets they fall into."""
         with written_once(fresh) as rows, written_once(labels) as wanted:
-            self._rewrite(replace_timestamps(self._touched(wanted), rows, wanted, now, job_id, within_labels), wanted)
+            self._rewrite(
+                self._bucket_numbers(wanted), lambda stored: replace_timestamps(stored, rows, wanted, now, job_id, within_labels)
+            )
 
-    def delete_timestamp(self, ts: datetime) -> None:
+    def delete_timestamp(self, ts: datetime) -> int:
+        """Delete the rows at one timestamp; how many. Only its bucket is read and written."""
         label = self.spark.range(1).select(F.lit(ts).cast("timestamp_ntz").alias("timestamp"))
-        existing = self._touched(label)
-        self._rewrite(existing.join(label, "timestamp", "left_anti"), label)
-
-    def _rewrite(self, rows: DataFrame, labels: DataFrame) -> None:
-        """Write the touched buckets; one left without any row is dropped."""
-        touched = set(self._bucket_numbers(labels))
-        with written_once(rows) as ready:
+        removed = self._touched(label).join(label, "timestamp", "left_semi").count()
+        if removed:
+            self._rewrite(self._bucket_numbers(label), lambda stored: stored.join(label, "timestamp", "left_anti"))
+        return removed
+
+    def _rewrite(self, touched: list[int], combine: Callable[[DataFrame], DataFrame]) -> None:
+        """Replace the touched buckets by ``combine`` of their rows; one left without any row is dropped."""
+        if not touched:
+            return
+        with written_once(combine(self._in_buckets(touched))) as ready:
             filled = set(self._bucket_numbers(ready))
             self._write(ready, "overwrite")
-        self._drop(sorted(touched - filled))
+        self._drop(sorted(set(touched) - filled))
 
     def _drop(self, buckets: Sequence[int]) -> None:
         """Remove whole bucket folders."""

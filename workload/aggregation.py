@@ -84,6 +84,15 @@ def aggregate_by_metadata(t):
     return _cast(G.aggregate_by_metadata(t.fact_1d, trends, "1d", "1month", samples_from="samples"), "quantity", "price")
 
 
+@query(f"""WITH {D1} SELECT s_nationkey AS entity_id, "timestamp", CAST(sum(samples) AS BIGINT) AS samples, CAST(min(quantity) AS DECIMAL(38,2)) AS quantity,
+    CAST(sum(price) AS DECIMAL(38,2)) AS price FROM d1 JOIN supplier ON s_suppkey = entity_id GROUP BY 1, 2""")
+def aggregate_by_metadata_relation(t):
+    """Over entities, each column by its own entity aggregation."""
+    trends = [Trend("quantity", "numeric", entity_aggregation="MIN"), Trend("price", "numeric")]
+    rolled = G.aggregate_by_metadata(t.fact_1d, trends, "1d", relation=t.supplier_nation, samples_from="samples")
+    return _cast(rolled, "quantity", "price")
+
+
 @query(f"""WITH {VEC}, item AS (SELECT label, unnest(arr) AS x, unnest(range(1, len(arr) + 1)) AS pos FROM vec)
     SELECT label, string_agg(CAST(total AS VARCHAR), ',' ORDER BY pos) AS result
     FROM (SELECT label, pos, sum(x) AS total FROM item GROUP BY 1, 2) GROUP BY 1""")

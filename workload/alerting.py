@@ -82,6 +82,11 @@ def preview_notifications(t):
     return preview(t)
 
 
+@query(f"""WITH {_PREVIEW} SELECT * FROM prev WHERE "timestamp" = TIMESTAMP '2024-01-09 22:30:00'""")
+def evaluate_at(t):
+    return HIGH_VALUE.evaluate_at(t.fact_15m, at("2024-01-09 22:30:00"), t.exceptions, weight_exceptions(t))
+
+
 _STORED = """stored AS (SELECT entity_id, "timestamp", 1 AS rule_id FROM prev WHERE "timestamp" <= TIMESTAMP '2024-01-08 00:00:00')"""
 
 
@@ -97,13 +102,16 @@ def create_notifications(t):
     return R.create_notifications(HIGH_VALUE, preview(t), _stored(t), at(NOW))
 
 
-@query(f"""WITH {_PREVIEW}, {_STORED} SELECT entity_id, "timestamp", 1 AS rule_id, max(weight) AS weight FROM prev
-    ANTI JOIN stored USING (entity_id, "timestamp") GROUP BY 1, 2""")
+@query(f"""WITH {_PREVIEW}, {_STORED} SELECT entity_id, "timestamp", 1 AS rule_id, weight, details, data FROM
+    (SELECT * FROM prev UNION ALL SELECT entity_id, "timestamp", weight, details || '!', data FROM prev UNION ALL SELECT entity_id, "timestamp", weight - 1, 'z', 'z' FROM prev)
+    ANTI JOIN stored USING (entity_id, "timestamp")
+    QUALIFY row_number() OVER (PARTITION BY entity_id, "timestamp" ORDER BY weight DESC, details DESC, data DESC) = 1""")
 def dedupe_notifications(t):
-    """The batch holds every notification twice; one of each key is kept."""
-    once = preview(t).select("entity_id", "timestamp", F.lit(1).alias("rule_id"), "weight")
-    again = once.withColumn("weight", F.col("weight") - 1)
-    return R.new_notifications(once.unionByName(again), _stored(t), dedupe_batch=True)
+    """The batch holds every notification three times; the largest by weight, then details, is kept whole."""
+    once = preview(t).withColumn("rule_id", F.lit(1))
+    longer = once.withColumn("details", F.concat("details", F.lit("!")))
+    weaker = once.withColumns({"weight": F.col("weight") - 1, "details": F.lit("z"), "data": F.lit("z")})
+    return R.new_notifications(once.unionByName(longer).unionByName(weaker), _stored(t), dedupe_batch=True)
 
 
 @query(f"""WITH {_WITH} SELECT entity_id, "timestamp", CASE WHEN value > 250 THEN NULL ELSE 300 END AS weight,

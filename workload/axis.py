@@ -25,6 +25,52 @@ def map_label_1d(t):
     return t.events.select("event_id", X.map_label(ts, "15m", "1d").alias("label"))
 
 
+_HALF = "make_timestamp(CAST(ceil(epoch_us(ts) / 1.8e9) AS BIGINT) * 1800000000)"
+
+
+@query(f"""SELECT event_id, date_trunc('hour', {_HALF} - INTERVAL 30 MINUTE) + INTERVAL 1 HOUR AS hour,
+    date_trunc('day', {_HALF} - INTERVAL 30 MINUTE) + INTERVAL 1 DAY AS day FROM events""")
+def map_label_from_30m(t):
+    ts = X.ceil_to_granularity("ts", "30m")
+    return t.events.select("event_id", X.map_label(ts, "30m", "1h").alias("hour"), X.map_label(ts, "30m", "1d").alias("day"))
+
+
+@query("""SELECT o_orderkey, o_orderdate + INTERVAL 90 MINUTE AS spelled, o_orderdate + INTERVAL 1 MONTH AS month, o_orderdate + INTERVAL 93600 SECOND AS terms,
+    o_orderdate - INTERVAL 14 DAY AS back FROM orders""")
+def parse_interval(t):
+    """Clock times, short and long words, and several terms."""
+    return t.orders.select(
+        "o_orderkey", X.plus("o_orderdate", "01:30:00").alias("spelled"), X.plus("o_orderdate", "1 month").alias("month"),
+        X.plus("o_orderdate", "1 day 2h").alias("terms"), X.minus("o_orderdate", "2 weeks").alias("back"),
+    )
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN user_id % 24 * 3600 + event_id % 60 * 60 + event_id % 7 END AS seconds FROM events""")
+def interval_seconds(t):
+    """A column of clock texts; every fifth has another form."""
+    cells = [F.lpad((F.col(name) % span).cast("string"), 2, "0") for name, span in (("user_id", 24), ("event_id", 60), ("event_id", 7))]
+    text = F.when(F.col("event_id") % 5 == 0, F.lit("1 day")).otherwise(F.concat_ws(":", *cells))
+    return t.events.select("event_id", X.interval_seconds(text).alias("seconds"))
+
+
+@query("""SELECT event_id, CAST(NULL AS TIMESTAMP) AS moment FROM events""")
+def smallint_to_timestamp(t):
+    """A numeric column declared a timestamp keeps no value."""
+    return t.events.select("event_id", A.null_timestamp().alias("moment"))
+
+
+@query("""SELECT o_orderkey, CAST('123456789012345678901234' || o_orderkey AS DECIMAL(38,0)) AS long, CAST('0.1234567890123456789' || o_orderkey % 10 AS DECIMAL(30,20)) AS fine,
+    CASE WHEN o_orderkey < 100000 THEN CAST(o_orderkey AS DECIMAL(5,0)) END AS small FROM orders""")
+def parse_declared_numeric(t):
+    """Precision and scale as declared: more whole and more decimal digits than plain numeric has, and fewer."""
+    key = F.col("o_orderkey").cast("string")
+    return t.orders.select(
+        "o_orderkey", Y.parse_strict(F.concat(F.lit("123456789012345678901234"), key), "numeric(38)").alias("long"),
+        Y.parse_strict(F.concat(F.lit("0.1234567890123456789"), (F.col("o_orderkey") % 10).cast("string")), "numeric(30, 20)").alias("fine"),
+        Y.parse_lenient(key, "numeric(5,0)").alias("small"),
+    )
+
+
 @query("""SELECT o_orderkey, CAST(date_trunc('week', o_orderdate - INTERVAL 1 DAY) + INTERVAL 7 DAY AS TIMESTAMP) AS label FROM orders""")
 def map_label_1w(t):
     return t.orders.select("o_orderkey", X.map_label("o_orderdate", "1d", "1w").alias("label"))

@@ -36,8 +36,8 @@ def _facts(records):
 def _after_late_rows(t) -> Cascade:
     """Everything but sign-ups is stored and materialized; then the sign-ups' records arrive and the second tick follows."""
     folder = scratch_path(t.spark, "cascade")
-    parts = {name: FactStore(t.spark, f"{folder}/{name}", FACT, size) for name, size in (("quarter", "1 day"), ("hour", "4 days"), ("day", "90 days"))}
-    cascade = Cascade(t.spark, _materializations(), parts, folder)
+    parts = {name: FactStore(t.spark, f"{folder}/{name}", FACT, size) for name, size in (("quarter", "10 days"), ("hour", "10 days"), ("day", "90 days"))}
+    cascade = Cascade(t.spark, _materializations(), parts, folder, "10 days")
 
     def changed(rows, when):
         return rows.select(F.lit("quarter").alias("part"), "timestamp", at(str(when)).alias("modified")).distinct()
@@ -113,7 +113,7 @@ def reconciled_state(t):
 def reconciled_state_stored(t):
     """The same on a stored state, of which only differing buckets are written."""
     folder = scratch_path(t.spark, "state")
-    cascade = Cascade(t.spark, _materializations(), {}, folder, "1 day")
+    cascade = Cascade(t.spark, _materializations(), {}, folder, "5 days")
     desired, state = desired_and_state(t)
     cascade.state.append(state)
     cascade.reconcile(desired)

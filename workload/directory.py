@@ -9,6 +9,7 @@ from tidegauge.operators import entities as E
 from tidegauge.operators import evolution as V
 from tidegauge.operators.aggregates import analyze_part
 from tidegauge.plans.spec import GeneratedTrend
+from tidegauge.operators.numbering import with_dense_ids
 from workload.registry import query
 from workload.tables import at
 
@@ -110,6 +111,42 @@ def entity_set_create(t):
     return E.create_sets(_sets(t), brands.unionByName(taken), at(NOW))
 
 
+_NEW_SETS = f"""{_SETS}, wanted AS (SELECT DISTINCT p_brand AS name, CASE WHEN p_brand < 'Brand#2' THEN 'admin' ELSE 'user' END AS owner FROM part
+        UNION ALL SELECT name, 'admin' FROM sets),
+    holds AS (SELECT DISTINCT p_brand AS set_name, CASE WHEN p_brand < 'Brand#2' THEN 'admin' ELSE 'user' END AS owner, s_name AS name
+        FROM part JOIN supplier ON s_suppkey = p_partkey UNION ALL SELECT name, 'admin', 'nobody' FROM sets
+        UNION ALL SELECT 'Brand#11', 'admin', 'nobody ' || n_name FROM nation),
+    created AS (SELECT (SELECT max(id) FROM sets) + row_number() OVER (ORDER BY md5(owner || '|' || name), owner, name) AS id, name, owner FROM wanted
+        WHERE (owner, name) NOT IN (SELECT (owner, name) FROM sets)
+        AND (owner, name) NOT IN (SELECT (owner, set_name) FROM holds WHERE name NOT IN (SELECT s_name FROM supplier)))"""
+
+
+@query(f"""WITH {_NEW_SETS} SELECT id, c.name AS set_name, owner, s_suppkey AS source_id FROM created c
+    LEFT JOIN (SELECT h.set_name, h.owner, s_suppkey FROM holds h JOIN supplier ON s_name = h.name) m ON m.set_name = c.name AND m.owner = c.owner""".replace(
+    "SELECT id, c.name AS set_name, owner,", "SELECT id, c.name AS set_name, c.owner AS owner,"))
+def entity_set_create_with_members(t):
+    """Brands with suppliers as members; sets that exist are left out, and so is a brand of which members are unknown."""
+    owner = F.when(F.col("p_brand") < "Brand#2", "admin").otherwise("user").alias("owner")
+    brands = t.part.select(
+        F.col("p_brand").alias("name"), F.lit("brands").alias("group"), F.lit("part").alias("source_entity_type"), owner,
+        F.col("p_brand").alias("description"),
+    )
+    taken = _sets(t).select("name", "group", "source_entity_type", "owner", F.lit("taken").alias("description"))
+    held = t.part.join(t.supplier, F.col("s_suppkey") == F.col("p_partkey")).select(owner, F.col("p_brand").alias("set_name"), F.col("s_name").alias("name"))
+    nobody = _sets(t).select("owner", F.col("name").alias("set_name"), F.lit("nobody").alias("name"))
+    strangers = t.nation.select(F.lit("admin").alias("owner"), F.lit("Brand#11").alias("set_name"), F.concat(F.lit("nobody "), F.col("n_name")).alias("name"))
+    names = held.distinct().unionByName(nobody).unionByName(strangers)
+    created, members = E.create_sets_with_members(_sets(t), brands.unionByName(taken), names, t.suppliers, at(NOW))
+    sets = created.select("id", F.col("name").alias("set_name"), "owner")
+    return sets.join(members, F.col("id") == F.col("target_id"), "left").select("id", "set_name", "owner", "source_id")
+
+
+@query("""SELECT c_custkey, 1000 + row_number() OVER (ORDER BY md5(c_name), c_name) AS id FROM customer""")
+def dense_ids(t):
+    """Gap-free numbers that depend on the keys alone."""
+    return with_dense_ids(t.customer.select("c_custkey", "c_name"), "c_name", after=1000).select("c_custkey", "id")
+
+
 @query(f"""WITH {_MEMBERS}, {_REQUEST}, valid AS (SELECT * FROM request WHERE set_id NOT IN
         (SELECT set_id FROM request WHERE name NOT IN (SELECT s_name FROM supplier)))
     SELECT source_id, target_id FROM members WHERE target_id NOT IN (SELECT set_id FROM valid)

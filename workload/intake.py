@@ -277,7 +277,7 @@ def _loaded(t) -> Loader:
         "counts": S.FactStore(t.spark, f"{folder}/counts", f"{audit}, event_id bigint, reading decimal(38,18)", "5 days"),
     }
     modified = S.FactStore(t.spark, f"{folder}/modified", MODIFIED, "5 days", key=("part", "timestamp"))
-    loader = Loader(parts, stores, EntityStore(t.spark, f"{folder}/names"), modified, JobLog(t.spark, f"{folder}/jobs"))
+    loader = Loader(parts, stores, EntityStore(t.spark, f"{folder}/names", spread=8), modified, JobLog(t.spark, f"{folder}/jobs"))
     layout = L.DelimitedFormat(entity_column="node", timestamp_column="time")
     stamp = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("time")
     node = F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("node")
@@ -310,3 +310,23 @@ def load_marks_and_jobs(t):
     loader = _loaded(t)
     finished = loader.jobs.read().agg(F.count("finished").alias("n")).scalar()
     return loader.modified.read().withColumn("jobs", finished)
+
+
+@query(f"""WITH {F15} SELECT part, entity_id, "timestamp", value, CASE WHEN part = 'hours' THEN 0 ELSE removed END AS removed
+    FROM f15, (SELECT count(*) AS removed FROM f15 WHERE "timestamp" = TIMESTAMP '2024-01-15 12:00:00'),
+        (SELECT unnest(['quarters', 'spelled', 'hours']) AS part)
+    WHERE part = 'hours' OR "timestamp" <> TIMESTAMP '2024-01-15 12:00:00'""")
+def delete_timestamp_everywhere(t):
+    """One timestamp goes from both parts of a quarter-hour, however that is spelled, and stays in a part of another granularity."""
+    parts = [TrendStorePart(name, span, [Trend("value", "numeric")]) for name, span in (("quarters", "15m"), ("spelled", "00:15:00"), ("hours", "1h"))]
+    schema = "entity_id bigint, timestamp timestamp_ntz, created timestamp_ntz, job_id bigint, value decimal(38,2)"
+    stores = {part.name: S.FactStore(t.spark, scratch_path(t.spark, part.name), schema, "5 days") for part in parts}
+    rows = S.stamp_job(t.fact_15m.select("entity_id", "timestamp", "value"), at(NOW), 1)
+    for store in stores.values():
+        store.append(rows)
+    removed = S.delete_timestamp_everywhere(parts, stores, "15m", datetime(2024, 1, 15, 12))
+    frames = [
+        store.read().select(F.lit(name).alias("part"), "entity_id", "timestamp", "value", F.lit(removed.get(name, 0)).cast("bigint").alias("removed"))
+        for name, store in stores.items()
+    ]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])

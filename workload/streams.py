@@ -123,7 +123,7 @@ def stream_ingest(t):
         t.spark, scratch_path(t.spark, "facts"),
         "entity_id bigint, timestamp timestamp_ntz, created timestamp_ntz, job_id bigint, value decimal(18,2)", "10 days",
     )
-    entities = EntityStore(t.spark, scratch_path(t.spark, "entities"))
+    entities = EntityStore(t.spark, scratch_path(t.spark, "entities"), spread=8)
     modified = J.modified_store(t.spark, scratch_path(t.spark, "modified"), "10 days")
     _run(t, J.ingest(rows, "events", store, entities, modified, now=lambda batch: at(NOW)))
     names = entities.read().select(F.col("id").alias("entity_id"), "name")

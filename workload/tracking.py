@@ -183,7 +183,7 @@ _STORED_RUNS = f"""{HIST}, {_RUNS},
 
 def _two_batches(t) -> AttributeStore:
     """Events before and after 20 January, each staged, transferred and compacted, a day apart."""
-    store = AttributeStore(t.spark, scratch_path(t.spark, "attributes"), {"event_type": "string"}, "5 days")
+    store = AttributeStore(t.spark, scratch_path(t.spark, "attributes"), {"event_type": "string"}, "10 days", spread=8)
     rows = t.history.select("entity_id", "timestamp", "event_type")
     early = F.col("timestamp") < at(_SPLIT)
     for day, batch in ((1, rows.filter(early)), (3, rows.filter(~early))):
@@ -431,8 +431,12 @@ def stale_stats(t):
         CASE WHEN stale.part IS NOT NULL THEN coalesce(n, 0) ELSE count END AS count
     FROM seeded LEFT JOIN stale USING (part, "timestamp") LEFT JOIN counts USING (part, "timestamp")""")
 def refresh_stats(t):
-    counts = C.count_stale(t.modified_log, _seeded(t), t.modified)
-    return C.refresh_stats(_seeded(t), t.modified, counts, at(NOW))
+    return C.refreshed_stats(t.modified_log, _stats(t), t.modified, at(NOW))
+
+
+@query(f"""WITH {_ALL_STATS} SELECT part, "timestamp", count(*) AS count FROM log JOIN stale USING (part, "timestamp") GROUP BY 1, 2""")
+def count_stale(t):
+    return C.count_stale(t.modified_log, _seeded(t), t.modified)
 
 
 # Region, nation, customer and order as a dependency chain; suppliers make a second path.
