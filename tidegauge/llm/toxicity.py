@@ -30,6 +30,8 @@ ORDER = 6
 DISCOUNT = 0.75
 #: Tables of up to so many entries (16 bytes each) are broadcast whole; larger ones are joined, with the same results.
 PLACES = 1 << 23
+#: Up to so many labels (an id and a mark each) are broadcast to the texts; more are joined by a shuffle, with the same results.
+LABELS = 4_000_000
 #: At most so many labelled texts fit the logistic curve.
 CALIBRATION_ROWS = 20_000
 _PAD = "\x02"
@@ -57,11 +59,9 @@ def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 0, 16 << 20):
-                words: tuple[dict, dict] = ({}, {})
+                words: tuple[Counter, Counter] = (Counter(), Counter())
                 for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    seen = words[toxic]
-                    for word in (text or "").lower().split():
-                        seen[word] = seen.get(word, 0) + 1
+                    words[toxic].update((text or "").lower().split())
                 counts: dict[str, list[int]] = {}
                 for toxic, seen in enumerate(words):
                     for word, n in seen.items():
@@ -196,8 +196,9 @@ class Scorer:
 
     def describe(self, text: str | None) -> list[float]:
         """Mean log ratio per character, the three strongest words, and the strongest per character; zeros if empty."""
-        seen, total, length, known = {}, 0.0, 0, self.known
-        for word in (text or "").lower().split():
+        found, total, length, known = [], 0.0, 0, self.known
+        steepest = -np.inf
+        for word, n in Counter((text or "").lower().split()).items():
             value = known.get(word)
             if value is None:
                 value = self.before.get(word)
@@ -208,14 +209,17 @@ class Scorer:
                         self.before, known = known, {}
                         self.known = known
                     known[word] = value
-            total += value
-            length += len(word) + 1
-            seen[word] = value
-        if not seen:
+            size = len(word) + 1
+            total += n * value
+            length += n * size
+            found.append(value)
+            if value > steepest * size:
+                steepest = value / size
+        if not found:
             return [0.0] * len(self.NAMES)
-        top = sorted(seen.values(), reverse=True)[:3]
+        top = sorted(found, reverse=True)[:3]
         top += [min(0.0, top[-1])] * (3 - len(top))
-        return [total / length, *top, max(v / (len(w) + 1) for w, v in seen.items())]
+        return [total / length, *top, steepest]
 
 
 @dataclass
@@ -336,13 +340,16 @@ def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, places: int =
     Tables of more than ``places`` entries are joined instead of broadcast.
     """
     spark = docs.sparkSession
-    usable = (
+    usable = cut_lineage(
         labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
         .filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out())
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
     texts = docs.select("doc_id", "text").filter(~held_out() & ~calibrating())
-    counts = cut_lineage(gram_counts(texts.join(usable.filter(~calibrating()), "doc_id"), order))
+    counted = usable.filter(~calibrating())
+    if counted.count() <= LABELS:  # whole texts then stay where they are read
+        counted = F.broadcast(counted)
+    counts = cut_lineage(gram_counts(texts.join(counted, "doc_id"), order))
     model = Model(*tables(counts, order), None, 0.0, order)
     if max(model.of_gram.count(), model.of_context.count()) <= places:
         model.shared = spark.sparkContext.broadcast((_collected(model.of_gram), _collected(model.of_context)))
