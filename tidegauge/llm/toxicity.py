@@ -222,6 +222,16 @@ class Scorer:
         return [total / length, *top, steepest]
 
 
+#: The last scorer of this Python worker and the tables it was made of; later tasks of the worker go on with the words it knows.
+_kept: list = []
+
+
+def _scorer(tables_: tuple[Ratios, Ratios], order: int) -> Scorer:
+    if not _kept or _kept[0] is not tables_ or _kept[1].order != order:
+        _kept[:] = [tables_, Scorer(*tables_, order)]
+    return _kept[1]
+
+
 @dataclass
 class Curve:
     """A logistic curve over standardised features."""
@@ -270,7 +280,7 @@ def _described(docs: DataFrame, keep: list[str], model: Model) -> DataFrame:
     fields = [f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep] + [f"{f} double" for f in features]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(*shared.value, order)
+        scorer = _scorer(shared.value, order)
         for batch in batches:
             for part in slices(batch, text):
                 found = np.array([scorer.describe(t) for t in part.column(text).to_pylist()]).reshape(-1, len(features))
