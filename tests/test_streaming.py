@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidegauge.operators.aggregates import time_rollup
 from tidegauge.sources.factstore import FactStore

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.functions.columns import as_column, names, other_columns
+from tidegauge.functions.columns import as_column, names
 from tidegauge.functions.timeaxis import Interval
 from tidegauge.operators.slices import (
     AUTO, bound_number, hot_keys, slice_count, slice_number, split_hot, time_bounds, with_last_known, with_previous,
