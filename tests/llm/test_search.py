@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,15 +180,39 @@ def test_partners_share_a_cell(percent):
         if len(b) and 100 * both >= percent * (len(a) + len(b) - both):
             tried += 1
             met = rng.integers(0, 256, 1 << 10).astype(np.uint8)  # what both have is met twice, the rest may look so
-            place = metricjoin._place(mix(np.intersect1d(a, b)), 8 << 10)
-            np.bitwise_or.at(met, (place >> np.uint64(3)).astype(int), (1 << (place & np.uint64(7)).astype(int)).astype(np.uint8))
+            place = metricjoin._place(mix(np.intersect1d(a, b)), 4 << 10)
+            np.bitwise_or.at(met, (place >> np.uint64(2)).astype(int), (1 << 2 * (place & np.uint64(3)).astype(int)).astype(np.uint8))
             assert set(metricjoin.cells(a, percent, met).tolist()) & set(metricjoin.cells(b, percent, met).tolist())
     assert tried > 200
 
 
-def test_word_hashes_follow_words():
-    import pyarrow as pa
+def test_levels_follow_counts(spark):
+    """Every shingle's level is that of the count at its place, however the rows are dealt."""
+    given = near_copies(5, 300)
+    docs = spark.createDataFrame(given, "doc_id long, text string").repartition(5)
+    places = 1 << 14
+    met = metricjoin.met_shingles(docs, 3, places)
+    hashes = mix(np.concatenate(shingle_sets(pa.array([t for _, t in given]), 3)))
+    total = np.bincount(metricjoin._place(hashes, places).astype(int), minlength=places)
+    mean = np.repeat(total.reshape(metricjoin.RANGES, -1).mean(1), places // metricjoin.RANGES)
+    expected = (total > 1).astype(int) + (total > 3 + 2 * mean) + (total > 7 + 4 * mean)
+    got = (met[np.arange(places) // 4] >> (2 * (np.arange(places) % 4))) & 3
+    assert np.array_equal(got, expected) and set(got) == {0, 1, 2, 3}
+
+
+def test_a_common_passage_makes_no_region():
+    """Texts that share only a passage have no cell in common as long as they have enough of their own."""
+    rng = np.random.default_rng(4)
+    passage = np.unique(rng.integers(0, 2**63, 60).astype(np.uint64))
+    met = np.zeros(1 << 16, np.uint8)
+    place = metricjoin._place(mix(passage), 4 << 16)
+    np.bitwise_or.at(met, (place >> np.uint64(2)).astype(int), (3 << 2 * (place & np.uint64(3)).astype(int)).astype(np.uint8))
+    own = [np.unique(np.concatenate([passage, rng.integers(0, 2**63, 40).astype(np.uint64)])) for _ in range(50)]
+    found = [set(metricjoin.cells(s, 80, met).tolist()) for s in own]
+    assert not any(found[i] & found[j] for i in range(50) for j in range(i))
+
 
+def test_word_hashes_follow_words():
     texts = ["Ab c", None, "", "ab C", "a bc", "x" * 3_000_000 + " ab", " c  ab "]
     hashes, heads = words(*flat(pa.array(texts)))
     own = [hashes[heads[i] : heads[i + 1]].tolist() for i in range(len(texts))]

@@ -9,7 +9,8 @@ three steps, each with a window that is wide enough for every partner of a text:
 2. In a ring two partners differ in at most t shingles. The universe of shingles is dealt into t + 1 layers by hash. In a
    layer every possible set of shingles is a pivot, and a text lies in the Voronoi cell of the pivot nearest to it, its own
    shingles of that layer. t differences cannot move a text out of its cell in all t + 1 layers, so partners share a cell.
-   Where layers would be too thin, single shingles are the pivots, and a text lies with the first of its own in one order.
+   Where layers would be too thin, single shingles are the pivots, and a text lies with the first of its own in one order,
+   rare ones first, so that what many texts share (a passage, a phrase) draws strangers together only where a text has little else.
    Texts that share cells, directly or through others, form one region.
 3. Regions are joined with texts as pivots. Each text goes to its nearest pivot and, by the triangle inequality, to
    every other pivot that is at most twice the radius further away. Texts within the radius of a pivot are linked through
@@ -37,8 +38,8 @@ from tidegauge.session import cut_lineage, delete_folder, scratch_path
 
 #: Rows that one task joins; pivots a large region is split by; width of the size rings.
 REGION_ROWS, PIVOTS, RING = 1024, 6, 0.25
-#: Least shingles per layer; bits for shingles that texts share, which bounds a broadcast, and the ranges they are found in.
-LAYER, BITS, RANGES, HALF = 5, 1 << 27, 256, np.uint64(1 << 63)
+#: Least shingles per layer; places at which shingles are counted, two bits each, which bounds a broadcast, and the ranges of places.
+LAYER, PLACES, RANGES = 5, 1 << 27, 256
 #: Marks by which texts that lie alone are passed over before texts are shuffled; bounds a broadcast.
 MARKS = 1 << 20
 
@@ -75,8 +76,8 @@ def cells(shingles: np.ndarray, percent: int, met: np.ndarray) -> np.ndarray:
     than t + 1, so a text may leave out its smallest ones, as many as there are more: of the layers a pair agrees in, one
     is left. Both leave out by the number of shingles, so the one that is left is left in both.
 
-    Where layers would hold too few shingles, the pivots are single shingles in one order for all texts: those that ``met``
-    shows in no other text first, the rest by hash. As at least ``percent`` of a text's shingles are its partner's, the first it
+    Where layers would hold too few shingles, the pivots are single shingles in one order for all texts: by how often
+    ``met`` shows them, then by hash. As at least ``percent`` of a text's shingles are its partner's, the first it
     shares with a partner is among its first 1 + |A| - percent of |A|; those no other text has need no cell.
     """
     found, thin = [np.zeros(0, np.uint64)], False
@@ -96,62 +97,65 @@ def cells(shingles: np.ndarray, percent: int, met: np.ndarray) -> np.ndarray:
         found.append(hashes[counts > left_out])
     if thin:  # these cells are the same in all rings
         hashes = mix(shingles)
-        place = _place(hashes, len(met) * 8)
-        known = hashes < HALF
-        often = ~known | ((met[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
+        place = _place(hashes, len(met) * 4)
+        often = (met[place >> np.uint64(2)] >> (2 * (place & np.uint64(3))).astype(np.uint8)) & 3
         order = np.lexsort((hashes, often))[: len(shingles) - -(-percent * len(shingles) // 100) + 1]
-        found.append(mix(hashes[order][often[order]]))
+        found.append(mix(hashes[order][often[order] > 0]))
     return np.concatenate(found)
 
 
-def _place(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes >> np.uint64(8)) % np.uint64(bits)
+def _place(hashes: np.ndarray, places: int) -> np.ndarray:
+    return (hashes >> np.uint64(8)) % np.uint64(places)
 
 
-def met_shingles(docs: DataFrame, width: int, bits: int = BITS) -> np.ndarray:
-    """Bits by hash: whether a shingle of the lower half of all hashes is met more than once in the table.
+def met_shingles(docs: DataFrame, width: int, places: int = PLACES) -> np.ndarray:
+    """Two bits by hash: whether a shingle is met once in the table (0), or how often it is met (1 to 3).
 
-    They only choose an order, so shingles may share a bit. Every text counts. What travels is each batch's places as
-    distances between neighbours, by range of places; a task goes through its ranges with two arrays of one range.
+    They only choose an order, so shingles may share a place; what counts as often grows with the shingles a place has on average,
+    so common shingles stand out however large the table is. Every text counts. What travels is each batch's places as
+    distances between neighbours with their counts, by range of places; a task goes through its ranges with one array of one range.
     """
-    span = bits // RANGES
+    span = places // RANGES
 
     def send(batches):
         for batch in batches:
             for part in slices(batch, 0, 6 << 20):
                 found = mix(np.concatenate([*shingle_sets(part.column(0), width), np.zeros(0, np.uint64)]))
-                place, count = np.unique(_place(found[found < HALF], bits).astype(np.int64), return_counts=True)
-                rows: list[tuple[int, bytes]] = []
-                for own in (place, place[count > 1]):
-                    edges = np.searchsorted(own, np.arange(0, bits + 1, span))
-                    for k in np.flatnonzero(np.diff(edges)):
-                        inside = own[edges[k] : edges[k + 1]] - k * span
-                        rows.append((int(k), np.diff(inside, prepend=0).astype(np.uint32).tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], ["range", "places"])
+                place, count = np.unique(_place(found, places).astype(np.int64), return_counts=True)
+                edges = np.searchsorted(place, np.arange(0, places + 1, span))
+                rows: list[tuple[int, bytes, bytes]] = []
+                for k in np.flatnonzero(np.diff(edges)):
+                    inside = slice(edges[k], edges[k + 1])
+                    steps = np.diff(place[inside] - k * span, prepend=0).astype(np.uint32)
+                    rows.append((int(k), steps.tobytes(), count[inside].astype(np.uint32).tobytes()))
+                columns = list(zip(*rows, strict=True)) if rows else [()] * 3
+                types = [pa.int32(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["range", "places", "counts"])
 
     def gather(batches):
-        now, once, twice = None, None, None
+        now, total = None, np.zeros(0, np.int64)
 
         def done():
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([np.packbits(twice, bitorder="little").tobytes()], pa.binary())], ["range", "bits"])
+            mean = total.sum() / span
+            level = sum((total > limit).astype(np.uint8) for limit in (1, 3 + 2 * mean, 7 + 4 * mean)).reshape(-1, 4)
+            packed = level[:, 0] | level[:, 1] << 2 | level[:, 2] << 4 | level[:, 3] << 6
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([packed.tobytes()], pa.binary())], ["range", "levels"])
 
         for batch in batches:
-            for number, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for number, steps, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if number != now:
                     if now is not None:
                         yield done()
-                    now, once, twice = number, np.zeros(span, bool), np.zeros(span, bool)
-                place = np.cumsum(np.frombuffer(raw, np.uint32).astype(np.int64))
-                twice[place[once[place]]] = True
-                once[place] = True
+                    now, total = number, np.zeros(span, np.int64)
+                total[np.cumsum(np.frombuffer(steps, np.uint32).astype(np.int64))] += np.frombuffer(counts, np.uint32)
         if now is not None:
             yield done()
 
-    sent = docs.select("text").mapInArrow(send, "range int, places binary")
-    held = sent.repartition("range").sortWithinPartitions("range").mapInArrow(gather, "range int, bits binary")
-    met = np.zeros(bits // 8, np.uint8)
-    for number, raw in held.collect():  # a row per range, bits / 8 bytes in all
-        met[number * span // 8 : (number + 1) * span // 8] = np.frombuffer(raw, np.uint8)
+    sent = docs.select("text").mapInArrow(send, "range int, places binary, counts binary")
+    held = sent.repartition("range").sortWithinPartitions("range").mapInArrow(gather, "range int, levels binary")
+    met = np.zeros(places // 4, np.uint8)
+    for number, raw in held.collect():  # a row per range, places / 4 bytes in all
+        met[number * span // 4 : (number + 1) * span // 4] = np.frombuffer(raw, np.uint8)
     return met
 
 
