@@ -58,3 +58,13 @@ def test_stages_take_awkward_and_no_rows(spark, awkward, number):
 def test_run_is_all_stages(spark):
     got = corpus_pipeline.run(spark, FOLDER)
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() > 0
+
+
+def test_stages_take_any_extra_columns(spark, awkward):
+    """Columns with the names the stages use themselves come through unchanged."""
+    docs = awkward.withColumns({n: F.lit("kept") for n in ("score", "_found", "_mean", "_kept0", "text_hash", "region", "_score", "_hash")})
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        got = stage(spark, docs, FOLDER)
+        assert got.columns == docs.columns, name
+        assert {r["_found"] for r in got.select("_found").collect()} <= {"kept"}, name
+    assert corpus_pipeline.STAGES[4][1](spark, docs, FOLDER).count() == docs.count()

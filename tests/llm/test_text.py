@@ -269,3 +269,22 @@ def test_scores_of_awkward_rows(spark, awkward, no_documents, labelled, operator
     assert {r.score for r in operator.score(awkward, nothing, ["doc_id"]).collect()} == {0.0 if operator is toxicity else 0.5}
     empty = operator.train(no_documents, labels)
     assert all(0 <= r.score <= 1 for r in operator.score(awkward, empty, ["doc_id"]).collect())
+
+
+@pytest.mark.parametrize("kind", ["null ids", "one id", "one row"])
+def test_no_id_fills_a_shard(spark, kind):
+    """The law holds where ids are null or repeated, and where one row is repeated."""
+    rows = [(None if kind == "null ids" else 7, "same text" if kind == "one row" else f"text {i}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.shard_documents(docs, 16, scratch_path(spark, "map")).collect()
+    check_shards(docs, got, 16)
+    load = [sum(r["size"] for r in got if r.shard == s) for s in range(16)]
+    assert max(load) <= 1.05 * min(load) and len({(r.shard, r.slot) for r in got}) == 2000
+
+
+@pytest.mark.parametrize("operator", [toxicity, quality])
+def test_a_repeated_id_is_collected_once(spark, labelled, operator):
+    docs, labels = labelled
+    known = docs.join(labels, "doc_id").filter("quality = 1 or toxic = 1").select("doc_id", "text").limit(1)
+    more = docs.unionByName(spark.range(300).crossJoin(known).select("doc_id", "text"))
+    assert operator.score(more, operator.train(more, labels), ["doc_id"]).count() == docs.count() + 300

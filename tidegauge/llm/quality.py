@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.arrays import flat, slices, words
+from tidegauge.llm.names import held_aside
 from tidegauge.llm.toxicity import held_out
 
 #: The classifier is fitted on at most so many positives and so many unlabelled texts.
@@ -171,20 +172,24 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Networ
     web = docs.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct().orderBy(draw, "doc_id").limit(rows)
     chosen = positives.unionByName(web.select("doc_id", F.lit(0).alias("positive")))
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by the limits
-    found = _mapped(
+    described = _mapped(
         sample, ["doc_id", "positive"], "array<double>",
         lambda: lambda x: pa.ListArray.from_arrays(np.arange(0, x.size + 1, FEATURES, dtype=np.int32), pa.array(x.ravel())),
-    ).toPandas().sort_values(["doc_id", "positive"])
+    )
+    # Of repeated ids one row stays, so what is collected is bounded as well.
+    found = described.groupBy("doc_id", "positive").agg(F.max("_found").alias("_found")).toPandas().sort_values(["doc_id", "positive"])
     features = np.array(found["_found"].tolist()).reshape(-1, FEATURES)
     marks = found["positive"].to_numpy() == 1
     return fit(features[marks], features[~marks], float(share))
 
 
-def score(docs: DataFrame, model: Network, keep: list[str]) -> DataFrame:
-    """``keep`` and ``score``, 0 to 1, per row, from whole texts; a null text counts as empty.
+def score(docs: DataFrame, model: Network, keep: list[str], into: str = "score") -> DataFrame:
+    """``keep`` and ``into``, 0 to 1, per row, from whole texts; a null text counts as empty.
 
-    Without any label the score is 0.5, with labels of one class only it is the prior.
+    Without any label the score is 0.5, with labels of one class only it is the prior. ``keep`` may
+    have any names but ``into``.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    scored = _mapped(docs, keep, "double", lambda: lambda x: pa.array(shared.value.score(x)))
-    return scored.select(*keep, F.col("_found").alias("score"))
+    held, names = held_aside(docs, keep)
+    scored = _mapped(held, names, "double", lambda: lambda x: pa.array(shared.value.score(x)))
+    return scored.select(*[F.col(n).alias(k) for n, k in zip(names, keep, strict=True)], F.col("_found").alias(into))

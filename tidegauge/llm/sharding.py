@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from tidegauge.session import cut_lineage
 
 SLOTS = 4096
+#: Copies of a row that are numbered in one array.
+COPIES = 1 << 16
 
 
 def slot_of(*key: Column, slots: int = SLOTS) -> Column:
@@ -87,20 +89,25 @@ def shard_documents(docs: DataFrame, shards: int, folder: str, slots: int = SLOT
 
     Returns ``doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot``. ``size`` is the UTF-8 bytes of the
     text plus 1; a null text counts as empty. ``slot`` is the record's place in its shard, 0 to the shard's count - 1, by
-    virtual slot, then doc_id, checksum and size; equal rows share their places in any order. The law is ``bytes``, so
-    ``grown_shard`` is null. Rows with equal or null doc_id go to the same virtual slot. No rows give no rows. Other
-    columns are not read. Both map versions stay below ``folder``.
+    virtual slot, then doc_id, checksum, size and number of the copy. The law is ``bytes``, so
+    ``grown_shard`` is null. The virtual slot follows from the whole record and, for equal rows, the number of the
+    copy, so no id fills a slot. No rows give no rows. Other columns are not read. Both map versions stay below ``folder``.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
+    record = ("doc_id", "size", "text_crc32", "copy")
+    # Rows that are equal in all of these differ in their copy number only, so repeated rows and null ids spread over all slots.
     records = cut_lineage(
         docs.select(
             F.col("doc_id"),
             (F.octet_length(text).cast("long") + 1).alias("size"),
             F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
-            slot_of(F.col("doc_id"), slots=slots).alias("virtual_slot"),
         )
-    )
+        .groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn("first", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"), F.lit(COPIES).cast("long"))))
+        .withColumn("copy", F.explode(F.sequence("first", F.least("copies", F.col("first") + COPIES - 1))))
+        .select("doc_id", "size", "text_crc32", "copy", slot_of(*map(F.col, record), slots=slots).alias("virtual_slot"))
+    )
     totals = cut_lineage(slot_totals(records, slots).coalesce(1))
     table = SlotMap(spark, folder)
     table.create(shards, slots)
@@ -109,7 +116,7 @@ def shard_documents(docs: DataFrame, shards: int, folder: str, slots: int = SLOT
     placed = placed.select(
         "virtual_slot", "shard", F.coalesce(F.sum("records").over(before), F.lit(0)).alias("first")
     )
-    inside = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size")
+    inside = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size", "copy")
     return records.join(F.broadcast(placed), "virtual_slot").select(  # one row per virtual slot
         "doc_id",
         "size",

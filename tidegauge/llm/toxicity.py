@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.arrays import slices
+from tidegauge.llm.names import held_aside
 from tidegauge.session import cut_lineage
 
 ORDER = 6
@@ -365,23 +366,28 @@ def train(docs: DataFrame, labels: DataFrame, order: int = ORDER, places: int =
         model.shared = spark.sparkContext.broadcast((_collected(model.of_gram), _collected(model.of_context)))
     sample = usable.filter(calibrating()).orderBy(F.xxhash64("doc_id")).limit(CALIBRATION_ROWS)
     known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # bounded by the limit
-    rows = _described(known, ["doc_id", "toxic"], model).toPandas().sort_values("doc_id")
-    found, marks = rows[[f"_{name}" for name in Scorer.NAMES]].to_numpy(float), rows["toxic"].to_numpy(float)
+    features = [f"_{name}" for name in Scorer.NAMES]
+    # Of repeated ids one row stays, so what is collected is bounded as well.
+    single = _described(known, ["doc_id", "toxic"], model).groupBy("doc_id", "toxic").agg(F.max(F.struct(*features)).alias("found"))
+    rows = single.select("doc_id", "toxic", "found.*").toPandas().sort_values("doc_id")
+    found, marks = rows[features].to_numpy(float), rows["toxic"].to_numpy(float)
     model.curve = fit_curve(found, marks) if len(set(marks)) == 2 else None
     model.share = float(marks.mean()) if len(marks) else 0.0
     return model
 
 
-def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``keep`` and ``score``, 0 to 1, per row. Whole texts; a null text counts as empty.
+def score(docs: DataFrame, model: Model, keep: list[str], into: str = "score") -> DataFrame:
+    """``keep`` and ``into``, 0 to 1, per row. Whole texts; a null text counts as empty.
 
-    Without labels of both classes every row gets the share of toxic labels, 0 if there are none.
+    Without labels of both classes every row gets the share of toxic labels, 0 if there are none. ``keep`` may have any names
+    but ``into``.
     """
     if model.curve is None:
-        return docs.select(*keep, F.lit(model.share).alias("score"))
-    described = _described(docs, keep, model)
+        return docs.select(*keep, F.lit(model.share).alias(into))
+    held, names = held_aside(docs, keep)
+    described = _described(held, names, model)
     curve, z = model.curve, F.lit(float(model.curve.weights[0]))
     for name, middle, scale, weight in zip(Scorer.NAMES, curve.middle, curve.scale, curve.weights[1:], strict=True):
         standard = (F.col(f"_{name}") - float(middle)) / float(scale)
         z = z + F.greatest(F.least(standard, F.lit(8.0)), F.lit(-8.0)) * float(weight)
-    return described.select(*keep, (1 / (1 + F.exp(-z))).alias("score"))
+    return described.select(*[F.col(n).alias(k) for n, k in zip(names, keep, strict=True)], (1 / (1 + F.exp(-z))).alias(into))
