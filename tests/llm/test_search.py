@@ -63,10 +63,21 @@ def test_cover_tree_radii_cover():
     assert seen > 10
 
 
-def test_products_too_large_to_be_exact_fail(spark):
-    df = vectors(spark, [[1e30, 1.0, 0.0], [1e30, 2.0, 0.0]], [0, 20])
-    with pytest.raises(Exception, match="not exact"):
-        covertree.top_k(df, F.col("vec_id") % 20 == 0).collect()
+def test_products_of_any_size_are_exact(spark):
+    """Scores beyond 2^53 in whole numbers, beyond a long as its nearer end."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 3)).astype(np.float32)
+    x[::7] *= np.float32(1e6)
+    x[::11] *= np.float32(1e9)
+    x[5], x[20], x[40] = [1e30, 1, 0], [1e30, 2, 0], [-1e38, 0, 0]
+    x[60:80] = x[60]
+    whole = [[int(np.floor(64 * float(c))) for c in v] for v in x]
+    expected = []
+    for i in range(0, 300, 20):
+        scores = [(-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(whole[i], whole[j], strict=True)))), j) for j in range(300) if j != i]
+        expected += [(i, r + 1, j, -s) for r, (s, j) in enumerate(sorted(scores)[:20])]
+    got = covertree.top_k(vectors(spark, x), F.col("vec_id") % 20 == 0).select("query_id", "rank", "vec_id", "score")
+    assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
 
 
 def test_neighbours_recall_and_scores(spark, monkeypatch):

@@ -124,8 +124,63 @@ def dual_tree(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data
 
 
 def whole(vector: Column, scale: int = 64) -> Column:
-    """``floor(scale * x)`` of every component, as doubles."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("double"))
+    """``floor(scale * x)`` of every component, as doubles; from 2^52 on a double is whole already."""
+
+    def floor(x: Column) -> Column:
+        scaled = x.cast("double") * scale
+        return F.when(F.abs(scaled) < 2.0**52, F.floor(scaled).cast("double")).otherwise(scaled)
+
+    return F.transform(vector, floor)
+
+
+#: The ends of a long; scores beyond are given, and ranked, as the nearer end.
+_LONGS = (-(1 << 63), (1 << 63) - 1)
+
+
+def exact_top(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_ids: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
+    """Per query the ``(-score, id)`` of the ``k`` best data rows of another id, in whole numbers of any size.
+
+    Products in double precision and a bound on their rounding leave out what cannot be among the best; the rest is multiplied exactly.
+    """
+    with np.errstate(all="ignore"):
+        rough = queries @ data.T
+        slack = (queries.shape[1] + 4) * 2.0**-52 * np.sqrt((queries**2).sum(1))[:, None] * np.sqrt((data**2).sum(1))
+        low, high = np.nan_to_num(rough - slack, nan=-np.inf, neginf=-np.inf), np.nan_to_num(rough + slack, nan=np.inf, posinf=np.inf)
+    whole_data: dict[int, list[int]] = {}
+    found = []
+    for i, query in enumerate(queries):
+        others = np.flatnonzero(data_ids != query_ids[i])
+        if len(others) > k:
+            least = np.partition(low[i, others], len(others) - k)[len(others) - k]
+            # Scores beyond a long tie, so all that may reach its end stay.
+            least = min(least, 2.0**62) if least > -(2.0**62) else -np.inf
+            others = others[high[i, others] >= least]
+        own, best = [int(c) for c in query], []
+        for j in others.tolist():
+            row = whole_data.get(j) or whole_data.setdefault(j, [int(c) for c in data[j]])
+            score = sum(a * b for a, b in zip(own, row, strict=True))
+            best.append((-max(_LONGS[0], min(_LONGS[1], score)), int(data_ids[j])))
+        found.append(sorted(best)[:k])
+    return found
+
+
+def block_top(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_ids: np.ndarray, k: int) -> list[list[tuple[int, int]]]:
+    """Per query the ``(-score, id)`` of its ``k`` best rows: trees where products are exact in doubles, :func:`exact_top` for rows too large for that."""
+    limit = np.sqrt(2.0**53 / queries.shape[1])
+    tame_q, tame_d = np.abs(queries).max(1) < limit, np.abs(data).max(1) < limit
+    if np.abs(queries).max() * np.abs(data).max() * queries.shape[1] < 2.0**53:
+        tame_q[:], tame_d[:] = True, True
+    found: list[list[tuple[int, int]]] = [[] for _ in queries]
+    if tame_q.any() and tame_d.any():
+        scores, ids = dual_tree(queries[tame_q], query_ids[tame_q], data[tame_d], data_ids[tame_d], k)
+        for i, s, own in zip(np.flatnonzero(tame_q), scores, ids, strict=True):
+            fine = np.isfinite(s)
+            found[i] += zip((-s[fine]).astype(np.int64).tolist(), own[fine].tolist(), strict=True)
+    for asks, rows in ((tame_q, ~tame_d), (~tame_q, np.ones(len(data), bool))):
+        if asks.any() and rows.any():
+            for i, best in zip(np.flatnonzero(asks), exact_top(queries[asks], query_ids[asks], data[rows], data_ids[rows], k), strict=True):
+                found[i] += best
+    return [sorted(best)[:k] for best in found]
 
 
 def usable(vector: Column) -> Column:
@@ -139,8 +194,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, key: str = "vec_id",
 
     Scores are inner products of ``floor(64 x)``, whole numbers, equal scores in order of vec_id. Rows with a null id, a null
     or empty vector or a component that is null or not finite take no part; vectors of other lengths are no candidates. Rows
-    that repeat a query's id count as its own; a query row that is repeated is answered once. Products of 2^53 or more
-    fail the task, for they are not exact. Each query block meets each data block once; blocks have a fixed number of
+    that repeat a query's id count as its own; a query row that is repeated is answered once. Scores are exact for
+    components of any size; those beyond a long are given, and ranked, as the nearer end of a long. Each query block meets each data block once; blocks have a fixed number of
     rows on average, so a task's memory doesn't grow with the tables.
     """
     kept = cut_lineage(
@@ -165,12 +220,9 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20, key: str = "vec_id",
             return empty
         left, right = left.sort_values("id"), right.sort_values("id")
         q, x = np.stack(left["v"].to_list()), np.stack(right["v"].to_list())
-        if np.abs(q).max() * np.abs(x).max() * q.shape[1] >= 2.0**53:
-            raise OverflowError("inner products of these vectors are not exact in double precision")
         ids = left["id"].to_numpy()
-        scores, found = dual_tree(q, ids, x, right["id"].to_numpy(), k)
-        fine = np.isfinite(scores)
-        return pd.DataFrame({"query_id": np.repeat(ids, fine.sum(1)), "vec_id": found[fine], "score": scores[fine].astype(np.int64)})
+        rows = [(i, j, -s) for i, best in zip(ids.tolist(), block_top(q, ids, x, right["id"].to_numpy(), k), strict=True) for s, j in best]
+        return pd.DataFrame(rows, columns=list(empty.columns)).astype("int64") if rows else empty
 
     cell = ["length", "q", "d"]
     best = asked.groupBy(*cell).cogroup(data.groupBy(*cell)).applyInPandas(search, "query_id long, vec_id long, score long")
