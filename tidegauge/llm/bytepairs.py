@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.arrays import slices
+from tidegauge.llm.workers import release
 
 STATES, PAIRS = 30_000, 400_000
 MEMO = 300_000
@@ -360,11 +361,15 @@ def _mapped(rows: DataFrame, key: str, value: str, outputs: str, make, work) ->
     names = [field.split()[0] for field in outputs.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         gc.disable()  # the tables hold no cycles, and walking them again and again costs more than encoding
-        machine = make()
-        for batch in batches:
-            for part in slices(batch, 1):
-                yield pa.RecordBatch.from_arrays([part.column(0), *work(machine, part.column(1).to_pylist())], ["key", *names])
+        try:
+            machine = make()
+            for batch in batches:
+                for part in slices(batch, 1):
+                    yield pa.RecordBatch.from_arrays([part.column(0), *work(machine, part.column(1).to_pylist())], ["key", *names])
+        finally:
+            gc.enable()
 
     kind = rows.schema[key].dataType.simpleString()
     named = rows.select(F.col(key).alias("key"), F.col(value).alias("value"))

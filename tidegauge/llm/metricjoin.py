@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.arrays import mix, shingle_sets, slices
 from tidegauge.llm.components import components
+from tidegauge.llm.workers import release
 from tidegauge.session import cut_lineage, delete_folder, scratch_path
 
 #: Rows that one task joins; pivots a large region is split by; width of the size rings.
@@ -118,6 +119,7 @@ def met_shingles(docs: DataFrame, width: int, places: int = PLACES) -> np.ndarra
     span = places // RANGES
 
     def send(batches):
+        release()
         for batch in batches:
             for part in slices(batch, 0, 6 << 20):
                 found = mix(np.concatenate([*shingle_sets(part.column(0), width), np.zeros(0, np.uint64)]))

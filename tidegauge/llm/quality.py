@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tidegauge.llm.arrays import flat, slices, words
 from tidegauge.llm.names import held_aside
 from tidegauge.llm.toxicity import held_out
+from tidegauge.llm.workers import release
 
 #: The classifier is fitted on at most so many positives and so many unlabelled texts.
 SAMPLE_ROWS = 20_000
@@ -143,9 +144,10 @@ def _mapped(docs: DataFrame, keep: list[str], schema: str, make) -> DataFrame:
     fields = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         work = make()
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, 1 << 20):
                 columns = [part.column(i) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*columns, work(describe(part.column(text)))], [*keep, "_found"])
 

@@ -9,10 +9,13 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _sent: set[str] = set()
+#: Most bytes of rows handed to a Python worker at once, so that long texts don't fill its memory.
+BATCH_BYTES = 8 << 20
 
 
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package's source to the executors, once per application, as any job sends its Python files."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     application = spark.sparkContext.applicationId
     if application not in _sent:
         package = Path(__file__).resolve().parents[1]

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.arrays import slices
 from tidegauge.llm.names import held_aside
+from tidegauge.llm.workers import kept, release
 from tidegauge.session import cut_lineage
 
 ORDER = 6
@@ -223,14 +224,12 @@ class Scorer:
         return [total / length, *top, steepest]
 
 
-#: The last scorer of this Python worker and the tables it was made of; later tasks of the worker go on with the words it knows.
-_kept: list = []
-
-
 def _scorer(tables_: tuple[Ratios, Ratios], order: int) -> Scorer:
-    if not _kept or _kept[0] is not tables_ or _kept[1].order != order:
-        _kept[:] = [tables_, Scorer(*tables_, order)]
-    return _kept[1]
+    """The worker's scorer for these tables; later tasks of the worker go on with the words it knows."""
+    if (scorer := kept(tables_, lambda: Scorer(*tables_, order))).order != order:
+        release()
+        scorer = kept(tables_, lambda: Scorer(*tables_, order))
+    return scorer
 
 
 @dataclass
