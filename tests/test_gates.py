@@ -15,6 +15,7 @@ from tidegauge.operators.rules import Rule, rule_timestamps_due
 from tidegauge.plans import gates as G
 from tidegauge.plans.kpi import kpi_at_granularities
 from tidegauge.plans.spec import SourceLink
+from tidegauge.session import TASK_BYTES, bound_tasks
 
 T0 = datetime(2024, 1, 1)
 MODIFIED = "part string, timestamp timestamp_ntz, first timestamp_ntz, last timestamp_ntz"
@@ -74,6 +75,36 @@ def test_kpis_of_all_granularities_take_one_scan(spark, tmp_path):
     assert got["1month", 1, datetime(2024, 2, 1)] == sum(range(1, 32)) + 2
 
 
+def test_partitions_follow_the_bytes_of_a_shuffle(spark):
+    partitions, initial = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    names = (partitions, initial, *TASK_BYTES)
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        bound_tasks(spark)
+        wide = spark.range(400_000).select("id", *[F.rand(seed).alias(f"v{seed}") for seed in range(4)])
+        sums = wide.groupBy("id").agg(*[F.sum(f"v{seed}") for seed in range(4)])
+        assert spark.conf.get(partitions) == before[partitions] and sums.rdd.getNumPartitions() > int(before[partitions])
+        spark.conf.set(partitions, "2000")
+        assert bound_tasks(spark).conf.get(initial) == "2000"
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_registered_queries_have_bounded_tasks(spark):
+    from workload.catalog import QUERIES
+
+    names = list(TASK_BYTES)
+    before = {name: spark.conf.get(name, None) for name in (*names, "spark.sql.adaptive.coalescePartitions.initialPartitionNum")}
+    try:
+        spark.conf.set(names[0], "128m")
+        QUERIES["kpi_multi_granularity"](spark, "/root/testdata/sf0.001")
+        assert {name: spark.conf.get(name) for name in names} == TASK_BYTES
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_a_label_that_a_part_has_no_record_at_has_no_kpi(spark):
     schema = "entity_id int, timestamp timestamp_ntz"
     x = spark.createDataFrame([(1, T0, 1), (1, T0 + timedelta(days=1), 2)], f"{schema}, x bigint")

@@ -24,6 +24,12 @@ RUNTIME_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# A task's share of files and of a shuffle is a number of bytes, so the memory of its groupings doesn't grow with the tables.
+TASK_BYTES = {"spark.sql.files.maxPartitionBytes": "16m", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
+# Partitions a shuffle starts with at least, before AQE puts small ones together.
+INITIAL_PARTITIONS = 1000
+_INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings; joins are left to Catalyst's size-checked choice."""
@@ -32,6 +38,15 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bound_tasks(spark: SparkSession) -> SparkSession:
+    """Let the number of tasks follow the bytes read and shuffled, instead of the bytes of a task follow the tables."""
+    for name, value in TASK_BYTES.items():
+        spark.conf.set(name, value)
+    given = (spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get(_INITIAL, None) or 0)
+    spark.conf.set(_INITIAL, str(max(INITIAL_PARTITIONS, *map(int, given))))
+    return spark
+
+
 def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the bench."""
     spark = (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegauge.session import configure
+from tidegauge.session import bound_tasks, configure
 from workload.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,7 +20,7 @@ def query(sql: str | None = None):
     def register(build: Callable[[Tables], DataFrame]):
         @functools.wraps(build)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(Tables(configure(spark), sf_dir))
+            return build(Tables(bound_tasks(configure(spark)), sf_dir))
 
         if build.__name__ in QUERIES:
             raise ValueError(f"query {build.__name__} is registered twice")
