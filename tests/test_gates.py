@@ -75,6 +75,19 @@ def test_kpis_of_all_granularities_take_one_scan(spark, tmp_path):
     assert got["1month", 1, datetime(2024, 2, 1)] == sum(range(1, 32)) + 2
 
 
+def test_parts_of_one_table_are_derived_from_it_once(spark):
+    from workload.catalog import QUERIES
+
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = {name: spark.conf.get(name, None) for name in (initial, *TASK_BYTES)}
+    try:
+        kpi = QUERIES["kpi_aggregated_parts"](spark, "/root/testdata/sf0.001")
+        assert not any("lineitem" in name for name in kpi.inputFiles())
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_partitions_follow_the_bytes_of_a_shuffle(spark):
     partitions, initial = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     names = (partitions, initial, *TASK_BYTES)
