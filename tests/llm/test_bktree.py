@@ -9,7 +9,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidegauge.llm import bktree
+from tidegauge.llm import bktree, components
+from tidegauge.session import cut_lineage
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -134,3 +135,23 @@ def test_whole_table_against_loops(spark):
     rows = [(r.doc_id, plain_print(r.text)) for r in docs.collect()]
     want = {(i, f"{p:016x}", c) for (i, p), c in zip(rows, plain_components(rows, 2), strict=True)}
     assert {tuple(r) for r in bktree.near_copies(docs).collect()} == want
+
+
+def test_links_of_a_shard_are_a_star(spark):
+    """A chain of 40 fingerprints in one shard: every one is linked with the smallest, so components need no walk along the chain."""
+    values = sorted((1 << i) - 1 for i in range(40))
+    shard = spark.createDataFrame([(0, 0, values)], "mask long, value long, prints array<long>")
+    got = {tuple(r) for r in bktree.links(bktree.trees(shard), 2).collect()}
+    assert got == {(v, 0) for v in values[1:]}
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    """Edges that are stars already are written once; others take rounds, whichever way they are given."""
+    written = []
+    monkeypatch.setattr(components, "cut_lineage", lambda df: written.append(1) or cut_lineage(df))
+    stars = spark.createDataFrame([(5, 1), (1, 7), (5, 1), (3, 3), (9, 8)], "a long, b long")
+    assert sorted(tuple(r) for r in components.components(stars).collect()) == [(1, 1), (5, 1), (7, 1), (8, 8), (9, 8)]
+    assert len(written) == 1
+    chain = spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long")
+    assert {tuple(r) for r in components.components(chain).collect()} == {(i, 0) for i in range(51)}
+    assert components.components(stars.limit(0)).collect() == []

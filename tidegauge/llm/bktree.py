@@ -7,8 +7,7 @@ are at most 2 ** v, so that ends, whatever the table holds.
 
 Each shard has a BK-tree: a node's children hang on edges named by their Hamming distance to it, and as that distance is a
 metric, a search follows only edges within the radius of the query's own distance. Trees are a table with one bounded row per
-shard. They meet the fingerprints that look for partners in a join by shard, for which Spark broadcasts the trees as long as their
-size is below the session's threshold and shuffles both sides beyond it.
+shard. A shard's fingerprints are the nodes of its tree, so each of them looks for partners where the tree lies.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.arrays import slices
 from tidegauge.llm.components import components
-from tidegauge.session import cut_lineage, delete_folder, scratch_path, written_once
+from tidegauge.session import cut_lineage, delete_folder, scratch_path
 
 #: Fingerprints of a shard: as many as are aimed at, and as many as it may hold.
 AIM, MOST = 128, 1024
@@ -112,54 +111,66 @@ def _unsigned(prints: list[int]) -> list[int]:
     return [p & 0xFFFFFFFFFFFFFFFF for p in prints]
 
 
+def _masks(mask: int, n: int, ones: list[int], radius: int, aim: int) -> list[int]:
+    """The masks a large shard of ``n`` fingerprints is dealt by, from how many of them have each bit."""
+    varying = sorted((abs(2 * int(count) - n), bit) for bit, count in enumerate(ones) if 0 < count < n)
+    size = min(math.ceil(math.log2(n / aim)), len(varying) // (radius + 1))
+    masks = []
+    for group in range(radius + 1):
+        own = mask & 0xFFFFFFFFFFFFFFFF
+        for _, bit in varying[group : size * (radius + 1) : radius + 1]:
+            own |= 1 << bit
+        masks.append(own - (own >> 63 << 64))
+    return masks
+
+
 def _groups(radius: int, aim: int):
-    """``mask, value, masks``: the groups of bits a large shard (``mask, value, n, ones``) is dealt by."""
+    """``mask, value, masks`` of large shards (``mask, value, n, ones``)."""
 
     def run(frames):
         for frame in frames:
-            found = []
-            for mask, value, n, ones in zip(frame["mask"], frame["value"], frame["n"], frame["ones"], strict=True):
-                varying = sorted((abs(2 * int(count) - n), bit) for bit, count in enumerate(ones) if 0 < count < n)
-                size = min(math.ceil(math.log2(n / aim)), len(varying) // (radius + 1))
-                masks = []
-                for group in range(radius + 1):
-                    own = mask & 0xFFFFFFFFFFFFFFFF
-                    for _, bit in varying[group : size * (radius + 1) : radius + 1]:
-                        own |= 1 << bit
-                    masks.append(own - (own >> 63 << 64))
-                found.append((mask, value, masks))
+            shards_ = zip(frame["mask"], frame["value"], frame["n"], frame["ones"], strict=True)
+            found = [(mask, value, _masks(mask, n, ones, radius, aim)) for mask, value, n, ones in shards_]
             yield pd.DataFrame(found, columns=["mask", "value", "masks"])
 
     return run
 
 
 def shards(prints: DataFrame, radius: int, aim: int = AIM, most: int = MOST) -> DataFrame:
-    """``mask, value, prints``: for every two of the distinct fingerprints ``print`` within ``radius`` a shard that has both.
+    """``mask, value, prints``, written: for every two of the distinct fingerprints ``print`` within ``radius`` a shard that has both.
 
     A shard holds the fingerprints that equal ``value`` in the bits of ``mask``, ``most`` or fewer. Shards of one are left out.
     ``most`` must be at least ``2 ** (radius + 1)``, so that a larger shard has a varying bit for each group.
+
+    The first shard is the whole table: it is dealt by two sums without a shuffle, those below it by joins. ``prints`` is read several times.
     """
-    spark, shard, done = prints.sparkSession, ["mask", "value"], []
-    zero = F.lit(0).cast("long")
-    path = scratch_path(spark, "level")
-    prints.select(zero.alias("mask"), zero.alias("value"), "print").write.parquet(path)
+    spark, shard, done, path = prints.sparkSession, ["mask", "value"], [], None
+    counted = F.count(F.lit(1)).alias("n")
+    ones = F.array(*[F.sum(F.shiftrightunsigned("print", bit).bitwiseAND(F.lit(1))) for bit in range(64)]).alias("ones")
+
+    def dealt_by(rows: DataFrame) -> DataFrame:
+        return rows.select("mask", F.col("print").bitwiseAND(F.col("mask")).alias("value"), "print")
+
+    whole = prints.agg(counted, ones).first()
+    masks = _masks(0, whole["n"], whole["ones"], radius, aim) if whole["n"] > most else [0]
+    rows = dealt_by(prints.select(F.explode(F.array(*[F.lit(mask).cast("long") for mask in masks])).alias("mask"), "print"))
     while True:
-        rows = spark.read.schema("mask long, value long, print long").parquet(path)
-        sizes = rows.groupBy(*shard).agg(F.count(F.lit(1)).alias("n"))
-        large = cut_lineage(sizes.filter(F.col("n") > most))
-        small = rows.join(large, shard, "left_anti").groupBy(*shard).agg(F.collect_list("print").alias("prints"))
-        done.append(cut_lineage(small.filter(F.size("prints") > 1)))
-        if large.isEmpty():
+        sizes, small, deeper = rows.groupBy(*shard).agg(counted), rows, None
+        if split := (sizes.agg(F.max("n")).first()[0] or 0) > most:
+            large = cut_lineage(sizes.filter(F.col("n") > most).select(*shard))
+            small = rows.join(large, shard, "left_anti")
+        collected = small.groupBy(*shard).agg(F.collect_list("print").alias("prints"))
+        done.append(cut_lineage(collected.filter(F.size("prints") > 1)))
+        if split:
+            known = rows.join(large, shard).groupBy(*shard).agg(counted, ones)
+            dealt = cut_lineage(known.mapInPandas(_groups(radius, aim), "mask long, value long, masks array<long>"))
+            deeper = scratch_path(spark, "level")
+            dealt_by(rows.join(dealt, shard).select(F.explode("masks").alias("mask"), "print")).distinct().write.parquet(deeper)
+        if path:
             delete_folder(spark, path)
+        if not deeper:
             break
-        ones = F.array(*[F.sum(F.shiftrightunsigned("print", bit).bitwiseAND(F.lit(1))) for bit in range(64)])
-        known = rows.join(large, shard).groupBy(*shard).agg(F.count(F.lit(1)).alias("n"), ones.alias("ones"))
-        dealt = cut_lineage(known.mapInPandas(_groups(radius, aim), "mask long, value long, masks array<long>"))
-        deeper = rows.join(dealt, shard).select(F.explode("masks").alias("mask"), "print")
-        after = scratch_path(spark, "level")
-        deeper.select("mask", F.col("print").bitwiseAND(F.col("mask")).alias("value"), "print").distinct().write.parquet(after)
-        delete_folder(spark, path)
-        path = after
+        path, rows = deeper, spark.read.schema("mask long, value long, print long").parquet(deeper)
     found = done[0]
     for level in done[1:]:
         found = found.unionByName(level)
@@ -192,14 +203,14 @@ def trees(shards_: DataFrame) -> DataFrame:
     )
 
 
-def links(shards_: DataFrame, trees_: DataFrame, radius: int) -> DataFrame:
-    """``a, b``: fingerprints within ``radius``, as many pairs as connect what the shards connect, fewer than a shard has rows."""
+def links(trees_: DataFrame, radius: int) -> DataFrame:
+    """``a, b``: each fingerprint with the smallest that steps within ``radius`` connect it with inside a shard, so fewer than a shard has rows."""
 
     def run(batches):
         for batch in batches:
             a, b = [], []
-            for prints, *parts in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                tree = Tree(_unsigned(parts[0]), parts[1], parts[2])
+            for nodes, parents, edges in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                tree = Tree(_unsigned(nodes), parents, edges)
                 leader = list(range(len(tree.prints)))
 
                 def first(node: int, leader: list[int] = leader) -> int:
@@ -207,19 +218,22 @@ def links(shards_: DataFrame, trees_: DataFrame, radius: int) -> DataFrame:
                         leader[node] = node = leader[leader[node]]
                     return node
 
-                place = {print_: node for node, print_ in enumerate(tree.prints)}
-                for print_ in _unsigned(prints):
-                    own = place[print_]
+                for own, print_ in enumerate(tree.prints):
                     for node in tree.within(print_, radius):
                         x, y = first(own), first(node)
                         if x != y:
                             leader[x] = y
-                            a.append(print_)
-                            b.append(tree.prints[node])
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.uint64).view(np.int64)) for x in (a, b)], ["a", "b"])
+                least: dict[int, int] = {}
+                for node, print_ in enumerate(nodes):
+                    root = first(node)
+                    least[root] = min(print_, least.get(root, print_))
+                for node, print_ in enumerate(nodes):
+                    if print_ != (smallest := least[first(node)]):
+                        a.append(print_)
+                        b.append(smallest)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b)], ["a", "b"])
 
-    met = shards_.join(trees_, ["mask", "value"]).select("prints", "nodes", "parents", "edges")
-    return met.mapInArrow(run, "a long, b long")
+    return trees_.select("nodes", "parents", "edges").mapInArrow(run, "a long, b long")
 
 
 def near_copies(docs: DataFrame, radius: int = 2, width: int = 3) -> DataFrame:
@@ -232,12 +246,11 @@ def near_copies(docs: DataFrame, radius: int = 2, width: int = 3) -> DataFrame:
 
     After one pass over the texts only fingerprints travel: distinct ones to the trees, a row per document at the end.
     """
-    with written_once(fingerprints(docs, width)) as own:
-        firsts = cut_lineage(own.groupBy("print").agg(F.min("doc_id").alias("doc_id")))
-        dealt = cut_lineage(shards(firsts.select("print"), radius))
-        linked = components(links(dealt, cut_lineage(trees(dealt)), radius)).withColumnRenamed("node", "print")
-        named = firsts.join(linked, "print", "left").select("print", "doc_id", F.coalesce("component", "print").alias("group"))
-        least = named.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-        ids = named.select("print", "group").join(least, "group").select("print", "component_id")
-        digits = F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint")
-        return cut_lineage(own.join(ids, "print").select("doc_id", digits, "component_id"))
+    own = cut_lineage(fingerprints(docs, width))
+    distinct = cut_lineage(own.select("print").distinct())
+    found = cut_lineage(trees(shards(distinct, radius)))
+    linked = components(links(found, radius)).withColumnRenamed("node", "print")
+    named = own.join(linked, "print", "left").select("doc_id", "print", F.coalesce("component", "print").alias("group"))
+    least = named.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    digits = F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint")
+    return named.join(least, "group").select("doc_id", digits, "component_id")
