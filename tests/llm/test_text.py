@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -12,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 
 from tidegauge.llm import bytepairs, mixing, quality, sharding, toxicity
@@ -288,3 +290,51 @@ def test_a_repeated_id_is_collected_once(spark, labelled, operator):
     known = docs.join(labels, "doc_id").filter("quality = 1 or toxic = 1").select("doc_id", "text").limit(1)
     more = docs.unionByName(spark.range(300).crossJoin(known).select("doc_id", "text"))
     assert operator.score(more, operator.train(more, labels), ["doc_id"]).count() == docs.count() + 300
+
+
+def test_toxicity_of_texts_together_is_that_of_each_alone():
+    """Values of a batch come from the same tables as a plain loop's, whatever is remembered and however n-grams share places."""
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdé🙂") for _ in range(rng.randrange(1, 9))) for _ in range(300)]
+    known = sorted({g for w in words[:200] for g in toxicity.grams(w)})
+    contexts = sorted({g[:-1] for w in words[:250] for g in toxicity.grams(w)})
+
+    def held(keys):
+        tags = np.array([xxhash.xxh64_intdigest(k.encode(), 42) for k in keys], np.uint64).view(np.int64)
+        order = np.argsort(tags % 50, kind="stable")
+        values = np.array([rng.gauss(0, 1) for _ in keys], np.float32)
+        return dict(zip(keys, values.tolist(), strict=True)), toxicity.Ratios(np.searchsorted(tags[order] % 50, np.arange(51)).astype(np.int32), tags[order], values[order])
+
+    (grams, of_gram), (backs, of_context) = held(known), held(contexts)
+
+    def plain(text):
+        found = []
+        for word, n in Counter((text or "").lower().split()).items():
+            value = 0.0
+            for g in toxicity.grams(word):
+                value += grams.get(g, backs.get(g[:-1], 0.0))
+            found.append((value, n, len(word) + 1))
+        if not found:
+            return [0.0] * 5
+        top = sorted((v for v, _, _ in found), reverse=True)[:3]
+        mean = sum(n * v for v, n, _ in found) / sum(n * s for _, n, s in found)
+        return [mean, *top, *[min(0.0, top[-1])] * (3 - len(top)), max(v / s for v, _, s in found)]
+
+    texts = [None, "", " ", words[0], "x" * 300_000, *[" ".join(rng.choice(words) for _ in range(rng.randrange(1, 60))) for _ in range(50)]]
+    scorer = toxicity.Scorer(of_gram, of_context)
+    for _ in range(2):
+        assert scorer.describe(texts) == pytest.approx(np.array([plain(t) for t in texts]), rel=1e-12)
+    assert scorer.describe([]).shape == (0, 5)
+    assert (scorer.describe(texts) == np.concatenate([toxicity.Scorer(of_gram, of_context).describe([t]) for t in texts])).all()
+
+
+def test_counting_ngrams_takes_little_memory():
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abcdefghijklmnopqrst") for _ in range(7)) for _ in range(500)) for _ in range(40)]
+    tracemalloc.start()
+    counts = toxicity._count(texts, [i % 2 for i in range(40)], 6)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 230 * len(counts)
+    want = Counter((g, i % 2) for i, t in enumerate(texts) for w in t.split() for g in toxicity.grams(w))
+    assert counts == {g: want[g, 0] + (want[g, 1] << 40) for g, _ in want}

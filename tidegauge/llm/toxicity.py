@@ -37,7 +37,9 @@ LABELS = 4_000_000
 #: At most so many labelled texts fit the logistic curve.
 CALIBRATION_ROWS = 20_000
 _PAD = "\x02"
-_MEMO = 250_000
+_MEMO = 1 << 17
+_WIDE = 40  # a batch has fewer n-grams than so many bits can count
+_TOGETHER = 1 << 17  # n-grams looked up at once
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -55,28 +57,31 @@ def grams(word: str, order: int = ORDER) -> list[str]:
     return [padded[i : i + order] for i in range(len(word) + 1)]
 
 
+def _count(texts: list[str | None], marks: list[int], order: int) -> dict[str, int]:
+    """How often each n-gram is in toxic texts, ``_WIDE`` bits up, and in ordinary ones, below: one number takes a third of a pair's memory."""
+    words: tuple[Counter, Counter] = (Counter(), Counter())
+    for text, toxic in zip(texts, marks, strict=True):
+        words[toxic].update((text or "").lower().split())
+    counts: dict[str, int] = {}
+    for toxic, seen in enumerate(words):
+        while seen:  # words go as their n-grams come
+            word, n = seen.popitem()
+            n <<= _WIDE * toxic
+            for gram in grams(word, order):
+                counts[gram] = counts.get(gram, 0) + n
+    return counts
+
+
 def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
     """``gram, toxic, ordinary`` from ``text, toxic``: counts over all words of all texts, in lower case."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 0, 16 << 20):
-                words: tuple[Counter, Counter] = (Counter(), Counter())
-                for text, toxic in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    words[toxic].update((text or "").lower().split())
-                counts: dict[str, list[int]] = {}
-                for toxic, seen in enumerate(words):
-                    for word, n in seen.items():
-                        for gram in grams(word, order):
-                            if gram in counts:
-                                counts[gram][toxic] += n
-                            else:
-                                counts[gram] = [n, 0] if toxic == 0 else [0, n]
-                both = list(counts.values())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(counts), pa.string()), pa.array([b[1] for b in both], pa.int64()), pa.array([b[0] for b in both], pa.int64())],
-                    ["gram", "toxic", "ordinary"],
-                )
+                counts = _count(part.column(0).to_pylist(), part.column(1).to_pylist(), order)
+                toxic, ordinary = [n >> _WIDE for n in counts.values()], [n & (1 << _WIDE) - 1 for n in counts.values()]
+                columns = [pa.array(counts, pa.string()), pa.array(toxic, pa.int64()), pa.array(ordinary, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["gram", "toxic", "ordinary"])
 
     partial = texts.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(
         run, "gram string, toxic long, ordinary long"
@@ -159,69 +164,76 @@ def _collected(ratios: DataFrame) -> Ratios:
     return Ratios(np.searchsorted(tags % size, np.arange(size + 1)).astype(np.int32), tags, values)
 
 
-def _signed(hashed: int) -> int:
-    return hashed - (1 << 64) if hashed >> 63 else hashed
-
-
 class Scorer:
-    """Describes texts by the two tables; remembers short words, twice ``_MEMO`` at most."""
+    """Describes texts by the two tables, those of a batch together; remembers short words, twice ``_MEMO`` and a batch's at most."""
 
     NAMES = ("mean", "first", "second", "third", "steepest")
 
     def __init__(self, of_gram: Ratios, of_context: Ratios, order: int = ORDER):
-        # Single entries of a memory view come out as plain numbers, several times faster than those of an array.
-        self.table, self.context_table = (tuple(map(memoryview, (t.heads, t.tags, t.values))) for t in (of_gram, of_context))
-        self.order = order
+        self.table, self.context_table, self.order = of_gram, of_context, order
         self.known: dict[str, float] = {}
         self.before: dict[str, float] = {}
 
     @staticmethod
-    def _find(table: tuple[memoryview, memoryview, memoryview], gram: str) -> float | None:
-        heads, tags, values = table
-        tag = _signed(xxhash.xxh64_intdigest(gram.encode(), 42))
-        place = tag % (len(heads) - 1)
-        for i in range(heads[place], heads[place + 1]):
-            if tags[i] == tag:
-                return values[i]
-        return None
-
-    def ratio(self, word: str) -> float:
-        """The log ratio of a whole word."""
-        total = 0.0
-        for gram in grams(word, self.order):
-            found = self._find(self.table, gram)
-            if found is None:
-                found = self._find(self.context_table, gram[:-1])
-            if found is not None:
-                total += found
+    def _find(table: Ratios, grams_: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The value of each n-gram, and which are in the table."""
+        digest = xxhash.xxh64_intdigest
+        tags = np.array([digest(gram.encode(), 42) for gram in grams_], np.uint64).view(np.int64)
+        place = tags % (len(table.heads) - 1)
+        at, end = table.heads[place], table.heads[place + 1]
+        found, known = np.zeros(len(tags)), np.zeros(len(tags), bool)
+        rest = np.flatnonzero(at < end)
+        while len(rest):
+            hit = table.tags[at[rest]] == tags[rest]
+            known[rest[hit]] = True
+            found[rest[hit]] = table.values[at[rest[hit]]]
+            rest = rest[~hit]
+            at[rest] += 1
+            rest = rest[at[rest] < end[rest]]
+        return found, known
+
+    def ratios(self, words: list[str]) -> np.ndarray:
+        """The log ratios of whole words."""
+        total = np.zeros(len(words))
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        ends = np.flatnonzero(np.diff(np.cumsum(sizes) // _TOGETHER, prepend=0)) + 1
+        first = 0
+        for last in (*ends.tolist(), len(words)):
+            if last > first:
+                found_in = [gram for word in words[first:last] for gram in grams(word, self.order)]
+                value, known = self._find(self.table, found_in)
+                unseen = np.flatnonzero(~known)
+                value[unseen] = self._find(self.context_table, [found_in[i][:-1] for i in unseen.tolist()])[0]
+                # Sums from left to right, so that a word's ratio doesn't depend on its neighbours.
+                total[first:last] = np.bincount(np.repeat(np.arange(last - first), sizes[first:last]), value, last - first)
+                first = last
         return total
 
-    def describe(self, text: str | None) -> list[float]:
-        """Mean log ratio per character, the three strongest words, and the strongest per character; zeros if empty."""
-        found, total, length, known = [], 0.0, 0, self.known
-        steepest = -np.inf
-        for word, n in Counter((text or "").lower().split()).items():
-            value = known.get(word)
-            if value is None:
-                value = self.before.get(word)
-                if value is None:
-                    value = self.ratio(word)
-                if len(word) <= 32:
-                    if len(known) >= _MEMO:  # what is still in use comes over from the older half
-                        self.before, known = known, {}
-                        self.known = known
-                    known[word] = value
-            size = len(word) + 1
-            total += n * value
-            length += n * size
-            found.append(value)
-            if value > steepest * size:
-                steepest = value / size
-        if not found:
-            return [0.0] * len(self.NAMES)
-        top = sorted(found, reverse=True)[:3]
-        top += [min(0.0, top[-1])] * (3 - len(top))
-        return [total / length, *top, steepest]
+    def describe(self, texts: list[str | None]) -> np.ndarray:
+        """A row per text: mean log ratio per character, the three strongest words, and the strongest per character; zeros if empty."""
+        counted = [Counter((text or "").lower().split()) for text in texts]
+        known, before = self.known, self.before
+        new = {word: before.get(word) for words in counted for word in words if word not in known}
+        unseen = [word for word, value in new.items() if value is None]
+        new.update(zip(unseen, self.ratios(unseen).tolist(), strict=True))
+        lengths = np.fromiter(map(len, counted), np.int64, len(counted))
+        n = int(lengths.sum())
+        values = np.fromiter((known[w] if w in known else new[w] for words in counted for w in words), float, n)
+        times = np.fromiter((c for words in counted for c in words.values()), np.int64, n)
+        sizes = np.fromiter((len(w) for words in counted for w in words), np.int64, n) + 1
+        if len(known) + len(new) > _MEMO:  # what is still in use comes over from the older half
+            self.before, self.known = known, {}
+        self.known.update((word, value) for word, value in new.items() if len(word) <= 32)
+        described = np.zeros((len(texts), len(self.NAMES)))
+        owner = np.repeat(np.arange(len(texts)), lengths)
+        total, length = (np.bincount(owner, times * x, len(texts)) for x in (values, sizes))
+        steep, last = values / sizes, np.cumsum(lengths)
+        for i in np.flatnonzero(lengths).tolist():
+            own = slice(last[i] - lengths[i], last[i])
+            top = np.sort(values[own])[:-4:-1].tolist()
+            top += [min(0.0, top[-1])] * (3 - len(top))
+            described[i] = [total[i] / length[i], *top, steep[own].max()]
+        return described
 
 
 def _scorer(tables_: tuple[Ratios, Ratios], order: int) -> Scorer:
@@ -282,8 +294,8 @@ def _described(docs: DataFrame, keep: list[str], model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(shared.value, order)
         for batch in batches:
-            for part in slices(batch, text):
-                found = np.array([scorer.describe(t) for t in part.column(text).to_pylist()]).reshape(-1, len(features))
+            for part in slices(batch, text, 1 << 20):
+                found = scorer.describe(part.column(text).to_pylist())
                 columns = [part.column(i) for i in range(len(keep))] + [pa.array(found[:, i]) for i in range(found.shape[1])]
                 yield pa.RecordBatch.from_arrays(columns, [*keep, *features])
 
