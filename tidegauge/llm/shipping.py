@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 _sent: set[str] = set()
 #: Most bytes of rows handed to a Python worker at once, so that long texts don't fill its memory.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> SparkSession:
