@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -223,6 +224,56 @@ def test_a_common_passage_makes_no_region():
     assert not any(found[i] & found[j] for i in range(50) for j in range(i))
 
 
+def test_phrases_draw_no_region_in_a_large_table(spark, monkeypatch):
+    """Texts with enough shingles of their own stay alone although each shares phrases with two others, also with far more shingles than places."""
+    monkeypatch.setattr(metricjoin.met_shingles, "__defaults__", (1 << 10,))
+    phrase = lambda i: [f"p{i}w{k}" for k in range(12)]
+    texts = [[f"t{i}w{k}" for k in range(60)] + phrase(i) + phrase(i + 1) for i in range(300)]
+    given = [(i, " ".join(w)) for i, w in enumerate([*texts, texts[7][:-1]])]
+    handed = []
+    joined = metricjoin.region_links
+    monkeypatch.setattr(metricjoin, "region_links", lambda rows, *a: handed.append(rows.count()) or joined(rows, *a))
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    got = metricjoin.linked_components(docs, 5, 80)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {i: min(i, 7) if i in (7, 300) else i for i in range(301)}
+    assert handed == [2]
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_single_cells_follow_counts(spark, monkeypatch, percent):
+    """Rare shingles come first, exactly counted, and none that only one text has makes a cell, however the rows are dealt."""
+    monkeypatch.setattr(metricjoin, "SENT", 700)
+    given = list(dict.fromkeys(t for _, t in near_copies(11, 400)))
+    docs = spark.createDataFrame([(t,) for t in given], "text string").repartition(5)
+    sets = {metricjoin._name(s): s for s in shingle_sets(pa.array(given), 3) if len(s) and metricjoin.layered(s, percent)[1]}
+    sets = {name: np.sort(mix(s)) for name, s in sets.items()}
+    first = {name: len(h) - -(-percent * len(h) // 100) + 1 for name, h in sets.items()}
+    sent = {name: h[: max((h < metricjoin.COUNTED).sum(), first[name])].tolist() for name, h in sets.items()}
+    # Equal sets of different texts count as often as there are texts.
+    times = Counter(metricjoin._name(s) for s in shingle_sets(pa.array(given), 3) if len(s))
+    count = Counter()
+    for name, hashes in sent.items():
+        count.update(dict.fromkeys(hashes, times[name]))
+    expected = {}
+    for name, hashes in sent.items():
+        order = sorted(hashes, key=lambda h: (h >= int(metricjoin.COUNTED), h if h >= int(metricjoin.COUNTED) else count[h], h))
+        expected[name] = [h for h in order[: first[name]] if count[h] > 1]
+    rows = metricjoin.single_cells(docs, 3, percent).collect()
+    got = {}
+    for r in rows:
+        assert got.setdefault(bytes(r.name), r.cells) is r.cells or sorted(got[bytes(r.name)]) == sorted(r.cells)
+    assert {n: len(c) for n, c in got.items()} == {n: len(c) for n, c in expected.items() if c}
+    met = lambda lists: sorted(Counter(c for cells in lists.values() for c in set(cells)).values())
+    assert met(got) == met(expected) and len(set(map(len, got.values()))) > 1
+
+
+def test_repeated_rows_keep_columns_of_any_name(spark):
+    rows = [(1, "a b c d e f", "x"), (1, "a b c d e f", "x"), (None, "g h i j k l", "x"), (None, "g h i j k l", "x"), (2, " ", "x"), (2, " ", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _hash string")
+    got = metricjoin.without_copies(docs.withColumn("_key", F.lit("x")), width=5, percent=80)
+    assert sorted(got.collect(), key=str) == sorted([(*rows[0], "x"), (*rows[2], "x"), (*rows[4], "x"), (*rows[5], "x")], key=str)
+
+
 def test_word_hashes_follow_words():
     texts = ["Ab c", None, "", "ab C", "a bc", "x" * 3_000_000 + " ab", " c  ab "]
     hashes, heads = words(*flat(pa.array(texts)))

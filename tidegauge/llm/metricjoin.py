@@ -11,6 +11,7 @@ three steps, each with a window that is wide enough for every partner of a text:
    shingles of that layer. t differences cannot move a text out of its cell in all t + 1 layers, so partners share a cell.
    Where layers would be too thin, single shingles are the pivots, and a text lies with the first of its own in one order,
    rare ones first, so that what many texts share (a passage, a phrase) draws strangers together only where a text has little else.
+   How often a shingle is met is counted over the whole table, so a shingle that is met once makes no cell however many there are.
    Texts that share cells, directly or through others, form one region.
 3. Regions are joined with texts as pivots. Each text goes to its nearest pivot and, by the triangle inequality, to
    every other pivot that is at most twice the radius further away. Texts within the radius of a pivot are linked through
@@ -34,13 +35,18 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm.arrays import mix, shingle_sets, slices
 from tidegauge.llm.components import components
+from tidegauge.llm.names import free_name, quoted
 from tidegauge.llm.workers import release
 from tidegauge.session import cut_lineage, delete_folder, scratch_path
 
 #: Rows that one task joins; pivots a large region is split by; width of the size rings.
 REGION_ROWS, PIVOTS, RING = 1024, 6, 0.25
-#: Least shingles per layer; places at which shingles are counted, two bits each, which bounds a broadcast, and the ranges of places.
+#: Least shingles per layer; places at which :func:`met_shingles` counts, two bits each, which bounds what it collects, and the least ranges of places.
 LAYER, PLACES, RANGES = 5, 1 << 27, 256
+#: Hashes below this come first in the order of single shingles; only they are counted in every text.
+COUNTED = np.uint64(1 << 63)
+#: Shingles that are sent together; those that a range of places has about, if there are more than ``RANGES`` times as many.
+SENT, RANGE_ROWS = 1 << 20, 1 << 20
 #: Marks by which texts that lie alone are passed over before texts are shuffled; bounds a broadcast.
 MARKS = 1 << 20
 
@@ -70,16 +76,12 @@ def _ring(size: int) -> int:
     return ring
 
 
-def cells(shingles: np.ndarray, percent: int, met: np.ndarray) -> np.ndarray:
-    """Hashes of the cells of a text.
+def layered(shingles: np.ndarray, percent: int) -> tuple[np.ndarray, bool]:
+    """Hashes of a text's cells in layers, and whether it needs cells of single shingles as well.
 
     Layers that hold two shingles or fewer tell little and would bring strangers together. There are a few layers more
     than t + 1, so a text may leave out its smallest ones, as many as there are more: of the layers a pair agrees in, one
     is left. Both leave out by the number of shingles, so the one that is left is left in both.
-
-    Where layers would hold too few shingles, the pivots are single shingles in one order for all texts: by how often
-    ``met`` shows them, then by hash. As at least ``percent`` of a text's shingles are its partner's, the first it
-    shares with a partner is among its first 1 + |A| - percent of |A|; those no other text has need no cell.
     """
     found, thin = [np.zeros(0, np.uint64)], False
     for ring, most in rings(len(shingles), percent):
@@ -96,13 +98,31 @@ def cells(shingles: np.ndarray, percent: int, met: np.ndarray) -> np.ndarray:
         hashes = mix(mix(sums + mix(np.arange(layers, dtype=np.uint64) + name)) + counts.astype(np.uint64))
         left_out = np.sort(counts)[spare] - 1  # with the next number there would be too many
         found.append(hashes[counts > left_out])
+    return np.concatenate(found), thin
+
+
+def _first(size: int, percent: int) -> int:
+    """Among how many of a text's first shingles, in whatever order all texts share, one is that a partner has too.
+
+    At least ``percent`` of a text's shingles are its partner's.
+    """
+    return size - -(-percent * size // 100) + 1
+
+
+def cells(shingles: np.ndarray, percent: int, met: np.ndarray) -> np.ndarray:
+    """Hashes of the cells of a text, with ``met`` from :func:`met_shingles`; :func:`single_cells` needs no such table.
+
+    Where layers would hold too few shingles, the pivots are single shingles in one order for all texts: by how often
+    ``met`` shows them, then by hash. Those no other text has need no cell.
+    """
+    found, thin = layered(shingles, percent)
     if thin:  # these cells are the same in all rings
         hashes = mix(shingles)
         place = _place(hashes, len(met) * 4)
         often = (met[place >> np.uint64(2)] >> (2 * (place & np.uint64(3))).astype(np.uint8)) & 3
-        order = np.lexsort((hashes, often))[: len(shingles) - -(-percent * len(shingles) // 100) + 1]
-        found.append(mix(hashes[order][often[order] > 0]))
-    return np.concatenate(found)
+        order = np.lexsort((hashes, often))[: _first(len(shingles), percent)]
+        found = np.concatenate([found, mix(hashes[order][often[order] > 0])])
+    return found
 
 
 def _place(hashes: np.ndarray, places: int) -> np.ndarray:
@@ -166,16 +186,148 @@ def _name(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32 as all their lowest bytes, all their second ones and so on, which compresses well if most are small."""
+    return numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def _runs(batches):
+    """``key, columns`` of the rows of each run of equal values in the first column, as lists."""
+    now, held = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held and row[0] != now:
+                yield now, list(zip(*held, strict=True))[1:]
+                held = []
+            now = row[0]
+            held.append(row)
+    if held:
+        yield now, list(zip(*held, strict=True))[1:]
+
+
+def single_cells(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``name, cells``: the cells of single shingles, for texts that :func:`layered` leaves to them and that share some.
+
+    The order of shingles is that of three numbers: whether the hash is beyond ``COUNTED``, how many texts have it, the hash. A text
+    sends its hashes up to ``COUNTED``, or more if it has too few, to ranges of hashes, where they are counted. What only one text has
+    sent goes no further: it comes first in the text's order and makes no cell. The rest comes back with its count, and a text
+    takes as many as the order still asks for. A text with enough shingles of its own has no cells, as it has no partner.
+
+    Hashes are cut to some bits more than it takes to number all shingles. Two that become the same are one to all
+    texts, which adds cells and loses none. Texts are sent some thousand at a time, named by what they hold, so a task that runs
+    again sends the same; a range holds about ``RANGE_ROWS`` hashes, so memory doesn't follow the table.
+    """
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    digits = (size // 12).bit_length()  # of the number of shingles, by half of words of about six bytes
+    dealt = max(RANGES.bit_length() - 1, digits - RANGE_ROWS.bit_length() + 1)
+    bits = max(32, digits + 7)  # at most 32 of them lie inside a range
+    inner = bits - dealt
+
+    def send(batches):
+        release()
+        names: list[bytes] = []
+        sent: list[np.ndarray] = []
+        facts: list[tuple[int, int]] = []
+
+        def rows():
+            group = hashlib.blake2b(b"".join(names), digest_size=16).digest()
+            place = (np.concatenate(sent) >> np.uint64(64 - bits)).astype(np.int64)
+            text = np.repeat(np.arange(len(sent)), [len(x) for x in sent])
+            order = np.argsort(place, kind="stable")
+            place, text = place[order], text[order]
+            edges = np.searchsorted(place, np.arange((1 << dealt) + 1) << inner)
+            own = -1 - int.from_bytes(group[:4], "little") % (1 << dealt)
+            found = [(own, group, b"".join(names), np.array(facts, np.int64).tobytes())]
+            for k in np.flatnonzero(np.diff(edges)).tolist():
+                inside = slice(edges[k], edges[k + 1])
+                found.append((k, group, _packed(np.diff(place[inside] - (k << inner), prepend=0)), _packed(text[inside])))
+            for x in (names, sent, facts):
+                x.clear()
+            types = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), types, strict=True)], ["range", "group", "places", "texts"])
+
+        held = 0
+        for batch in batches:
+            for part in slices(batch, 0):
+                for shingles in shingle_sets(part.column(0), width):
+                    if not len(shingles) or not layered(shingles, percent)[1]:
+                        continue
+                    hashes, first = np.sort(mix(shingles)), _first(len(shingles), percent)
+                    counted = int(np.searchsorted(hashes, COUNTED))
+                    names.append(_name(shingles))
+                    sent.append(hashes[: max(counted, first)])
+                    facts.append((counted, first))
+                    held += len(sent[-1])
+                    if held >= SENT:
+                        yield rows()
+                        held = 0
+        if names:
+            yield rows()
+
+    def count(batches):
+        types = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+        for number, (groups, places, texts) in _runs(batches):
+            found: list[tuple] = []
+            if number < 0:
+                found = [(number, group, *rest, None) for group, *rest in zip(groups, places, texts, strict=True)]
+            else:
+                each = [np.unique(np.cumsum(_unpacked(raw)), return_counts=True) for raw in places]
+                met, inverse = np.unique(np.concatenate([x for x, _ in each]), return_inverse=True)
+                total = np.bincount(inverse, np.concatenate([n for _, n in each])).astype(np.int64)
+                del each, inverse
+                met, total = met[total > 1], total[total > 1]
+                for group, raw, text in zip(groups, places, texts, strict=True) if len(met) else ():
+                    place = np.cumsum(_unpacked(raw))
+                    at = np.minimum(np.searchsorted(met, place), len(met) - 1)
+                    shared = met[at] == place
+                    if shared.any():
+                        steps = np.diff(place[shared], prepend=0)
+                        found.append((number, group, _packed(steps), _packed(_unpacked(text)[shared]), _packed(np.minimum(total[at[shared]], (1 << 32) - 1))))
+            for first in range(0, len(found), 1024):
+                columns = zip(*found[first : first + 1024], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["range", "group", "places", "texts", "counts"])
+
+    def choose(batches):
+        for _, (numbers, places, texts, counts) in _runs(batches):
+            own = next(i for i, k in enumerate(numbers) if k < 0)
+            names = [places[own][i : i + 16] for i in range(0, len(places[own]), 16)]
+            counted, first = np.frombuffer(texts[own], np.int64).reshape(-1, 2).T
+            rest = [i for i, k in enumerate(numbers) if k >= 0]
+            if not rest:
+                continue
+            text = np.concatenate([_unpacked(texts[i]) for i in rest])
+            cell = np.concatenate([np.cumsum(_unpacked(places[i])) + (numbers[i] << inner) for i in rest])
+            often = np.concatenate([_unpacked(counts[i]) for i in rest])
+            shared = np.bincount(text, minlength=len(names))
+            # With fewer counted hashes than the order asks for, no more were sent than that, and each has its place.
+            wanted = np.where(counted >= first, first - (counted - shared), shared)
+            order = np.lexsort((cell, often, text))
+            text, cell = text[order], cell[order]
+            taken = np.arange(len(text)) - (np.cumsum(shared) - shared)[text] < wanted[text]
+            text, cell = text[taken], cell[taken]
+            ends = np.cumsum([0, *(n := np.bincount(text, minlength=len(names)))[n > 0]])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(mix(cell.astype(np.uint64)).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in np.flatnonzero(n)], pa.binary()), lists], ["name", "cells"])
+
+    sent = docs.select("text").mapInArrow(send, "range int, group binary, places binary, texts binary")
+    counted = sent.repartition("range").sortWithinPartitions("range").mapInArrow(count, "range int, group binary, places binary, texts binary, counts binary")
+    back = counted.select("group", "range", "places", "texts", "counts").repartition("group").sortWithinPartitions("group")
+    return back.mapInArrow(choose, "name binary, cells array<long>")
+
+
 def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, name, cells`` per row; no name for the empty set."""
-    met = docs.sparkSession.sparkContext.broadcast(met_shingles(docs, width))
+    """``doc_id, text_hash, n_shingles, name, cells`` per row, with the cells of layers; no name for the empty set."""
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, 2):
                 sets = shingle_sets(part.column(2), width)
                 names = [_name(s) if len(s) else None for s in sets]
-                own = [cells(s, percent, met.value).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
+                own = [layered(s, percent)[0].view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets]
                 ends = np.cumsum([0, *map(len, own)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*own, np.zeros(0, np.int64)])))
                 yield pa.RecordBatch.from_arrays(
@@ -388,7 +540,8 @@ def linked_components(docs: DataFrame, width: int = 3, percent: int = 90, most:
     nodes = cut_lineage(named.groupBy("name").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct("text_hash", "doc_id")).alias("row")))
     # Regions only have to hold all partners, so 64 bits of a name will do for them.
     node = F.xxhash64("name").alias("node")
-    posted = named.select(node, F.explode("cells").alias("cell"))
+    single = cut_lineage(single_cells(docs, width, percent).select(node, "cells"))
+    posted = named.select(node, "cells").unionByName(single).select("node", F.explode("cells").alias("cell"))
     shared = posted.groupBy("cell").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a < last").select("cell", "a")
     edges = posted.join(shared, "cell").select("a", F.col("node").alias("b")).filter("a <> b").distinct()
     wanted = cut_lineage(nodes.withColumn("node", node).join(components(edges), "node").select(
@@ -417,11 +570,14 @@ def without_copies(docs: DataFrame, **options) -> DataFrame:
 
     A null doc_id comes after all others. Texts without words are no one's copies and all stay. Of repeated rows one stays.
     """
-    joined = cut_lineage(linked_components(docs, **options))
+    joined = cut_lineage(linked_components(docs, **options)).filter(F.col("group").isNotNull())
     order = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "text_hash")
-    first = joined.filter(F.col("group").isNotNull()).groupBy("group").agg(F.min(order).alias("first"))
-    kept = first.select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_text"))
-    keyed = docs.withColumn("_hash", F.xxhash64("text"))
+    first = joined.groupBy("group").agg(F.min(order).alias("first")).select("first.*")
+    text_hash, without, key = (free_name(docs.columns, n) for n in ("_hash", "_without", "_key"))
+    keys = [text_hash, without, key]  # plain columns, so that what one shuffle brings together is joined and counted there
+    text_key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    kept = first.select(F.col("text_hash").alias(text_hash), F.col("without").alias(without), text_key.alias(key))
     wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    chosen = keyed.filter(~wordless).join(kept, (F.col("_hash") == F.col("_text")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    return chosen.dropDuplicates(["_hash", "doc_id"]).select(*docs.columns).unionByName(docs.filter(wordless))
+    keyed = docs.filter(~wordless).withColumns({text_hash: F.xxhash64("text"), without: F.col("doc_id").isNull(), key: text_key})
+    chosen = keyed.join(kept, keys, "left_semi").dropDuplicates(keys)
+    return chosen.select(*map(quoted, docs.columns)).unionByName(docs.filter(wordless))
